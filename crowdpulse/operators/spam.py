@@ -64,19 +64,24 @@ def _per_second(sliced: DataFrame) -> DataFrame:
     return sliced.groupBy("person_id", "ts_s", "slice").agg(F.count("*").alias("c"))
 
 
-def burst_counts(sliced: DataFrame, order, window: int = BURST_WINDOW, chunk: int | None = None) -> DataFrame:
+def burst_counts(sliced: DataFrame, order, window: int = BURST_WINDOW, chunk: int | None = None,
+                 history: DataFrame | None = None) -> DataFrame:
     """Events with ``n``: how many the person had in the last ``window`` seconds, this one
     included and later ones of the same second not.
 
     ``sliced`` comes from ``slice_in_order``. The time window runs over counts per person and
     second in chunks of time that each carry the last ``window`` seconds of the chunk before,
     so its groups are bounded by seconds, not by how busy a person is. Inside a second the
-    events of a person are numbered per slice, which bounds those groups as well.
+    events of a person are numbered per slice, which bounds those groups as well. ``history``
+    are counts ``(person_id, ts_s, c)`` of earlier seconds that count along.
     """
     chunk = chunk or max(3_600, 4 * window)
     if chunk < window:
         raise ValueError("chunks must not be shorter than the window")
-    seconds = _per_second(sliced).withColumn("chunk", floor_div("ts_s", chunk))
+    seconds = _per_second(sliced)
+    if history is not None:
+        seconds = seconds.unionByName(history.withColumn("slice", F.lit(-1)))
+    seconds = seconds.withColumn("chunk", floor_div("ts_s", chunk))
     reaches_on = F.pmod("ts_s", F.lit(chunk)) >= F.lit(chunk - window)
     copies = F.when(reaches_on, F.array(F.col("chunk"), F.col("chunk") + 1)).otherwise(F.array("chunk"))
     spread = seconds.withColumn("home", F.col("chunk")).withColumn("chunk", F.explode(copies))

@@ -29,14 +29,10 @@ def post_nodes(events: DataFrame) -> DataFrame:
     )
 
 
-def answered_comments(events: DataFrame) -> DataFrame:
-    """One row per comment that has at least one reply. Repeated ids keep the earliest record."""
-    targets = events.filter("kind = 'reply'").select(F.col("parent_id").alias("id")).distinct()
+def comment_nodes(comments: DataFrame) -> DataFrame:
+    """One row per comment id. Repeated ids keep the earliest record."""
     return (
-        events.filter("kind in ('comment', 'reply')")
-        .select("id", "ts_s", "parent_id", "parent_kind", "person_id")
-        .join(targets, "id", "left_semi")
-        .groupBy("id")
+        comments.groupBy("id")
         .agg(F.min(F.struct("ts_s", "parent_id", "parent_kind", "person_id")).alias("n"))
         .select(
             "id",
@@ -48,6 +44,15 @@ def answered_comments(events: DataFrame) -> DataFrame:
     )
 
 
+def answered_comments(events: DataFrame) -> DataFrame:
+    """Nodes of the comments that have at least one reply."""
+    targets = events.filter("kind = 'reply'").select(F.col("parent_id").alias("id")).distinct()
+    comments = events.filter("kind in ('comment', 'reply')").select(
+        "id", "ts_s", "parent_id", "parent_kind", "person_id"
+    )
+    return comment_nodes(comments.join(targets, "id", "left_semi"))
+
+
 def comment_roots(events: DataFrame) -> DataFrame:
     """Root post of every answered comment: ``(id, comment_ts, comment_author, root_post_id)``.
 
@@ -96,49 +101,56 @@ def resolve_likes(events: DataFrame) -> DataFrame:
     return likes.join(post_nodes(events), "post_id").filter("ts_s >= post_ts")
 
 
-def post_trees(events: DataFrame, keep=(), roots: DataFrame | None = None) -> DataFrame:
+def located(events: DataFrame, roots: DataFrame, keep=(), how: str = "inner") -> DataFrame:
+    """Likes, comments and replies with the post they lead to: ``post_id`` and, for replies,
+    time and author of the answered comment. ``how='left'`` keeps replies of unknown comments,
+    with no ``post_id``."""
+    payload = ["kind", "person_id", "ts_s", "forum_id", "tags", *keep]
+    no_id = F.lit(None).cast("bigint")
+    direct = events.filter("kind in ('like', 'comment')").select(
+        *payload, F.col("parent_id").alias("post_id"),
+        no_id.alias("parent_ts"), no_id.alias("parent_author"),
+    )
+    targets = roots.select(
+        F.col("id").alias("_target"), F.col("root_post_id").alias("post_id"),
+        F.col("comment_ts").alias("parent_ts"), F.col("comment_author").alias("parent_author"),
+    )
+    replies = (
+        events.filter("kind = 'reply'")
+        .select(*payload, F.col("parent_id").alias("_target"))
+        .join(targets, "_target", how)
+        .drop("_target")
+    )
+    return direct.unionByName(replies)
+
+
+def post_trees(events: DataFrame, keep=()) -> DataFrame:
     """Every event that belongs to a known post, with that post.
 
     Out: ``kind, post_id, person_id, ts_s, author_id, parent_author, forum_id, tags`` and
     the columns named in ``keep``. An event older than what it answers does not count, but
     answers to it still find their way through it.
     """
-    payload = ["kind", "person_id", "ts_s", "forum_id", "tags", *keep]
-    no_id = F.lit(None).cast("bigint")
-    posts = events.filter("kind = 'post'").select(
-        *payload,
+    attached = located(events, comment_roots(events), keep).join(post_nodes(events), "post_id")
+    return own_trees(events, keep).unionByName(countable(attached, keep))
+
+
+def own_trees(events: DataFrame, keep=()) -> DataFrame:
+    """Posts are the roots of their own trees."""
+    return events.filter("kind = 'post'").select(
+        "kind", "person_id", "ts_s", "forum_id", "tags", *keep,
         F.col("id").alias("post_id"),
         F.col("person_id").alias("author_id"),
         F.col("person_id").alias("parent_author"),
     )
-    direct = events.filter("kind in ('like', 'comment')").select(
-        *payload,
-        F.col("parent_id").alias("post_id"),
-        no_id.alias("parent_ts"),
-        no_id.alias("parent_author"),
-    )
-    roots = comment_roots(events) if roots is None else roots
-    replies = (
-        events.filter("kind = 'reply'")
-        .select(*payload, F.col("parent_id").alias("id"))
-        .join(roots, "id")
-        .select(
-            *payload,
-            F.col("root_post_id").alias("post_id"),
-            F.col("comment_ts").alias("parent_ts"),
-            F.col("comment_author").alias("parent_author"),
-        )
-    )
-    attached = (
-        direct.unionByName(replies)
-        .join(post_nodes(events), "post_id")
-        .filter(F.col("ts_s") >= F.coalesce("parent_ts", "post_ts"))
-        .select(
-            *payload, "post_id", "author_id",
-            F.coalesce("parent_author", "author_id").alias("parent_author"),
-        )
+
+
+def countable(attached: DataFrame, keep=()) -> DataFrame:
+    """Attached events that are not older than what they answer."""
+    return attached.filter(F.col("ts_s") >= F.coalesce("parent_ts", "post_ts")).select(
+        "kind", "person_id", "ts_s", "forum_id", "tags", *keep, "post_id", "author_id",
+        F.coalesce("parent_author", "author_id").alias("parent_author"),
     )
-    return posts.unionByName(attached)
 
 
 def engagements(resolved: DataFrame) -> DataFrame:
