@@ -16,23 +16,28 @@ _TOTALS = [
 ]
 
 
-def _changes(resolved: DataFrame, every: int, origin: int, until: int) -> DataFrame:
-    """What each post gained per slot. A person is new in the slot of their first engagement.
-
-    The first grouping is per person as well, so the window that finds the first slot reads
-    sums instead of events and even one busy person in one busy thread stays small.
-    """
+def engagement_slots(resolved: DataFrame, origin: int, every: int) -> DataFrame:
+    """What each person did on each post per slot; the slot before the first tick counts into it."""
     k = F.greatest(slot_index("ts_s", origin, every), F.lit(1).cast("bigint"))
-    per_person = (
-        resolved.filter(F.col("ts_s") <= until).select("kind", "post_id", "person_id", "ts_s")
-        .withColumn("k", k)
+    return (
+        resolved.select("kind", "post_id", "person_id", "ts_s", k.alias("k"))
         .groupBy("post_id", "person_id", "k")
         .agg(
             F.count_if(F.col("kind") == "comment").alias("num_comments"),
             F.count_if(F.col("kind") == "reply").alias("num_replies"),
             F.max("ts_s").alias("last_ts"),
         )
-        .withColumn("_first", F.min("k").over(Window.partitionBy("post_id", "person_id")))
+    )
+
+
+def _changes(resolved: DataFrame, every: int, origin: int, until: int) -> DataFrame:
+    """What each post gained per slot. A person is new in the slot of their first engagement.
+
+    The first grouping is per person as well, so the window that finds the first slot reads
+    sums instead of events and even one busy person in one busy thread stays small.
+    """
+    per_person = engagement_slots(resolved.filter(F.col("ts_s") <= until), origin, every).withColumn(
+        "_first", F.min("k").over(Window.partitionBy("post_id", "person_id"))
     )
     return per_person.groupBy("post_id", "k").agg(
         F.sum("num_comments").alias("num_comments"),

@@ -86,8 +86,11 @@ def parse_events(records: DataFrame, value: str = "value", keep=()) -> DataFrame
             ),
         )
     )
-    return typed.select(*keep, _event_struct().alias("_e"), "_raw").select(
-        *keep, "_e.*", F.when(F.col("_e.kind") == "malformed", F.col("_raw")).alias("raw")
+    # A generator of one row: filters on the result stay above it, so a filter does not parse
+    # the text a second time, once for every column it mentions.
+    events = typed.select(*keep, "_raw", F.inline(F.array(_event_struct())))
+    return events.select(
+        *keep, *EVENT_SCHEMA.names, F.when(F.col("kind") == "malformed", F.col("_raw")).alias("raw")
     )
 
 

@@ -1,18 +1,20 @@
 """Active-post statistics as a continuous query.
 
-First a built-in windowed sum per post, person and slot, which combines on the map side and
-gives out a slot once the watermark has passed it; then one keyed state per post that adds
-the closed slots up and reports at every tick until the post has gone quiet.
+It reads the ``engagements`` table of the thread stream, whose rows are summed per post, person
+and slot already, and keeps one state per post: running totals, the people met so far, and what
+came in for slots that are not complete yet. An event-time timer per tick adds the complete
+slots up and reports, until the post has gone quiet.
 """
 
 from __future__ import annotations
 
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
-from crowdpulse.schema import ACTIVE_POSTS_EVERY, ACTIVE_POSTS_HORIZON, MAX_DELAY_SECONDS
+from crowdpulse.schema import ACTIVE_POSTS_HORIZON
+from crowdpulse.streaming.trees import ThreadStream
 
 OUTPUT = "notify_ts bigint, post_id bigint, num_comments bigint, num_replies bigint, num_people bigint"
 
@@ -23,64 +25,76 @@ class PostState(StatefulProcessor):
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
+        # Everything reported so far, and the next tick to report.
         self.totals = handle.getValueState(
             "totals", "comments bigint, replies bigint, people bigint, last_ts bigint, next_k bigint"
         )
+        # What slots from next_k on have gained so far.
+        self.gains = handle.getMapState(
+            "gains", "k bigint", "comments bigint, replies bigint, people bigint, last_ts bigint"
+        )
         self.people = handle.getMapState("people", "person_id bigint", "since_k bigint")
 
     def handleInputRows(self, key, rows, timerValues):
-        slots: dict[int, list[int]] = {}  # k -> comments, replies, new people, last_ts
-        for chunk in rows:  # one chunk at a time; what stays is a few numbers per closed slot
+        next_k = self.totals.get()[4] if self.totals.exists() else 1
+        gained: dict[int, list[int]] = {}
+        for chunk in rows:  # one chunk at a time; a few numbers per open slot remain
             for row in chunk.itertuples(index=False):
-                slot = slots.setdefault(int(row.k), [0, 0, 0, 0])
+                k = max(int(row.k), next_k)
+                slot = self._slot(gained, k)
                 slot[0] += int(row.num_comments)
                 slot[1] += int(row.num_replies)
                 slot[3] = max(slot[3], int(row.last_ts))
-                self._meet(int(row.person_id), int(row.k), slots)
-        comments, replies, people, last_ts, next_k = self.totals.get() if self.totals.exists() else (0, 0, 0, 0, 0)
-        out = []
-        for k in sorted(slots):
-            if next_k:
-                out += self._report(key, next_k, k - 1, comments, replies, people, last_ts)
-            gained = slots[k]
-            comments, replies, people = comments + gained[0], replies + gained[1], people + gained[2]
-            last_ts = max(last_ts, gained[3])
-            out += self._report(key, k, k, comments, replies, people, last_ts)
-            next_k = k + 1
-        self.totals.update((comments, replies, people, last_ts, next_k))
-        self._wake_at(next_k, last_ts)
-        yield self._frame(out)
+                self._meet(gained, int(row.person_id), k)
+        for k, slot in gained.items():
+            self.gains.updateValue((k,), tuple(slot))
+            self.handle.registerTimer(self._tick(k) * 1000)
+        yield self._frame([])
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo):
-        comments, replies, people, last_ts, next_k = self.totals.get()
-        due = (expiredTimerInfo.getExpiryTimeInMs() // 1000 - self.origin) // self.every
+        """Report every tick that is complete by now, not only the one that rang."""
+        rang = self._slot_of(expiredTimerInfo.getExpiryTimeInMs())
+        comments, replies, people, last_ts, next_k = (
+            self.totals.get() if self.totals.exists() else (0, 0, 0, 0, rang)
+        )
+        due = max(rang, self._slot_of(timerValues.getCurrentWatermarkInMs()))
         out = []
-        if next_k <= due:
-            out = self._report(key, next_k, due, comments, replies, people, last_ts)
-            next_k = due + 1
-            self.totals.update((comments, replies, people, last_ts, next_k))
-            self._wake_at(next_k, last_ts)
+        open_slots = sorted(k for (k,) in self.gains.keys())
+        while next_k <= due:
+            if open_slots and open_slots[0] <= next_k:
+                c, r, p, t = self.gains.getValue((open_slots[0],))
+                self.gains.removeKey((open_slots.pop(0),))
+                comments, replies, people, last_ts = comments + c, replies + r, people + p, max(last_ts, t)
+            elif self._tick(next_k) <= last_ts + self.horizon:
+                out.append((self._tick(next_k), int(key[0]), comments, replies, people))
+                next_k += 1
+            else:  # quiet: go on with the next slot that gained something
+                next_k = min(open_slots[0], due + 1) if open_slots else due + 1
+        self.totals.update((comments, replies, people, last_ts, next_k))
+        if self._tick(next_k) <= last_ts + self.horizon:
+            self.handle.registerTimer(self._tick(next_k) * 1000)
         yield self._frame(out)
 
-    def _meet(self, person: int, k: int, slots) -> None:
+    def _slot_of(self, ms: int) -> int:
+        return (ms // 1000 - self.origin) // self.every
+
+    def _slot(self, gained, k: int) -> list[int]:
+        if k not in gained:
+            gained[k] = list(self.gains.getValue((k,))) if self.gains.containsKey((k,)) else [0, 0, 0, 0]
+        return gained[k]
+
+    def _meet(self, gained, person: int, k: int) -> None:
+        """Count a person in the first slot they show up in, even if its rows come later."""
         since = self.people.getValue((person,))[0] if self.people.containsKey((person,)) else None
         if since is None or k < since:
-            if since is not None:  # same batch, slots in any order: the person came earlier
-                slots[since][2] -= 1
-            slots[k][2] += 1
+            if since is not None:
+                self._slot(gained, since)[2] -= 1
+            self._slot(gained, k)[2] += 1
             self.people.updateValue((person,), (k,))
 
     def _tick(self, k: int) -> int:
         return self.origin + k * self.every
 
-    def _report(self, key, first: int, last: int, comments, replies, people, last_ts):
-        last = min(last, (last_ts + self.horizon - self.origin) // self.every)
-        return [(self._tick(k), key[0], comments, replies, people) for k in range(first, last + 1)]
-
-    def _wake_at(self, k: int, last_ts: int) -> None:
-        if self._tick(k) <= last_ts + self.horizon:
-            self.handle.registerTimer(self._tick(k) * 1000)
-
     @staticmethod
     def _frame(rows) -> pd.DataFrame:
         return pd.DataFrame(
@@ -88,28 +102,26 @@ class PostState(StatefulProcessor):
         ).astype("int64")
 
 
-def stream_active_posts(resolved: DataFrame, origin: int, every: int = ACTIVE_POSTS_EVERY,
-                        horizon: int = ACTIVE_POSTS_HORIZON, max_delay: int = MAX_DELAY_SECONDS) -> DataFrame:
+def stream_active_posts(spark: SparkSession, threads: ThreadStream, horizon: int = ACTIVE_POSTS_HORIZON,
+                        max_files: int | None = None) -> DataFrame:
     """Streaming twin of the batch query, append mode. Needs the RocksDB state store and a
-    fixed ``origin``. A tick comes out once the stream's time is ``max_delay`` past it."""
-    # Slots are closed on the right, windows on the left: whole seconds shifted by one.
-    at = F.timestamp_seconds(F.greatest(F.col("ts_s") - 1, F.lit(origin).cast("bigint")))
-    # The filter names the time column so that it stays above the watermark: rows that only
-    # carry the time must still move it.
-    events = (
-        resolved.withColumn("at", at).withWatermark("at", f"{max_delay} seconds")
-        .filter((F.col("kind") != "watermark") | F.col("at").isNull())
-    )
-    slots = events.groupBy(
-        F.window("at", f"{every} seconds", startTime=f"{origin % every} seconds"), "post_id", "person_id"
-    ).agg(
-        F.count_if(F.col("kind") == "comment").alias("num_comments"),
-        F.count_if(F.col("kind") == "reply").alias("num_replies"),
-        F.max("ts_s").alias("last_ts"),
+    thread stream with a fixed ``origin``. A tick comes out once the time reached is the disorder
+    bound past it.
+
+    Time is the clock column, not the events' own time: files of one micro-batch may be read in
+    any order, and none of them may make another one late.
+    """
+    if threads.origin is None:
+        raise ValueError("the thread stream needs a fixed origin")
+    # Rows that only carry the clock have done their work at the watermark. The filter names the
+    # clock so that it is not moved below the watermark.
+    rows = (
+        threads.tables.stream(spark, "engagements", max_files)
+        .withColumn("clock", F.timestamp_seconds("clock_s"))
+        .withWatermark("clock", f"{threads.max_delay} seconds")
+        .filter(F.col("post_id").isNotNull() | F.col("clock").isNull())
     )
-    k = F.call_function("div", F.unix_seconds("window.end") - F.lit(origin), F.lit(every))
-    closed = slots.select("window", "post_id", "person_id", k.alias("k"), "num_comments", "num_replies", "last_ts")
-    return closed.groupBy("post_id").transformWithStateInPandas(
-        statefulProcessor=PostState(every, horizon, origin), outputStructType=OUTPUT,
+    return rows.groupBy("post_id").transformWithStateInPandas(
+        statefulProcessor=PostState(threads.every, horizon, threads.origin), outputStructType=OUTPUT,
         outputMode="Append", timeMode="EventTime",
     )

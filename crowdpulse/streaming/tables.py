@@ -1,8 +1,7 @@
 """Tables that grow by one folder per micro-batch.
 
-A micro-batch that is run again after a failure overwrites its own folders, and it reads only
-what earlier batches left, so every batch counts once. The table a batch writes last marks it
-as done.
+A micro-batch that is run again after a failure reads only what earlier batches left and
+writes only what its first attempt did not finish, so every batch counts once.
 """
 
 from __future__ import annotations
@@ -37,8 +36,11 @@ class BatchTables:
         return self._exists(spark, self._folder(name, batch_id))
 
     def write(self, name: str, df: DataFrame, batch_id: int) -> None:
-        columns = self.schemas[name].names
-        df.select(*columns).write.mode("overwrite").parquet(self._folder(name, batch_id))
+        """Write a batch's rows once; a table that an earlier attempt finished stays as it is,
+        so a stream that reads it never sees its rows twice."""
+        if not self.done(df.sparkSession, name, batch_id):
+            columns = self.schemas[name].names
+            df.select(*columns).write.mode("overwrite").parquet(self._folder(name, batch_id))
 
     def earlier(self, spark: SparkSession, name: str, batch_id: int) -> DataFrame:
         """Everything that batches before this one wrote."""
@@ -53,5 +55,12 @@ class BatchTables:
             last = -1
         return spark.read.schema(self.schemas[name]).parquet(self._folder(name, last))
 
+    def stream(self, spark: SparkSession, name: str, max_files: int | None = None) -> DataFrame:
+        """The table as a stream, oldest folders first."""
+        reader = spark.readStream.schema(self.schemas[name])
+        if max_files:
+            reader = reader.option("maxFilesPerTrigger", max_files)
+        return reader.parquet(f"{self.path(name)}/batch_id=*")
+
     def everything(self, spark: SparkSession, name: str) -> DataFrame:
         return self.earlier(spark, name, 1 << 62)

@@ -5,8 +5,9 @@ alone. Each micro-batch joins its events, and those still waiting, with the thre
 far, runs the same pointer doubling as the batch job over the few new comments, and keeps
 what it cannot place for as long as the disorder bound allows.
 
-Tables under ``root`` (one folder per batch): ``resolved`` (the result, read on as a stream),
-``nodes`` and ``posts`` (what answers can lead to), ``waiting`` and ``progress``.
+Tables under ``root`` (one folder per batch): ``resolved`` (the result), ``engagements`` (the
+same, summed per post, person and slot, for the statistics stream), ``nodes`` and ``posts``
+(what answers can lead to), ``waiting`` and ``progress``.
 """
 
 from __future__ import annotations
@@ -15,9 +16,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from crowdpulse.operators import trees
-from crowdpulse.schema import MAX_DELAY_SECONDS
+from crowdpulse.operators.active_posts import engagement_slots
+from crowdpulse.schema import ACTIVE_POSTS_EVERY, MAX_DELAY_SECONDS
 from crowdpulse.session import cut
-from crowdpulse.sources.wire import events_only
 from crowdpulse.streaming.tables import BatchTables
 
 WAITING = (
@@ -32,14 +33,24 @@ RESOLVED = (
 )
 
 
+ENGAGEMENTS = (
+    "post_id bigint, person_id bigint, k bigint, num_comments bigint, num_replies bigint, "
+    "last_ts bigint, clock_s bigint"
+)
+
+
 class ThreadStream:
-    """``parsed.writeStream.foreachBatch(ThreadStream(spark, root))``."""
+    """``parsed.writeStream.foreachBatch(ThreadStream(spark, root))``.
 
-    def __init__(self, spark: SparkSession, root: str, max_delay: int = MAX_DELAY_SECONDS):
-        self.max_delay = max_delay
+    With a fixed ``origin`` it also keeps the ``engagements`` table for ticks ``every`` seconds.
+    """
+
+    def __init__(self, spark: SparkSession, root: str, max_delay: int = MAX_DELAY_SECONDS,
+                 origin: int | None = None, every: int = ACTIVE_POSTS_EVERY):
+        self.max_delay, self.origin, self.every = max_delay, origin, every
         self.tables = BatchTables(spark, root, {
             "waiting": WAITING, "nodes": NODES, "posts": POSTS,
-            "progress": "max_ts bigint", "resolved": RESOLVED,
+            "progress": "max_ts bigint", "resolved": RESOLVED, "engagements": ENGAGEMENTS,
         })
 
     def __call__(self, parsed: DataFrame, batch_id: int) -> None:
@@ -49,10 +60,9 @@ class ThreadStream:
         parsed = cut(parsed.select(
             "kind", "id_kind", "id", "person_id", "ts_s", "parent_kind", "parent_id", "forum_id", "tags"
         ))
-        progress = tables.previous(spark, "progress", batch_id).unionByName(
-            parsed.select(F.col("ts_s").alias("max_ts"))
-        ).agg(F.max("max_ts").alias("max_ts"))
-        max_ts = progress.first()["max_ts"]
+        before = tables.previous(spark, "progress", batch_id).agg(F.max("max_ts")).first()[0]
+        top = parsed.agg(F.max("ts_s")).first()[0]
+        max_ts = max((t for t in (before, top) if t is not None), default=None)
         expired = (max_ts or 0) - self.max_delay
 
         events = cut(
@@ -83,14 +93,19 @@ class ThreadStream:
         resolved = trees.own_trees(events).unionByName(
             trees.countable(placed.filter("post_ts is not null"))
         )
-        # The time reached travels along as a row of its own: downstream time must move on
-        # even when a batch brought only punctuation.
-        reached = spark.range(1).select(F.lit("watermark").alias("kind"), F.lit(max_ts).cast("bigint").alias("ts_s"))
-        tables.write("resolved", resolved.unionByName(reached, allowMissingColumns=True), batch_id)
+        if self.origin is not None:
+            # The clock is that of the batches before: their rows are all written when a row of
+            # this batch can be read. It comes on a row of its own, too, for batches that
+            # brought only punctuation. It starts above 0, where a stream takes rows for late.
+            clock = F.lit(max(before or 0, 1)).cast("bigint").alias("clock_s")
+            slots = engagement_slots(resolved, self.origin, self.every).select("*", clock)
+            tick = spark.range(1).select(clock)
+            tables.write("engagements", slots.unionByName(tick, allowMissingColumns=True), batch_id)
+        tables.write("resolved", resolved, batch_id)
 
     def resolved(self, spark: SparkSession) -> DataFrame:
         """All placed events so far, as a batch table."""
-        return self.tables.everything(spark, "resolved").filter("kind <> 'watermark'")
+        return self.tables.everything(spark, "resolved")
 
     def reached(self, spark: SparkSession) -> int | None:
         """All events up to this time have arrived and are placed or given up."""
@@ -102,12 +117,3 @@ class ThreadStream:
             parsed.writeStream.foreachBatch(self).option("checkpointLocation", checkpoint)
             .trigger(**(trigger or {"availableNow": True})).start()
         )
-
-
-def resolved_stream(spark: SparkSession, threads: ThreadStream, max_files: int | None = None) -> DataFrame:
-    """The placed events as a stream; rows of kind ``watermark`` carry the time reached."""
-    reader = spark.readStream.schema(threads.tables.schemas["resolved"])
-    if max_files:
-        reader = reader.option("maxFilesPerTrigger", max_files)
-    # Folders of this pattern only: files of a batch appear when its write is committed.
-    return reader.parquet(f"{threads.tables.path('resolved')}/batch_id=*")

@@ -1,0 +1,145 @@
+import random
+
+import pytest
+
+from crowdpulse.operators import graph, recommend
+from crowdpulse.plans import api
+from crowdpulse.schema import Weights
+from scenarios import RECOMMEND, events
+
+LONGS2 = "{} long, {} long"
+
+
+def tables(spark, knows=(), work=(), study=(), forums=()):
+    make = spark.createDataFrame
+    return {
+        "person_knows_person": make(list(knows), "person_id1 long, person_id2 long"),
+        "person_workAt_organisation": make([(a, b, None) for a, b in work], "person_id long, organisation_id long, works_from int"),
+        "person_studyAt_organisation": make([(a, b, None) for a, b in study], "person_id long, organisation_id long, class_year int"),
+        "forum_has_member": make([(a, b, None) for a, b in forums], "forum_id long, person_id long, join_date timestamp"),
+    }
+
+
+def test_scenario(spark):
+    """Only what happened in the stream; both candidates are somebody's friend."""
+    origin = 1328150816
+    static = tables(spark, knows=[(1, 122), (1, 332)])
+    rows = api.friend_recommendations(events(spark, RECOMMEND), static, [800], until=origin + 8 * 3600).collect()
+    got = {}
+    for r in rows:
+        got.setdefault((r.notify_ts - origin) // 3600, {})[r.candidate_id] = r.score
+    assert got == {
+        1: {122: 11, 332: 21}, 2: {122: 21, 332: 21}, 3: {122: 21, 332: 21}, 4: {122: 40, 332: 31},
+        5: {122: 30, 332: 10}, 6: {122: 20, 332: 10}, 7: {122: 20, 332: 10}, 8: {122: 0, 332: 0},
+    }
+    assert [(r.rank, r.candidate_id) for r in rows if r.notify_ts == origin + 2 * 3600] == [(1, 122), (2, 332)]
+
+
+def test_static_scores(spark):
+    static = tables(
+        spark,
+        knows=[(1, 2), (2, 1), (2, 3), (1, 4), (4, 3), (3, 5), (4, 1), (4, 4), (1, 1)],
+        work=[(1, 10), (3, 10), (6, 10), (1, 11), (3, 11), (2, 10)],
+        study=[(1, 20), (7, 20), (3, 21)],
+    )
+    knows = static["person_knows_person"]
+
+    def rows(df):
+        return sorted(tuple(r) for r in df.collect())
+
+    assert rows(graph.friends(knows, [1])) == [(1, 1), (1, 2), (1, 4)]
+    assert rows(graph.non_friends(knows, [1])) == [(1, 3, 2), (1, 5, 1)]
+    assert rows(graph.common_friends(knows, [1])) == [(1, 3, 2), (1, 4, 1)]
+    assert rows(graph.shared_organisations(static["person_workAt_organisation"], [1])) == [(1, 2, 1), (1, 3, 2), (1, 6, 1)]
+    scores = graph.static_scores(knows, static["person_workAt_organisation"], static["person_studyAt_organisation"], [1])
+    assert rows(scores) == [(1, 3, 4), (1, 5, 0), (1, 6, 1), (1, 7, 1)]
+    doubled = graph.positive_static_scores(
+        knows, static["person_workAt_organisation"], static["person_studyAt_organisation"], [1], Weights(work=10)
+    )
+    assert rows(doubled) == [(1, 3, 22), (1, 6, 10), (1, 7, 1)]
+
+
+def test_forums(spark):
+    forums = tables(spark, forums=[(1, 5), (1, 5), (2, 5), (2, 6)])["forum_has_member"]
+    assert [tuple(r) for r in graph.forums_per_person(forums).collect()] == [(5, 2), (6, 1)]
+    assert sorted(tuple(r) for r in graph.client_forums(forums, [5]).collect()) == [(5, 1), (5, 2)]
+
+
+def everything(updates, static, clients, every, window, origin, until, k, w, exclude_self, reply_mode):
+    """All candidates of all clients at all ticks, scored by the definition."""
+    knows, work, study, forums = static
+    out = []
+    for a in clients:
+        mine = {y for x, y in knows if x == a}
+        score = {y: 0 for _, y in knows if y not in mine}
+        for _, f in [e for e in knows if e[0] == a]:
+            for x, c in knows:
+                if x == f and x != a and c != a and c not in mine:
+                    score[c] = score.get(c, 0) + w.common_friends
+        for table, weight in ((work, w.work), (study, w.study)):
+            for p, o in table:
+                if p == a:
+                    for q, o2 in table:
+                        if o2 == o and q != a and q not in mine:
+                            score[q] = score.get(q, 0) + weight
+        my_forums = {f for f, p in forums if p == a}
+        last = -((origin - until) // every)
+        for slot in range(1, last + 1):
+            tick = origin + slot * every
+            total = dict(score)
+            for kind, ts, actor, to, parent, forum, tags in updates:
+                if not tick - window < ts <= tick:
+                    continue
+                gains = []
+                if actor == a and kind == "like":
+                    gains.append((to, w.like))
+                if actor == a and kind == "comment":
+                    gains.append((to, w.comment))
+                if actor == a and kind == "reply":
+                    gains.append((parent, w.reply) if reply_mode == "parent_author" else (to, w.comment))
+                if actor != a and kind == "post":
+                    used = {t for k2, ts2, p2, *_, tg in updates if k2 == "post" and p2 == a and ts2 < ts for t in tg}
+                    gains.append((actor, w.tag_post * sum(t in used for t in tags)))
+                    gains.append((actor, w.forum_post * (forum in my_forums)))
+                if actor != a:
+                    gains.append((actor, w.active))
+                for c, g in gains:
+                    if c in total:
+                        total[c] += g
+            if exclude_self:
+                total.pop(a, None)
+            best = sorted(total.items(), key=lambda x: (-x[1], x[0]))[:k]
+            out += [(tick, a, i + 1, c, s) for i, (c, s) in enumerate(best)]
+    return sorted(out)
+
+
+@pytest.mark.parametrize("seed, exclude_self, reply_mode", [
+    (1, False, "as_comment"), (2, True, "parent_author"), (3, False, "as_comment"), (4, True, "as_comment"),
+])
+def test_recommendations_against_all_pairs(spark, seed, exclude_self, reply_mode):
+    rng = random.Random(seed)
+    people, dense = 14, seed % 2
+    knows = sorted({(rng.randrange(people), rng.randrange(people)) for _ in range(70 if dense else 18)})
+    work = sorted({(rng.randrange(people + 3), rng.randrange(4)) for _ in range(10)})
+    study = sorted({(rng.randrange(people), rng.randrange(9)) for _ in range(8)})
+    forums = sorted({(rng.randrange(5), rng.randrange(people)) for _ in range(12)})
+    updates = []
+    for _ in range(60):
+        kind = rng.choice(["post", "like", "comment", "reply"])
+        is_post = kind == "post"
+        actor = rng.choice([0, 1, 2, rng.randrange(people + 2)])
+        updates.append((
+            kind, 1000 + rng.randrange(0, 7000), actor, rng.randrange(people) if not is_post else actor,
+            rng.randrange(people) if not is_post else actor, rng.randrange(5) if is_post else None,
+            [rng.randrange(4) for _ in range(rng.randrange(3))] if is_post else None,
+        ))
+    df = spark.createDataFrame(
+        updates, "kind string, ts_s long, actor_id long, to_person_id long, parent_author long, forum_id long, tags array<long>"
+    )
+    clients, args = [0, 1, 2, 13], (600, 2400, 1000, 9000)
+    w = Weights(common_friends=2, study=3)
+    got = recommend.friend_recommendations(
+        df, tables(spark, knows, work, study, forums), clients, *args, 3, w, reply_mode, exclude_self
+    )
+    expected = everything(updates, (knows, work, study, forums), clients, *args, 3, w, exclude_self, reply_mode)
+    assert sorted(tuple(r) for r in got.collect()) == expected and expected
