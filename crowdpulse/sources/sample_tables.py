@@ -70,9 +70,12 @@ def sample_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def sample_events_with_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """``sample_events`` with ``content``; an event without a document has an empty text."""
+    """``sample_events`` with ``content``; an event without a document has an empty text.
+
+    Texts are the bulk of the data, so they are never sent to every task.
+    """
     return (
-        sample_events(spark, sf_dir).join(sample_texts(spark, sf_dir), "doc_id", "left")
+        sample_events(spark, sf_dir).join(sample_texts(spark, sf_dir).hint("merge"), "doc_id", "left")
         .withColumn("content", F.coalesce("content", F.lit("")))
     )
 

@@ -8,6 +8,9 @@ kept with its text, so one bad line neither stops the job nor disappears.
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import and_
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -48,8 +51,10 @@ def read_text_stream(spark: SparkSession, folder: str, max_files: int | None = N
 
 def _field_count(text: Column) -> Column:
     # Separators inside a quoted field do not count; a quote opens a field only at its start.
+    # Most records have no quote at all and need no pattern.
     bare = F.regexp_replace(F.replace(text, F.lit('""'), F.lit("")), r'(^|\|)"[^"]*"', "$1")
-    return F.length(bare) - F.length(F.replace(bare, F.lit("|"), F.lit(""))) + 1
+    outside = F.when(F.contains(text, F.lit('"')), bare).otherwise(text)
+    return F.length(outside) - F.length(F.replace(outside, F.lit("|"), F.lit(""))) + 1
 
 
 def _long(field: Column) -> Column:
@@ -105,7 +110,7 @@ def _event_struct() -> Column:
     to_post = _long(comment["reply_to_post_id"])
     to_comment = _long(comment["reply_to_comment_id"])
 
-    as_post = _row(
+    a_post = dict(
         kind=F.lit("post"), id_kind=F.lit("post"), id=_long(post["id"]),
         person_id=_long(post["person_id"]), ts_s=parse_utc(post["creation_date"]),
         image_file=_optional_text(post["image_file"]),
@@ -115,7 +120,7 @@ def _event_struct() -> Column:
         content=F.coalesce(post["content"], F.lit("")), tags=parse_tags(post["tags"]),
         forum_id=_long(post["forum_id"]), place_id=_long(post["place_id"]),
     )
-    as_comment = _row(
+    a_comment = dict(
         kind=F.when(to_post.isNotNull(), "comment").otherwise("reply"),
         id_kind=F.lit("comment"), id=_long(comment["id"]),
         person_id=_long(comment["person_id"]), ts_s=parse_utc(comment["creation_date"]),
@@ -126,35 +131,29 @@ def _event_struct() -> Column:
         content=F.coalesce(comment["content"], F.lit("")),
         place_id=_long(comment["place_id"]),
     )
-    as_like = _row(
+    a_like = dict(
         kind=F.lit("like"), person_id=_long(like["person_id"]),
         ts_s=parse_utc(like["creation_date"]), parent_kind=F.lit("post"),
         parent_id=_long(like["post_id"]),
     )
-    good_post = _all_set(as_post, "id", "person_id", "ts_s", "forum_id", "place_id")
-    good_comment = _all_set(as_comment, "id", "person_id", "ts_s", "parent_id", "place_id")
-    good_like = _all_set(as_like, "person_id", "ts_s", "parent_id")
     return (
-        F.when(good_post, as_post)
-        .when(good_comment, as_comment)
-        .when(good_like, as_like)
-        .when(F.col("_mark").isNotNull(), _row(kind=F.lit("watermark"), ts_s=F.col("_mark")))
-        .otherwise(_row(kind=F.lit("malformed")))
+        F.when(_all_set(a_post, "id", "person_id", "ts_s", "forum_id", "place_id"), _row(a_post))
+        .when(_all_set(a_comment, "id", "person_id", "ts_s", "parent_id", "place_id"), _row(a_comment))
+        .when(_all_set(a_like, "person_id", "ts_s", "parent_id"), _row(a_like))
+        .when(F.col("_mark").isNotNull(), _row(dict(kind=F.lit("watermark"), ts_s=F.col("_mark"))))
+        .otherwise(_row(dict(kind=F.lit("malformed"))))
     )
 
 
-def _row(**given: Column) -> Column:
+def _row(given: dict[str, Column]) -> Column:
     """An event struct with the named columns set and the rest null."""
     return F.struct(*[
         given.get(f.name, F.lit(None)).cast(f.dataType).alias(f.name) for f in EVENT_SCHEMA
     ])
 
 
-def _all_set(struct: Column, *names: str) -> Column:
-    out = struct[names[0]].isNotNull()
-    for name in names[1:]:
-        out = out & struct[name].isNotNull()
-    return out
+def _all_set(given: dict[str, Column], *names: str) -> Column:
+    return reduce(and_, [given[name].isNotNull() for name in names])
 
 
 def events_only(parsed: DataFrame) -> DataFrame:
