@@ -54,14 +54,16 @@ def non_friends(knows: DataFrame, clients) -> DataFrame:
     return for_other_clients(known, clients).select("person_id", "candidate_id", "count")
 
 
-def common_friends(knows: DataFrame, clients) -> DataFrame:
-    """Paths of two steps from the client, per end point; the client is on neither step."""
+def common_friends(knows: DataFrame, clients, ordered: bool = False) -> DataFrame:
+    """Paths of two steps from the client, per end point; the client is on neither step.
+    ``ordered`` puts the largest counts first."""
     second = knows.select(F.col("person_id1").alias("friend_id"), F.col("person_id2").alias("candidate_id"))
-    return (
+    counts = (
         friends(knows, clients).join(second, "friend_id")
         .filter((F.col("friend_id") != F.col("person_id")) & (F.col("candidate_id") != F.col("person_id")))
         .groupBy("person_id", "candidate_id").agg(F.count("*").alias("count"))
     )
+    return counts.orderBy("person_id", F.desc("count"), "candidate_id") if ordered else counts
 
 
 def shared_organisations(members: DataFrame, clients) -> DataFrame:

@@ -18,6 +18,9 @@ from pyspark.sql import functions as F
 
 from crowdpulse.session import cut
 
+# Pointer rows are four numbers, so this many stay below 32 MB.
+BROADCAST_ROWS = 500_000
+
 
 def post_nodes(events: DataFrame) -> DataFrame:
     """One row per post id: its author and time. Repeated ids keep the earliest record."""
@@ -82,7 +85,13 @@ def follow_to_root(nodes: DataFrame, known: DataFrame | None = None) -> DataFram
                 F.col("ptr").alias("next"),
             )
         )
-        step = cut(open_.join(targets, "ptr").select(*columns, "root_post_id", "next"))
+        # The pointers left are counted, so few of them can go to the targets instead of all
+        # targets being exchanged once more; beyond the bound both sides are.
+        if left <= BROADCAST_ROWS:
+            step = targets.join(F.broadcast(open_), "ptr").repartition(1 + left // 50_000)
+        else:
+            step = targets.join(open_, "ptr")
+        step = cut(step.select(*columns, "root_post_id", "next"))
         settled = settled.unionByName(
             step.filter("root_post_id is not null").select(*columns, "root_post_id")
         )

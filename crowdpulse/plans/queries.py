@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from crowdpulse.functions.text import unique_word_ratio
+from crowdpulse.functions.timegrid import last_slot
 from crowdpulse.operators import active_posts as active
 from crowdpulse.operators import graph, recommend, spam, threshold, trees
 from crowdpulse.operators.timegrid import Running, periodic_snapshot, sliding_sum, time_bounds
@@ -89,8 +90,6 @@ def _dynamic(spark, sf_dir):
 def _activity(spark, sf_dir):
     events = sample.sample_events(spark, sf_dir)
     origin, until = time_bounds(events)
-    from crowdpulse.functions.timegrid import last_slot
-
     stop = last_slot(until, origin, RECOMMEND_EVERY)
     updates = trees.recommendation_updates(trees.post_trees(events))
     return recommend.activity_window_scores(updates, RECOMMEND_EVERY, RECOMMEND_WINDOW, origin, stop)
@@ -159,7 +158,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "friends": lambda s, d: graph.friends(knows(s, d), clients),
         "in_degree": lambda s, d: graph.in_degree(knows(s, d)),
         "non_friends": lambda s, d: graph.non_friends(knows(s, d), clients),
-        "common_friends": lambda s, d: graph.common_friends(knows(s, d), clients),
+        "common_friends": lambda s, d: graph.common_friends(knows(s, d), clients, ordered=True),
         "shared_work": lambda s, d: graph.shared_organisations(
             _static(s, d)["person_workAt_organisation"], clients),
         "shared_study": lambda s, d: graph.shared_organisations(
