@@ -164,7 +164,8 @@ def _threshold(buckets: int, width: float, cap: float, column: str = "u") -> str
     return f"CASE WHEN {total} < 10 THEN {cap!r}::DOUBLE {whens} END"
 
 
-def _running(source: str, deltas: list[tuple[str, str]], buckets: int, width: float, cap: float) -> str:
+def _running(source: str, deltas: list[tuple[str, str]], buckets: int, width: float, cap: float,
+             order: str = "ts_s, event_id") -> str:
     """CTEs ``counted`` and ``scored`` over ``source`` in the order of time and event."""
     cums = []
     for b in range(buckets):
@@ -175,7 +176,7 @@ def _running(source: str, deltas: list[tuple[str, str]], buckets: int, width: fl
     return f"""
 counted AS (
   SELECT *, {', '.join(cums)} FROM {source}
-  WINDOW run AS (ORDER BY ts_s, event_id ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)),
+  WINDOW run AS (ORDER BY {order} ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)),
 scored AS (SELECT *, {_threshold(buckets, width, cap)} AS threshold FROM counted)"""
 
 
@@ -209,6 +210,32 @@ burst AS (
   QUALIFY row_number() OVER (PARTITION BY person_id ORDER BY ts_s, event_id) = 1)"""
 
 
+# Records carry no event id, so ties of time are broken by what a record says about itself;
+# records that lead nowhere to begin with are unreadable and do not take part.
+_RECORD_ORDER = (
+    "ts_s, id NULLS FIRST, id_kind NULLS FIRST, person_id, parent_kind NULLS FIRST, parent_id NULLS FIRST"
+)
+_RECORDS = EVENTS + """,
+r AS (SELECT *, row_number() OVER (ORDER BY """ + _RECORD_ORDER + """, event_id) AS seq
+      FROM e WHERE kind = 'post' OR parent_id IS NOT NULL),"""
+_STREAM_SPAM = _RECORDS + RATIOS[len(EVENTS) + 1:RATIOS.index("texts AS")] + """
+texts AS (
+  SELECT r.seq AS event_id, r.person_id, r.ts_s, coalesce(q.ratio, 1.0::DOUBLE) AS ratio
+  FROM r LEFT JOIN doc_ratio AS q USING (doc_id) WHERE r.kind <> 'like')""" + "," + _running(
+    "texts", [("ratio", "1")], 10, 0.1, 0.5
+).replace("counted", "counted_v").replace("scored", "scored_v") + "," + _LOW_VOCABULARY.replace(
+    "scored", "scored_v"
+) + f""",
+bursts AS (
+  SELECT x.seq AS event_id, x.person_id, x.ts_s,
+         (SELECT count(*) FROM r AS y WHERE y.person_id = x.person_id AND y.ts_s >= x.ts_s - {SAMPLE_BURST_WINDOW}
+            AND y.seq <= x.seq) AS n
+  FROM r AS x),
+entries AS (SELECT *, greatest(0, 100 - n) AS entry FROM bursts)""" + "," + _running(
+    "entries", [("entry", "1"), ("entry + 1", "CASE WHEN n > 1 THEN -1 ELSE 0 END")], 20, 5.0, SAMPLE_BURST_CAP
+) + "," + _BURST_FLAGS
+
+
 def _with(ctes: str, body: str) -> str:
     return f"WITH RECURSIVE {ctes}\n{body}"
 
@@ -235,8 +262,21 @@ SELECT notify_ts, person_id, rank, candidate_id, score FROM (
 WHERE rank <= {RECOMMEND_SIZE}""")
 
 
+def _active_until_quiet() -> str:
+    """The statistics with ticks going on until every post has gone quiet."""
+    stop = f"ceil((until - origin) / {ACTIVE_POSTS_EVERY})"
+    assert stop in ACTIVE_POSTS
+    return ACTIVE_POSTS.replace(stop, f"ceil((until + {ACTIVE_POSTS_HORIZON} - origin) / {ACTIVE_POSTS_EVERY})")
+
+
 def oracle_sql() -> dict[str, str]:
     return {
+        "stream_post_trees": _with(TREES, "SELECT kind, post_id, person_id, ts_s, author_id FROM resolved"),
+        "stream_active_posts": _active_until_quiet(),
+        "stream_friend_recommendations": RECOMMENDATIONS,
+        "stream_spammers": _with(_STREAM_SPAM, """
+SELECT 'burst' AS detector, person_id, ts_s, CAST(entry AS DOUBLE) AS value, threshold FROM burst
+UNION ALL SELECT 'low_vocabulary', person_id, ts_s, ratio, threshold FROM low_vocabulary"""),
         "parse_events": _with(EVENTS, """
 SELECT kind, id_kind, id, person_id, ts_s, parent_kind, parent_id, forum_id,
        CASE WHEN kind = 'post' THEN concat('[', tag_key % 20, ', ', tag_key % 7, ']') END AS tags,

@@ -12,7 +12,7 @@ from crowdpulse.functions.timegrid import last_slot
 from crowdpulse.operators import active_posts as active
 from crowdpulse.operators import graph, recommend, spam, threshold, trees
 from crowdpulse.operators.timegrid import Running, periodic_snapshot, sliding_sum, time_bounds
-from crowdpulse.plans import api
+from crowdpulse.plans import api, stream_queries
 from crowdpulse.schema import RECOMMEND_CLIENTS, RECOMMEND_EVERY, RECOMMEND_WINDOW
 from crowdpulse.session import cut
 from crowdpulse.sources import sample_tables as sample
@@ -185,6 +185,11 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "burst_counts": _burst_counts,
         "burst_spam": _burst_spam,
         "spammers": lambda s, d: spam.spammers(_burst_spam(s, d), _low_vocabulary(s, d)),
+        "stream_post_trees": stream_queries.stream_post_trees,
+        "stream_active_posts": stream_queries.stream_active,
+        "stream_friend_recommendations": stream_queries.stream_recommendations,
+        "stream_spammers": lambda s, d: stream_queries.stream_spam(
+            s, d, SAMPLE_BURST_WINDOW, SAMPLE_BURST),
         "periodic_snapshot": _snapshot,
         "sliding_sum": _sliding,
     }

@@ -110,8 +110,8 @@ def sample_static(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     }
 
 
-def sample_wire(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The sample events as text records, texts quoted where they need it."""
+def sample_wire(spark: SparkSession, sf_dir: str, keep=()) -> DataFrame:
+    """The sample events as text records in ``value``, texts quoted."""
     e = sample_events_with_texts(spark, sf_dir)
     at = F.date_format(F.timestamp_seconds("ts_s"), "yyyy-MM-dd'T'HH:mm:ss'Z'")
     text = F.concat(F.lit('"'), F.replace("content", F.lit('"'), F.lit('""')), F.lit('"'))
@@ -129,5 +129,6 @@ def sample_wire(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     like = line(F.col("person_id"), F.col("parent_id"), at)
     return e.select(
+        *keep,
         F.when(F.col("kind") == "post", post).when(F.col("kind") == "like", like).otherwise(comment).alias("value")
     )
