@@ -33,7 +33,7 @@ from crowdpulse.streaming import (
     write_stream,
 )
 
-PORTIONS = 3
+PORTIONS = 2
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
 
@@ -46,12 +46,13 @@ class Replay:
         self.events = sample.sample_events(spark, sf_dir)
         self.origin, self.until = time_bounds(self.events)
         arrival = F.col("ts_s") + F.pmod(F.col("event_id") * 7919, F.lit(MAX_DELAY_SECONDS - 1))
-        first, last = self.events.agg(F.min("ts_s"), F.max("ts_s")).first()
-        span = (last + MAX_DELAY_SECONDS - first) // PORTIONS + 1
+        first = self.events.agg(F.min("ts_s")).first()[0]
+        span = (self.until + MAX_DELAY_SECONDS - first) // PORTIONS + 1
         portion = F.call_function("div", arrival - F.lit(first), F.lit(span))
-        self.records = sample.sample_wire(spark, sf_dir, keep=("ts_s", "event_id")).select(
-            portion.alias("portion"), "value"
-        )
+        records = sample.sample_wire(spark, sf_dir, keep=("ts_s", "event_id"))
+        # Written once, one folder per portion.
+        records.select(portion.alias("portion"), "value").write.partitionBy("portion").parquet(self.path("sent"))
+        self.records = spark.read.parquet(self.path("sent"))
 
     def _send(self, rows: DataFrame) -> None:
         rows.select("value").write.mode("append").parquet(f"{self.root}/records")

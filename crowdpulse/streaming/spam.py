@@ -45,17 +45,16 @@ class SpamStream:
             return
         columns = tables.schemas["waiting"].names
         ratio = F.when(F.col("kind") != "like", unique_word_ratio("content"))
-        arrived = cut(parsed.withColumn("ratio", ratio).select(*columns))
         before = tables.previous(spark, "state", batch_id).first()
+        arrived = parsed.filter("kind <> 'malformed'").withColumn("ratio", ratio).select(*columns)
+        arrived = cut(arrived.unionByName(tables.previous(spark, "waiting", batch_id)))
         top = arrived.agg(F.max("ts_s")).first()[0]
         max_ts = max(x for x in (before and before["max_ts"], top, 0) if x is not None)
         reached = max_ts - self.max_delay
-        closed_before = before["closed"] if before else None
 
-        events = arrived.filter("kind not in ('watermark', 'malformed')")
-        if closed_before is not None:  # later than the bound: its place in the order is gone
-            events = events.filter(F.col("ts_s") > closed_before)
-        events = cut(events.unionByName(tables.previous(spark, "waiting", batch_id)))
+        events = arrived.filter("kind <> 'watermark'")
+        if before:  # later than the bound: its place in the order is gone
+            events = events.filter(F.col("ts_s") > before["closed"])
         closed = events.filter(F.col("ts_s") <= reached)
 
         burst_flags, burst_state, recent = self._bursts(closed, tables.previous(spark, "recent", batch_id),

@@ -57,18 +57,16 @@ class ThreadStream:
         spark, tables = parsed.sparkSession, self.tables
         if tables.done(spark, "resolved", batch_id):
             return
-        parsed = cut(parsed.select(
-            "kind", "id_kind", "id", "person_id", "ts_s", "parent_kind", "parent_id", "forum_id", "tags"
-        ))
+        columns = tables.schemas["waiting"].names
+        arrived = cut(
+            parsed.filter("kind <> 'malformed'").select(*columns)
+            .unionByName(tables.previous(spark, "waiting", batch_id))
+        )
         before = tables.previous(spark, "progress", batch_id).agg(F.max("max_ts")).first()[0]
-        top = parsed.agg(F.max("ts_s")).first()[0]
+        top = arrived.agg(F.max("ts_s")).first()[0]
         max_ts = max((t for t in (before, top) if t is not None), default=None)
         expired = (max_ts or 0) - self.max_delay
-
-        events = cut(
-            parsed.filter("kind not in ('watermark', 'malformed')")
-            .unionByName(tables.previous(spark, "waiting", batch_id))
-        )
+        events = arrived.filter("kind <> 'watermark'")
         # Known comments, looked up once for the answered ids and for repeated ids.
         comments = events.filter("kind in ('comment', 'reply')")
         ids = comments.select("id").unionByName(
@@ -83,7 +81,7 @@ class ThreadStream:
             events.filter("kind = 'post'").select(F.col("id").alias("post_id"))
         ).filter("post_id is not null").distinct()
         known_posts = cut(tables.earlier(spark, "posts", batch_id).join(targets, "post_id", "left_semi"))
-        fresh_posts = cut(trees.post_nodes(events).join(known_posts, "post_id", "left_anti"))
+        fresh_posts = trees.post_nodes(events).join(known_posts, "post_id", "left_anti")
         placed = cut(found.join(known_posts.unionByName(fresh_posts), "post_id", "left"))
 
         tables.write("nodes", roots.join(known, "id", "left_anti"), batch_id)

@@ -30,6 +30,9 @@ def test_every_query_has_a_twin():
 @pytest.mark.parametrize("name", sorted(entry.queries()))
 def test_query(spark, duck, name):
     df = entry.queries()[name](spark, SMALL)
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan
+    assert "BatchEvalPython" not in plan and "ArrowEvalPython" not in plan
     rows = [tuple(r) for r in df.collect()]
     result = duck.execute(entry.oracle_sql()[name])
     columns = [d[0] for d in result.description]
