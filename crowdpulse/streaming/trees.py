@@ -72,7 +72,7 @@ class ThreadStream:
         ids = comments.select("id").unionByName(
             events.filter("kind = 'reply'").select(F.col("parent_id").alias("id"))
         ).distinct()
-        known = cut(tables.earlier(spark, "nodes", batch_id).join(ids, "id", "left_semi"))
+        known = cut(lookup(tables.earlier(spark, "nodes", batch_id), ids, "id"))
         fresh = trees.comment_nodes(comments).join(known, "id", "left_anti")
         roots = cut(trees.follow_to_root(fresh, known))
 
@@ -80,7 +80,7 @@ class ThreadStream:
         targets = found.select("post_id").unionByName(
             events.filter("kind = 'post'").select(F.col("id").alias("post_id"))
         ).filter("post_id is not null").distinct()
-        known_posts = cut(tables.earlier(spark, "posts", batch_id).join(targets, "post_id", "left_semi"))
+        known_posts = cut(lookup(tables.earlier(spark, "posts", batch_id), targets, "post_id"))
         fresh_posts = trees.post_nodes(events).join(known_posts, "post_id", "left_anti")
         placed = cut(found.join(known_posts.unionByName(fresh_posts), "post_id", "left"))
 
@@ -115,3 +115,16 @@ class ThreadStream:
             parsed.writeStream.foreachBatch(self).option("checkpointLocation", checkpoint)
             .trigger(**(trigger or {"availableNow": True})).start()
         )
+
+
+def lookup(table: DataFrame, wanted: DataFrame, key: str) -> DataFrame:
+    """Rows of a long history table for the keys of a micro-batch.
+
+    The keys are counted first. Few enough, they go to the table, which then need not be
+    exchanged. Ids grow with time, so their range lets the scan skip most of the old files.
+    """
+    n, low, high = wanted.agg(F.count("*"), F.min(key), F.max(key)).first()
+    if not n:
+        return table.filter(F.lit(False))
+    side = F.broadcast(wanted) if n <= trees.BROADCAST_ROWS else wanted
+    return table.filter(F.col(key).between(low, high)).join(side, key, "left_semi")

@@ -138,6 +138,14 @@ def test_recommendation_stream(spark, tmp_path):
     assert got == sorted(tuple(r) for r in expected.collect())
 
 
+def test_sinks(spark, tmp_path):
+    source = drop(tmp_path / "in", [SHORT[:4], SHORT[4:]])
+    parsed = parse_events(read_text_stream(spark, source)).select("kind", "person_id")
+    write_stream(parsed, "memory", "short_events", str(tmp_path / "cp-m")).awaitTermination()
+    assert spark.table("short_events").count() == len(SHORT)
+    write_stream(parsed, "console", None, str(tmp_path / "cp-c")).awaitTermination()
+
+
 @pytest.mark.parametrize("lines, size", [(BURST, 20), (WORDS, 14)])
 def test_spam_stream(spark, tmp_path, lines, size):
     ordered = disordered(lines, 5)
