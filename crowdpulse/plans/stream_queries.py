@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -37,6 +38,28 @@ PORTIONS = 2
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
 
+@contextmanager
+def state_settings(spark: SparkSession):
+    """Settings a keyed-state stream keeps for life: its store, and no more state partitions
+    than the cluster has slots, as each costs every trigger a worker."""
+    partitions = min(int(spark.conf.get("spark.sql.shuffle.partitions")), spark.sparkContext.defaultParallelism)
+    wanted = {
+        "spark.sql.streaming.stateStore.providerClass": ROCKSDB,
+        "spark.sql.shuffle.partitions": str(partitions),
+    }
+    before = {key: spark.conf.get(key, None) for key in wanted}
+    for key, value in wanted.items():
+        spark.conf.set(key, value)
+    try:
+        yield
+    finally:
+        for key, value in before.items():
+            if value is None:
+                spark.conf.unset(key)
+            else:
+                spark.conf.set(key, value)
+
+
 class Replay:
     """Portions of records in a folder of their own under the shared checkpoint folder."""
 
@@ -92,16 +115,16 @@ def stream_post_trees(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def stream_active(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Reports until every post has gone quiet."""
-    spark.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB)
     replay = Replay(spark, sf_dir)
     threads = _threads(replay, origin=replay.origin)
     end = replay.until + ACTIVE_POSTS_HORIZON + ACTIVE_POSTS_EVERY + MAX_DELAY_SECONDS
     # The clock of a batch is that of the batches before it, so the end is said twice.
     for _ in replay.portions(end, end):
         _place(replay, threads)
-        write_stream(
-            stream_active_posts(spark, threads), "parquet", replay.path("active"), replay.path("cp-active")
-        ).awaitTermination()
+        with state_settings(spark):
+            write_stream(
+                stream_active_posts(spark, threads), "parquet", replay.path("active"), replay.path("cp-active")
+            ).awaitTermination()
     return spark.read.parquet(replay.path("active"))
 
 

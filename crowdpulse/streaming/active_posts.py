@@ -8,7 +8,10 @@ slots up and reports, until the post has gone quiet.
 
 from __future__ import annotations
 
+import sys
+
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
@@ -16,6 +19,9 @@ from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 from crowdpulse.schema import ACTIVE_POSTS_HORIZON
 from crowdpulse.streaming.trees import ThreadStream
 
+# The state class travels to the workers with the query; they need not have this package.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 OUTPUT = "notify_ts bigint, post_id bigint, num_comments bigint, num_replies bigint, num_people bigint"
 
 
