@@ -1,8 +1,8 @@
 """Recommendations as a continuous query.
 
 A tick can be served once all events up to it have arrived and are placed. It then depends on
-the placed events of the last window only, plus the tags of the clients' own posts, so each
-run reads that much and nothing else.
+the placed events of the last window only, plus the tags the clients used before, which are
+carried on from run to run; each run reads that much and nothing else.
 """
 
 from __future__ import annotations
@@ -10,7 +10,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from crowdpulse.functions.timegrid import last_slot
 from crowdpulse.operators import recommend, trees
 from crowdpulse.schema import (
     RECOMMEND_CLIENTS,
@@ -23,6 +22,7 @@ from crowdpulse.session import cut
 from crowdpulse.streaming.tables import BatchTables
 from crowdpulse.streaming.trees import ThreadStream
 
+FIRST_USE = "person_id bigint, tag bigint, first_use bigint"
 RESULT = "notify_ts bigint, person_id bigint, rank bigint, candidate_id bigint, score bigint"
 
 
@@ -33,7 +33,9 @@ class RecommendationStream:
     def __init__(self, spark: SparkSession, root: str, threads: ThreadStream, static: dict[str, DataFrame],
                  origin: int, clients=RECOMMEND_CLIENTS, every: int = RECOMMEND_EVERY,
                  window: int = RECOMMEND_WINDOW, k: int = RECOMMEND_SIZE, weights: Weights = Weights()):
-        self.tables = BatchTables(spark, root, {"served": "slot bigint", "recommendations": RESULT})
+        self.tables = BatchTables(spark, root, {
+            "served": "slot bigint", "first_use": FIRST_USE, "recommendations": RESULT,
+        })
         self.threads, self.static, self.origin = threads, static, origin
         self.clients, self.every, self.window, self.k, self.weights = clients, every, window, k, weights
 
@@ -45,26 +47,40 @@ class RecommendationStream:
         reached = self.threads.reached(spark)
         # A tick is complete when the time reached is at or past it.
         complete = served if reached is None else max(served, (reached - self.origin) // self.every)
+        first_use = self.tables.previous(spark, "first_use", batch_id)
         if complete > served:
-            result = self.ticks(spark, served + 1, complete)
+            first_use = cut(self._first_use(spark, first_use, served, complete))
+            result = self.ticks(spark, served + 1, complete, first_use)
         else:
             result = spark.createDataFrame([], RESULT)
+        self.tables.write("first_use", first_use, batch_id)
         self.tables.write("served", spark.createDataFrame([(complete,)], "slot bigint"), batch_id)
         self.tables.write("recommendations", result, batch_id)
 
-    def ticks(self, spark: SparkSession, first: int, last: int) -> DataFrame:
+    def _first_use(self, spark: SparkSession, so_far: DataFrame, served: int, complete: int) -> DataFrame:
+        """First uses up to the last complete tick: those known, and those since the last one served."""
+        posts = trees.recommendation_updates(self.threads.resolved(spark)).filter(
+            F.col("ts_s") <= self._time(complete)
+        )
+        if served:
+            posts = posts.filter(F.col("ts_s") > self._time(served))
+        return (
+            so_far.unionByName(recommend.tag_first_use(posts, self.clients))
+            .groupBy("person_id", "tag").agg(F.min("first_use").alias("first_use"))
+        )
+
+    def ticks(self, spark: SparkSession, first: int, last: int, first_use: DataFrame) -> DataFrame:
         """Recommendations of the ticks ``first .. last``."""
-        until = self.origin + last * self.every
-        since = self.origin + first * self.every - self.window
-        resolved = self.threads.resolved(spark)
-        updates = trees.recommendation_updates(resolved)
+        until, since = self._time(last), self._time(first) - self.window
+        updates = trees.recommendation_updates(self.threads.resolved(spark))
         recent = cut(updates.filter((F.col("ts_s") > since) & (F.col("ts_s") <= until)))
-        first_use = cut(recommend.tag_first_use(updates.filter(F.col("ts_s") <= until), self.clients))
-        assert last_slot(until, self.origin, self.every) == last
         return recommend.friend_recommendations(
             recent, self.static, self.clients, self.every, self.window, self.origin, until, self.k,
             self.weights, first_slot=first, first_use=first_use,
         )
 
+    def _time(self, slot: int) -> int:
+        return self.origin + slot * self.every
+
     def result(self, spark: SparkSession) -> DataFrame:
         return self.tables.everything(spark, "recommendations")
