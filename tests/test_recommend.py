@@ -7,8 +7,6 @@ from crowdpulse.plans import api
 from crowdpulse.schema import Weights
 from scenarios import RECOMMEND, events
 
-LONGS2 = "{} long, {} long"
-
 
 def tables(spark, knows=(), work=(), study=(), forums=()):
     make = spark.createDataFrame
