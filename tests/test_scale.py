@@ -4,7 +4,7 @@ import contextlib
 
 from pyspark.sql import functions as F
 
-from crowdpulse.operators import recommend, trees
+from crowdpulse.operators import recommend, spam, threshold, trees
 from crowdpulse.plans.queries import queries
 from crowdpulse.session import cut
 
@@ -85,3 +85,21 @@ def test_top_k_limits_before_the_exchange(spark):
     best = recommend.top_candidates(df, ["g"], 5)
     assert "WindowGroupLimit" in plan(best)
     assert best.count() == 15
+
+
+def test_a_hot_second_and_a_hot_person_are_cut_into_slices(spark):
+    """Half of the rows are one person's in one second; no slice holds more than its share."""
+    n = 40_000
+    df = spark.range(n).repartition(8).select(
+        F.when(F.col("id") % 2 == 0, 5_000).otherwise(F.col("id")).cast("bigint").alias("ts_s"),
+        F.col("id").alias("event_id"),
+        F.when(F.col("id") % 2 == 0, 1).otherwise(F.col("id")).cast("bigint").alias("person_id"),
+    )
+    order = ("ts_s", "event_id")
+    sliced = threshold.slice_in_order(df, order, 8)
+    sizes = [r["count"] for r in sliced.groupBy("slice").count().collect()]
+    assert sum(sizes) == n and len(sizes) == 8 and max(sizes) < n / 4
+    counts = spam.burst_counts(sliced, order, 60).filter("person_id = 1")
+    # Numbered one by one across the slices.
+    row = counts.agg(F.min("n"), F.max("n"), F.count_distinct("n")).first()
+    assert tuple(row) == (1, n // 2, n // 2)
