@@ -5,6 +5,8 @@ import pytest
 
 import __spark_entry__ as entry
 from check_oracle import TABLES, canonical
+from crowdpulse.plans.oracle import oracle_sql
+from crowdpulse.plans.queries import queries
 
 SMALL = "/root/testdata/sf0.001"
 
@@ -24,17 +26,17 @@ def test_entry(spark):
 
 
 def test_every_query_has_a_twin():
-    assert set(entry.oracle_sql()) == set(entry.queries())
+    assert set(oracle_sql()) == set(queries())
 
 
-@pytest.mark.parametrize("name", sorted(entry.queries()))
+@pytest.mark.parametrize("name", sorted(queries()))
 def test_query(spark, duck, name):
-    df = entry.queries()[name](spark, SMALL)
+    df = queries()[name](spark, SMALL)
     plan = df._jdf.queryExecution().executedPlan().toString()
     assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan
     assert "BatchEvalPython" not in plan and "ArrowEvalPython" not in plan
     rows = [tuple(r) for r in df.collect()]
-    result = duck.execute(entry.oracle_sql()[name])
+    result = duck.execute(oracle_sql()[name])
     columns = [d[0] for d in result.description]
     assert sorted(df.columns) == sorted(columns)
     assert canonical(rows, df.columns) == canonical(result.fetchall(), columns)
