@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import sys
+import types
 import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -37,3 +39,11 @@ def written(df: DataFrame, label: str) -> DataFrame:
 
 def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+
+def once_per_worker(key: str, make):
+    """``make()``, kept for the life of a Python worker, whose tasks each get functions of their own."""
+    kept = sys.modules.setdefault("_corpus_worker", types.ModuleType("_corpus_worker")).__dict__
+    if key not in kept:
+        kept[key] = make()
+    return kept[key]

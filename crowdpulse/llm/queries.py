@@ -5,11 +5,21 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from crowdpulse.llm.common import read_table
+from crowdpulse.llm import langid, quality
+from crowdpulse.llm.common import fold, read_table
 from crowdpulse.llm.line_dedup import dedup_lines
+from crowdpulse.llm.mixing import mix
+from crowdpulse.llm.packing import pack_documents
 from crowdpulse.llm.simhash import simhash_components
 
 
+def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents")
+    held_out = fold("doc_id", 5) == 0
+    model = langid.fit(docs.filter(~held_out))
+    return langid.predict(docs, model, F.col("doc_id"), F.coalesce(held_out, F.lit(False)).alias("held_out"))
+
+
 def op2_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash_components(read_table(spark, sf_dir, "documents"))
     return found.select(
@@ -17,6 +27,16 @@ def op2_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op5_pareto_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mix(read_table(spark, sf_dir, "documents")).select(
+        "doc_id", "size", "source_size", "target", (F.col("copies") * F.col("size")).alias("taken"), "copies"
+    )
+
+
+def op6_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pack_documents(read_table(spark, sf_dir, "documents"))
+
+
 def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
     return dedup_lines(docs).select(
@@ -25,6 +45,57 @@ def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op10_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels")
+    held_out = fold("doc_id", 3) == 1
+    model = quality.fit(docs.filter(~held_out), labels.filter(~held_out))
+    return quality.score(docs, model, F.col("doc_id"), F.coalesce(held_out, F.lit(False)).alias("held_out")).withColumn(
+        "predicted", (F.col("score") >= 0.5).cast("int")
+    )
+
+
+OP5_SQL = r"""
+WITH sized AS (
+  SELECT doc_id, source, coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0)::BIGINT AS size,
+         (('0x' || substr(md5('17:' || coalesce(doc_id::VARCHAR, 'text:' || md5(coalesce(text, '')))), 1, 13))::BIGINT + 0.5::DOUBLE)
+           / 4503599627370496.0::DOUBLE AS u
+  FROM documents
+), per AS (
+  SELECT source, sum(size)::BIGINT AS source_size,
+         [3.0, 1.0, 2.0][((row_number() OVER (ORDER BY encode(source) NULLS LAST) - 1) % 3 + 1)::INT]::DOUBLE AS weight
+  FROM sized GROUP BY source
+), caps AS (
+  SELECT *, 2.0::DOUBLE * source_size AS cap FROM per
+), filled AS (
+  SELECT *, row_number() OVER o AS place,
+         (1.5::DOUBLE * sum(source_size) OVER () - coalesce(sum(cap) OVER (o ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0.0::DOUBLE))
+           / sum(weight) OVER (o ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS level
+  FROM caps WINDOW o AS (ORDER BY cap / weight, encode(source) NULLS LAST)
+), targets AS (
+  SELECT source, source_size,
+         least(cap, coalesce((SELECT arg_min(level, place) FROM filled WHERE level * weight <= cap) * weight, cap)) AS target
+  FROM filled
+), expected AS (
+  SELECT d.doc_id, d.source, d.size, t.source_size, t.target, d.u,
+         least(CASE WHEN t.source_size > 0 THEN t.target / t.source_size ELSE 0.0::DOUBLE END, 2.0::DOUBLE) AS e
+  FROM sized d JOIN targets t ON d.source IS NOT DISTINCT FROM t.source
+), placed AS (
+  SELECT *, floor(e)::BIGINT AS certain, e - floor(e) AS p,
+         CASE WHEN e - floor(e) > 0 THEN (u / (1 - u)) / ((e - floor(e)) / (1 - (e - floor(e)))) END AS q
+  FROM expected
+), ranked AS (
+  SELECT source, q, sum(size) AS size, min(need) AS need,
+         coalesce(sum(sum(size)) OVER (PARTITION BY source ORDER BY q ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS done
+  FROM (SELECT *, target - sum(certain * size) OVER (PARTITION BY source) AS need FROM placed) WHERE q IS NOT NULL
+  GROUP BY source, q
+), cut AS (
+  SELECT source, max(q) AS last FROM ranked WHERE 2 * done + size < 2 * need GROUP BY source
+)
+SELECT p.doc_id, p.size, p.source_size, p.target, (p.certain + coalesce(p.q <= c.last, false)::INT) * p.size AS taken,
+       p.certain + coalesce(p.q <= c.last, false)::INT AS copies
+FROM placed p LEFT JOIN cut c ON p.source IS NOT DISTINCT FROM c.source
+"""
+
 OP9_SQL = r"""
 WITH lines AS (
   SELECT doc_id, coalesce(text, '') AS text, unnest(string_split(coalesce(text, ''), chr(10))) AS line,
@@ -47,10 +118,15 @@ FROM marked GROUP BY doc_id
 """
 
 QUERIES = {
+    "op1_language_id": op1_language_id,
     "op2_simhash_near_dedup": op2_simhash_near_dedup,
+    "op5_pareto_mix": op5_pareto_mix,
+    "op6_best_fit_packing": op6_best_fit_packing,
     "op9_line_dedup": op9_line_dedup,
+    "op10_quality_classifier": op10_quality_classifier,
 }
 
 ORACLE_SQL = {
+    "op5_pareto_mix": OP5_SQL,
     "op9_line_dedup": OP9_SQL,
 }
