@@ -11,6 +11,7 @@ from crowdpulse.llm.line_dedup import dedup_lines
 from crowdpulse.llm.mixing import mix
 from crowdpulse.llm.packing import pack_documents
 from crowdpulse.llm.simhash import simhash_components
+from crowdpulse.llm.warc import read_warc, write_warc
 
 
 def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -37,6 +38,11 @@ def op6_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack_documents(read_table(spark, sf_dir, "documents"))
 
 
+def op8_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    index = write_warc(read_table(spark, sf_dir, "pages"))
+    return read_warc(spark, index).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
 def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
     return dedup_lines(docs).select(
@@ -96,6 +102,18 @@ SELECT p.doc_id, p.size, p.source_size, p.target, (p.certain + coalesce(p.q <= c
 FROM placed p LEFT JOIN cut c ON p.source IS NOT DISTINCT FROM c.source
 """
 
+OP8_SQL = """
+WITH payloads AS (
+  SELECT page_id, octet_length(encode(coalesce(html, ''))) AS payload_bytes, sha1(coalesce(html, '')) AS payload_digest FROM pages
+), held AS (
+  SELECT payload_digest, payload_bytes, max(page_id) AS latest FROM payloads WHERE payload_bytes >= 1000 GROUP BY ALL
+)
+SELECT p.page_id, p.payload_bytes, p.payload_digest,
+       CASE WHEN p.page_id < h.latest THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN p.page_id < h.latest THEN h.latest END AS refers_to
+FROM payloads p LEFT JOIN held h ON p.payload_digest = h.payload_digest AND p.payload_bytes = h.payload_bytes
+"""
+
 OP9_SQL = r"""
 WITH lines AS (
   SELECT doc_id, coalesce(text, '') AS text, unnest(string_split(coalesce(text, ''), chr(10))) AS line,
@@ -122,11 +140,13 @@ QUERIES = {
     "op2_simhash_near_dedup": op2_simhash_near_dedup,
     "op5_pareto_mix": op5_pareto_mix,
     "op6_best_fit_packing": op6_best_fit_packing,
+    "op8_warc": op8_warc,
     "op9_line_dedup": op9_line_dedup,
     "op10_quality_classifier": op10_quality_classifier,
 }
 
 ORACLE_SQL = {
     "op5_pareto_mix": OP5_SQL,
+    "op8_warc": OP8_SQL,
     "op9_line_dedup": OP9_SQL,
 }
