@@ -7,8 +7,10 @@ from pyspark.sql import functions as F
 
 from crowdpulse.llm import langid, quality
 from crowdpulse.llm.common import fold, read_table
+from crowdpulse.llm.embed_dedup import embedding_components
 from crowdpulse.llm.line_dedup import dedup_lines
 from crowdpulse.llm.mixing import mix
+from crowdpulse.llm.neighbours import nearest
 from crowdpulse.llm.packing import pack_documents
 from crowdpulse.llm.simhash import simhash_components
 from crowdpulse.llm.warc import read_warc, write_warc
@@ -28,6 +30,11 @@ def op2_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op4_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = embedding_components(read_table(spark, sf_dir, "embeddings"))
+    return found.withColumn("kept", F.coalesce(F.col("vec_id") == F.col("component_id"), F.lit(False)))
+
+
 def op5_pareto_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix(read_table(spark, sf_dir, "documents")).select(
         "doc_id", "size", "source_size", "target", (F.col("copies") * F.col("size")).alias("taken"), "copies"
@@ -38,6 +45,10 @@ def op6_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack_documents(read_table(spark, sf_dir, "documents"))
 
 
+def op7_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return nearest(read_table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0)
+
+
 def op8_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     index = write_warc(read_table(spark, sf_dir, "pages"))
     return read_warc(spark, index).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
@@ -138,8 +149,10 @@ FROM marked GROUP BY doc_id
 QUERIES = {
     "op1_language_id": op1_language_id,
     "op2_simhash_near_dedup": op2_simhash_near_dedup,
+    "op4_embedding_near_dedup": op4_embedding_near_dedup,
     "op5_pareto_mix": op5_pareto_mix,
     "op6_best_fit_packing": op6_best_fit_packing,
+    "op7_nearest_neighbours": op7_nearest_neighbours,
     "op8_warc": op8_warc,
     "op9_line_dedup": op9_line_dedup,
     "op10_quality_classifier": op10_quality_classifier,
