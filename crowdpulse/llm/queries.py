@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from crowdpulse.llm import langid, quality
 from crowdpulse.llm.common import fold, read_table
 from crowdpulse.llm.embed_dedup import embedding_components
+from crowdpulse.llm.html_text import main_text
 from crowdpulse.llm.line_dedup import dedup_lines
 from crowdpulse.llm.mixing import mix
 from crowdpulse.llm.neighbours import nearest
@@ -30,6 +31,10 @@ def op2_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op3_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return main_text(read_table(spark, sf_dir, "pages"))
+
+
 def op4_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = embedding_components(read_table(spark, sf_dir, "embeddings"))
     return found.withColumn("kept", F.coalesce(F.col("vec_id") == F.col("component_id"), F.lit(False)))
@@ -149,6 +154,7 @@ FROM marked GROUP BY doc_id
 QUERIES = {
     "op1_language_id": op1_language_id,
     "op2_simhash_near_dedup": op2_simhash_near_dedup,
+    "op3_html_text": op3_html_text,
     "op4_embedding_near_dedup": op4_embedding_near_dedup,
     "op5_pareto_mix": op5_pareto_mix,
     "op6_best_fit_packing": op6_best_fit_packing,
