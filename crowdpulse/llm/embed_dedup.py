@@ -72,8 +72,7 @@ def embedding_components(vectors: DataFrame, threshold: float = 0.9) -> DataFram
     than 0). Vectors that are null, empty, zero or hold null or non-finite components link with
     nothing; nor do those of another length than most, and rows with a null vec_id. Each is
     returned with no links and its own vec_id as component. Rows that repeat a vec_id count as
-    vectors of their own; they share a component. Other columns are ignored; an empty table gives
-    an empty table.
+    vectors of their own. Other columns are ignored; an empty table gives an empty table.
     """
     spark = vectors.sparkSession
     if threshold <= 0:
@@ -85,8 +84,9 @@ def embedding_components(vectors: DataFrame, threshold: float = 0.9) -> DataFram
     dim = dimension(good)
     good = good.filter(F.size("vector") == dim)
     folded = written(
-        good.groupBy("vector").agg(F.min("vec_id").alias("node"), F.count("*").alias("copies"))
-        .select("node", "copies", "vector"),
+        good.groupBy("vector").agg(F.min("vec_id").alias("least"), F.count("*").alias("copies"))
+        # Written once, the numbers are the same for every reader.
+        .select(F.monotonically_increasing_id().alias("node"), "copies", "vector", "least"),
         "folded-vectors",
     )
     n = folded.count()
@@ -172,13 +172,15 @@ def embedding_components(vectors: DataFrame, threshold: float = 0.9) -> DataFram
     found = written(pairs.mapInArrow(compare, "a long, b long, links long"), "vector-links")
     component = connected_components(found.select("a", "b"))
     links = found.groupBy(F.col("a").alias("node")).agg(F.sum("links").alias("links"))
-    named = written(
+    placed = written(
         folded.join(links, "node", "left").join(component, "node", "left").select(
-            F.col("vector").alias("_vector"), (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("n_links"),
-            F.coalesce("component", "node").alias("component_id"),
+            F.col("vector").alias("_vector"), "least", (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("n_links"),
+            F.coalesce("component", "node").alias("component"),
         ),
-        "named-vectors",
+        "placed-vectors",
     )
+    least = placed.groupBy("component").agg(F.min("least").alias("component_id"))
+    named = written(placed.join(least, "component").select("_vector", "n_links", "component_id"), "named-vectors")
     # Both sides are plain tables: adaptive execution can split a vector with very many copies.
     linked = good.join(named, F.col("vector") == F.col("_vector")).select("vec_id", "n_links", "component_id")
     odd_rows = rows.filter(

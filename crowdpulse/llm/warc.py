@@ -11,7 +11,6 @@ from __future__ import annotations
 
 import base64
 import hashlib
-import io
 import re
 import struct
 import uuid
@@ -26,6 +25,8 @@ from crowdpulse.llm.common import shared_path, written
 
 #: Magic number of the skippable frame for the dictionary of a .warc.zst file.
 DICTIONARY_FRAME = 0x184D2A5D
+#: Bytes read at a time: what is left of them after a frame is copied.
+CHUNK = 1 << 16
 REVISIT_PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 INDEX = "page_id long, url string, record_type string, file string, offset long, length long"
 RECORDS = "page_id long, url string, payload_bytes long, payload_digest string, record_type string, refers_to long"
@@ -82,26 +83,34 @@ def _dictionary(data: bytes):
     return zstandard.ZstdCompressionDict(data) if data else None
 
 
+def _frames(stream, dictionary: bytes):
+    """The content of every frame of an open stream; a frame that is cut off raises."""
+    plain = zstandard.ZstdDecompressor(dict_data=_dictionary(dictionary))
+    data = stream.read(CHUNK)
+    while data:
+        frame, parts = plain.decompressobj(), []
+        while not frame.eof:
+            if not data:
+                raise ValueError("the last record is cut off")
+            parts.append(frame.decompress(data))
+            data = frame.unused_data if frame.eof else stream.read(CHUNK)
+        yield b"".join(parts)
+        data = data or stream.read(CHUNK)
+
+
 def read_records(stream):
-    """Yield ``headers, payload`` of every record of an open .warc.zst stream."""
+    """Yield ``headers, payload`` of every record of an open .warc.zst stream, one frame each."""
     magic, size = struct.unpack("<II", stream.read(8))
     if magic != DICTIONARY_FRAME:
         raise ValueError("no dictionary frame at the start")
-    plain = io.BufferedReader(
-        zstandard.ZstdDecompressor(dict_data=_dictionary(stream.read(size))).stream_reader(stream, read_across_frames=True),
-        1 << 20,
-    )
-    while line := plain.readline():
-        if line != b"WARC/1.1\r\n":
-            raise ValueError(f"not the start of a record: {line[:40]!r}")
-        headers = {}
-        while (line := plain.readline()) not in (b"\r\n", b""):
-            name, _, value = line.decode().rstrip("\r\n").partition(": ")
-            headers[name] = value
-        body = plain.read(int(headers["Content-Length"]))
-        if plain.read(4) != b"\r\n\r\n":
-            raise ValueError("record is cut off")
-        http, _, payload = body.partition(b"\r\n\r\n")
+    for one in _frames(stream, stream.read(size)):
+        head, _, rest = one.partition(b"\r\n\r\n")
+        version, *lines = head.decode().split("\r\n")
+        headers = dict(line.split(": ", 1) for line in lines)
+        length = int(headers["Content-Length"])
+        if version != "WARC/1.1" or rest[length:] != b"\r\n\r\n":
+            raise ValueError(f"not a whole record: {one[:40]!r}")
+        http, _, payload = rest[:length].partition(b"\r\n\r\n")
         headers["HTTP-Length"] = re.search(rb"Content-Length: (\d+)", http)[1].decode()
         yield headers, payload
 

@@ -1,0 +1,73 @@
+import numpy as np
+from pyspark.sql import functions as F
+
+from crowdpulse.llm import langid
+from crowdpulse.llm.common import fold
+from crowdpulse.llm.langid import letter_table, letters, ngram_buckets
+
+TABLE = letter_table()
+
+
+def test_held_out_documents(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    held_out = fold("doc_id", 5) == 0
+    model = langid.fit(docs.filter(~held_out))
+    rows = langid.predict(docs.filter(held_out), model, F.col("lang")).collect()
+    assert np.mean([r["lang"] == r["lang_pred"] for r in rows]) > 0.97
+    assert all(0 < r["score"] <= 1 for r in rows)
+
+
+def test_letters():
+    show = lambda t: "".join(map(chr, letters(t, TABLE)))
+    assert show("Ab-c  dÉ!9") == " ab c dé "
+    assert show("x") == " x " and show("") == show("12 !") == ""
+    assert show("İI東") == " İi東 "
+
+
+def plain_buckets(codes, orders, bits):
+    out = []
+    for n in range(orders):
+        for at in range(len(codes) - n):
+            h = 0
+            for c in codes[at : at + n + 1]:
+                h = (h * 0x01000193 + int(c)) & 0xFFFFFFFF
+            h = (h + n * 0x3C6EF372) & 0xFFFFFFFF
+            h ^= h >> 16
+            h = h * 0x7FEB352D & 0xFFFFFFFF
+            h ^= h >> 15
+            out.append((h * 0x9E3779B1 & 0xFFFFFFFF) >> (32 - bits))
+    return sorted(out)
+
+
+def test_buckets_do_not_depend_on_the_step(monkeypatch):
+    codes = letters("Some words, and éven möre of them " * 5, TABLE)
+    expected = plain_buckets(codes, 4, 16)
+    for step in (1 << 18, 7):
+        monkeypatch.setattr(langid, "STEP", step)
+        got = np.concatenate(list(ngram_buckets(codes, 4, 16)))
+        assert sorted(got.tolist()) == expected
+
+
+def test_model_against_plain_counts(spark, crowd):
+    rows = [("the cat and the hat", "en"), ("le chat et le chapeau", "fr"), (None, "en"), ("no language", None), ("the dog", "en"), ("", "fr")] * 3
+    model = langid.fit(crowd(rows, "text string, lang string"), orders=3, bits=10)
+    assert model.names == ["en", "fr"]
+    counts = np.full((1024, 2), 0.5)
+    for text, lang in rows:
+        if text and lang:
+            np.add.at(counts, (plain_buckets(letters(text, TABLE), 3, 10), model.names.index(lang)), 1)
+    assert np.allclose(model.weights, np.log(counts / counts.sum(axis=0)), atol=1e-5)
+    assert np.allclose(model.prior, np.log([0.5, 0.5]))
+
+
+def test_odd_texts_and_tables(spark, crowd):
+    docs = crowd([(1, "the cat and the hat", "en"), (2, "le chat et le chapeau", "fr"), (3, None, "en"), (4, "12 !", "fr"), (5, "", None),
+                  (6, "the hat " * 300_000, "en"), (None, "le chapeau", "fr"), (1, "the cat and the hat", "en")], "doc_id long, text string, lang string")
+    model = langid.fit(docs)
+    out = langid.predict(docs, model, F.col("doc_id"), F.col("fp")).collect()
+    assert sorted((r["doc_id"] or 0, r["lang_pred"]) for r in out) == [
+        (0, "fr"), (1, "en"), (1, "en"), (2, "fr"), (3, "und"), (4, "und"), (5, "und"), (6, "en")]
+    assert all(0 <= r["score"] <= 1 for r in out)
+    assert langid.predict(docs.limit(0), model).collect() == []
+    empty = langid.fit(docs.limit(0))
+    assert empty.names == [] and {r["lang_pred"] for r in langid.predict(docs, empty).collect()} == {"und"}

@@ -1,0 +1,124 @@
+import math
+import random
+import zlib
+
+import numpy as np
+import public_tokenizers
+import pytest
+from tokenizers import Tokenizer
+
+from crowdpulse.llm.packing import Tokens, cut_points, pack, pack_documents, places, vector_best_fit
+
+PATH = public_tokenizers.path("byte_bpe_50k.json")
+TRICKY = [
+    "", " ", "\n", "a", "  two  blanks", "tab\tand\n\nlines \n x", "it's we'll they've I'd 'quoted' ''s", "x<|endoftext|>y", "<|endoftext|",
+    "ÀÉ ñandú größe 東京 は 🙂🙂 ‍", "1234567 12a3 a1b2 ½ Ⅳ", "!!! ??? --- ...", "trailing ", " leading", "nbsp\xa0and em",
+    "\x1c\x1d odd \x85 marks", "CAPS Mixed", "a" * 5000, "_under_score_", "é combining", "\x00 zero",
+]
+
+
+def test_ids_agree_with_the_library(spark, small):
+    full, quick = Tokenizer.from_file(PATH), Tokens(PATH)
+    assert quick.quick is not None
+    texts = TRICKY + [r[0] for r in spark.read.parquet(f"{small}/documents.parquet").select("text").limit(100).collect()]
+    for text in texts:
+        assert quick.ids(text) == full.encode(text, add_special_tokens=False).ids
+
+
+@pytest.mark.parametrize("name", ["word_bpe_49k.json"])
+def test_other_vocabularies_go_through_the_library(name):
+    path = public_tokenizers.path(name)
+    assert Tokens(path).quick is None
+    assert Tokens(path).ids("Some Text") == Tokenizer.from_file(path).encode("Some Text", add_special_tokens=False).ids
+
+
+def test_cut_points():
+    assert cut_points(1, 8) == [(0, 1)] and cut_points(8, 8) == [(0, 8)] and cut_points(16, 8) == [(0, 8), (8, 8)]
+    assert cut_points(19, 8) == [(0, 3), (3, 8), (11, 8)]
+
+
+def check(rows, capacity, most=None, attention=None):
+    """rows: (sequence_id, offset, length). Returns the number of sequences."""
+    bins = {}
+    for s, o, n in rows:
+        bins.setdefault(s, []).append((o, n))
+    for mine in bins.values():
+        end = 0
+        for o, n in sorted(mine):
+            assert o == end
+            end += n
+        assert end <= capacity and (most is None or len(mine) <= most)
+        assert attention is None or sum(n * n for _, n in mine) <= attention
+    return len(bins)
+
+
+def laid_out(counts, groups):
+    table, out = places(groups), []
+    for length, count in counts.items():
+        first, k, seq, base, size = table[length]
+        assert size.sum() == count
+        for g in range(len(first)):
+            assert first[g] == size[:g].sum()
+            out += [(seq[g] + i // k[g], base[g] + i % k[g] * length, length) for i in range(size[g])]
+    return out
+
+
+@pytest.mark.parametrize("rule", ["norm", "dot"])
+@pytest.mark.parametrize("most,attention", [(None, None), (3, None), (None, 40_000), (4, 50_000)])
+def test_every_capacity_holds(rule, most, attention):
+    rng = random.Random(2)
+    counts = {}
+    for _ in range(3000):
+        n = min(200, 1 + int(rng.expovariate(1 / 60)))
+        counts[n] = counts.get(n, 0) + 1
+    rows = laid_out(counts, vector_best_fit(counts, 256, most, attention, rule))
+    n = check(rows, 256, most, attention)
+    bounds = [sum(k * c for k, c in counts.items()) / 256]
+    bounds += [sum(counts.values()) / most] if most else []
+    bounds += [sum(k * k * c for k, c in counts.items()) / attention] if attention else []
+    assert n <= 1.25 * math.ceil(max(bounds)) + 2
+
+
+def test_as_good_as_best_fit_one_by_one():
+    rng = random.Random(4)
+    sizes = [rng.randrange(1, 1025) for _ in range(4000)]
+    counts = {n: sizes.count(n) for n in set(sizes)}
+    left = []
+    for n in sorted(sizes, reverse=True):
+        fit = [r for r in left if r >= n]
+        if fit:
+            left[left.index(min(fit))] -= n
+        else:
+            left.append(1024 - n)
+    assert sum(g.count for g in vector_best_fit(counts, 1024)) == len(left)
+
+
+def test_oversized_piece_raises():
+    with pytest.raises(ValueError):
+        vector_best_fit({10: 1}, 8)
+    with pytest.raises(ValueError):
+        vector_best_fit({10: 1}, 16, max_attention=99)
+
+
+def test_documents(crowd):
+    rows = list(enumerate(TRICKY)) + [(50, None), (51, "word " * 5000), (51, "again the id 51"), (None, "no id"), (52, "same"), (52, "same")]
+    out = pack_documents(crowd(rows, "doc_id long, text string"), with_ids=True).collect()
+    full = Tokenizer.from_file(PATH)
+    expected = []
+    for d, t in rows:
+        ids = np.array(full.encode(t or "", add_special_tokens=False).ids + [2], "<u4")
+        expected += [(d, k, s, n, zlib.crc32(ids[s : s + n].tobytes()), ids[s : s + n].tolist()) for k, (s, n) in enumerate(cut_points(len(ids), 1024))]
+    assert sorted(((*r[:5], list(r["ids"])) for r in out), key=repr) == sorted(expected, key=repr)
+    tokens = sum(e[3] for e in expected)
+    assert check([(r["sequence_id"], r["offset"], r["length"]) for r in out], 1024) <= math.ceil(tokens / 1024) + 1
+
+
+def test_pieces_under_all_capacities(crowd):
+    pieces = crowd([(i, 0, 1 + i % 40, i) for i in range(300)], "doc_id long, piece int, length long, ids_crc32 long")
+    out = pack(pieces, 64, 3, 2500, "dot").collect()
+    assert len(out) == 300 and out[0]["fp"] == -1
+    check([(r["sequence_id"], r["offset"], r["length"]) for r in out], 64, 3, 2500)
+
+
+def test_empty_table(crowd):
+    assert pack_documents(crowd([], "doc_id long, text string")).collect() == []
