@@ -14,9 +14,9 @@ from pyspark.sql import functions as F
 
 from crowdpulse.llm.common import WORD, written
 
-#: Slices of the order per source; each is a bounded number of sums, and only the slice with the
-#: cut is ranked row by row.
-SLICES = 65536
+#: The order of a source is cut into this many slices and the slice with the cut into as many again;
+#: only what is in the last one is ranked row by row.
+SLICES = 512
 
 
 def word_count(text: Column) -> Column:
@@ -74,6 +74,28 @@ def _order(expected: Column, u: Column) -> Column:
     return F.when(p > 0, (u / (1 - u)) / (p / (1 - p)))
 
 
+def _slice(q: Column) -> Column:
+    """Place of ``q`` among all slices: q / (1 + q) is between 0 and 1 and keeps the order."""
+    return F.least(F.floor(q / (1 + q) * SLICES**2), F.lit(SLICES**2 - 1)).cast("long")
+
+
+def _cut(sums: DataFrame) -> DataFrame:
+    """``_s, cut, before, need``: each source's last slice that begins below the need, and where it begins.
+
+    ``sums`` has source, slice, words, need and ``base``, the words of all that comes before.
+    """
+    upto = Window.partitionBy("source").orderBy("slice").rowsBetween(Window.unboundedPreceding, -1)
+    before = F.col("base") + F.coalesce(F.sum("words").over(upto), F.lit(0))
+    cut = (
+        sums.filter("slice is not null").withColumn("before", before).filter("before < need")
+        .groupBy("source").agg(F.max(F.struct("slice", "before", "need")).alias("c"))
+    )
+    return written(
+        cut.select(F.col("source").alias("_s"), F.col("c.slice").alias("cut"), F.col("c.before").alias("before"), F.col("c.need").alias("need")),
+        "mix-cuts",
+    )
+
+
 def mix_plan(sizes: DataFrame, total: float = 1.5, weights=(3, 1, 2), most: float = 2.0) -> DataFrame:
     """One row per source: ``source, source_size, target, mass, last``.
 
@@ -92,29 +114,18 @@ def mix_plan(sizes: DataFrame, total: float = 1.5, weights=(3, 1, 2), most: floa
     expected = _expected(most)
     q = _order(expected, F.col("u"))
     placed = rows.select(
-        "source", "target", "size", (F.floor(expected) * F.col("size")).alias("certain"), q.alias("q")
-    ).withColumn("slice", F.least(F.floor(F.col("q") / (1 + F.col("q")) * SLICES), F.lit(SLICES - 1)).cast("int"))
+        "source", "target", "size", (F.floor(expected) * F.col("size")).alias("certain"), q.alias("q"), _slice(q).alias("slice")
+    ).withColumn("coarse", F.floor(F.col("slice") / SLICES))
     # The slice is null for rows without a fractional part: they count as certain only.
-    sums = written(
-        placed.groupBy("source", "slice").agg(
-            F.first("target").alias("target"), F.sum("certain").alias("certain"), F.sum("size").alias("words")
-        ),
-        "mix-slices",
-    )
-    whole = Window.partitionBy("source")
-    upto = whole.orderBy(F.col("slice").asc_nulls_first()).rowsBetween(Window.unboundedPreceding, -1)
-    open_words = F.when(F.col("slice").isNull(), 0).otherwise(F.col("words"))
-    cuts = written(
-        sums.select(
-            "source", "slice", open_words.alias("words"), F.coalesce(F.sum(open_words).over(upto), F.lit(0)).alias("before"),
-            (F.col("target") - F.sum("certain").over(whole)).alias("need"),
-        )
-        # The last slice that begins below the need holds the cut.
-        .filter((F.col("slice").isNotNull()) & (F.col("before") < F.col("need")))
-        .groupBy("source").agg(F.max(F.struct("slice", "before", "need")).alias("c"))
-        .select(F.col("source").alias("_s"), F.col("c.slice").alias("cut"), F.col("c.before").alias("before"), F.col("c.need").alias("need")),
-        "mix-cuts",
+    sums = placed.groupBy("source", "coarse").agg(
+        F.first("target").alias("target"), F.sum("certain").alias("certain"), F.sum("size").alias("words")
     )
+    need = F.col("target") - F.sum("certain").over(Window.partitionBy("source"))
+    sums = written(sums, "mix-slices").select("source", F.col("coarse").alias("slice"), "words", need.alias("need"), F.lit(0).cast("long").alias("base"))
+    coarse = _cut(sums)
+    inside = placed.join(coarse, F.col("source").eqNullSafe(F.col("_s")) & (F.col("coarse") == F.col("cut")))
+    sums = inside.groupBy("source", "slice").agg(F.sum("size").alias("words"), F.first("need").alias("need"), F.first("before").alias("base"))
+    cuts = _cut(sums)
     ranked = (
         placed.join(cuts, F.col("source").eqNullSafe(F.col("_s")) & (F.col("slice") == F.col("cut")))
         .groupBy("source", "q").agg(F.sum("size").alias("size"), F.first("before").alias("before"), F.first("need").alias("need"))
@@ -147,8 +158,7 @@ def copies(most: float = 2.0) -> Column:
     """How often a row with the columns ``u``, ``weight`` and those of the plan is taken."""
     expected = _expected(most)
     q = _order(expected, F.col("u"))
-    slice_ = F.least(F.floor(q / (1 + q) * SLICES), F.lit(SLICES - 1)).cast("int")
-    more = F.coalesce((slice_ < F.col("cut")) | (q <= F.col("last")), F.lit(False))
+    more = F.coalesce((_slice(q) < F.col("cut")) | (q <= F.col("last")), F.lit(False))
     return (F.floor(expected) + more.cast("long")).cast("long")
 
 
