@@ -5,7 +5,7 @@ import pytest
 from crowdpulse.operators import graph, recommend
 from crowdpulse.plans import api
 from crowdpulse.schema import Weights
-from scenarios import RECOMMEND, events
+from scenarios import BOATS_ORIGIN, TWO_OWNERS, events
 
 
 def tables(spark, knows=(), work=(), study=(), forums=()):
@@ -20,17 +20,18 @@ def tables(spark, knows=(), work=(), study=(), forums=()):
 
 def test_scenario(spark):
     """Only what happened in the stream; both candidates are somebody's friend."""
-    origin = 1328150816
-    static = tables(spark, knows=[(1, 122), (1, 332)])
-    rows = api.friend_recommendations(events(spark, RECOMMEND), static, [800], until=origin + 8 * 3600).collect()
+    origin = BOATS_ORIGIN
+    static = tables(spark, knows=[(1, 61), (1, 62)])
+    rows = api.friend_recommendations(events(spark, TWO_OWNERS), static, [640], until=origin + 8 * 3600).collect()
     got = {}
     for r in rows:
         got.setdefault((r.notify_ts - origin) // 3600, {})[r.candidate_id] = r.score
     assert got == {
-        1: {122: 11, 332: 21}, 2: {122: 21, 332: 21}, 3: {122: 21, 332: 21}, 4: {122: 40, 332: 31},
-        5: {122: 30, 332: 10}, 6: {122: 20, 332: 10}, 7: {122: 20, 332: 10}, 8: {122: 0, 332: 0},
+        1: {61: 11, 62: 11}, 2: {61: 11, 62: 21}, 3: {61: 11, 62: 21}, 4: {61: 20, 62: 21},
+        5: {61: 10, 62: 10}, 6: {61: 20, 62: 10}, 7: {61: 20, 62: 10}, 8: {61: 10, 62: 10},
     }
-    assert [(r.rank, r.candidate_id) for r in rows if r.notify_ts == origin + 2 * 3600] == [(1, 122), (2, 332)]
+    ranked = {tick: [(r.rank, r.candidate_id) for r in rows if r.notify_ts == origin + tick * 3600] for tick in (1, 2)}
+    assert ranked == {1: [(1, 61), (2, 62)], 2: [(1, 62), (2, 61)]}
 
 
 def test_static_scores(spark):

@@ -1,39 +1,49 @@
 import math
 import random
+import re
 
 import pytest
 
 from crowdpulse.operators import spam, threshold
 from crowdpulse.plans import api
-from scenarios import BURST, WORDS, events
+from scenarios import CHANTS, FLOOD, events
 
-NOON = 1328198400
+NOON = 1623758400
 
 
 def clock(ts):
     return f"{(ts // 3600) % 24:02d}:{(ts // 60) % 60:02d}:{ts % 60:02d}"
 
 
+def ratio(text):
+    words = re.findall(r"\w+", text.lower())
+    return len(set(words)) / len(words) if words else 1.0
+
+
 def test_vocabulary_scenario(spark):
-    rows = api.low_vocabulary_spam(events(spark, WORDS), slices=3).collect()
-    got = {r.person_id: (round(r.ratio, 3), round(r.threshold, 3)) for r in rows}
-    assert got == {
-        800: (0.5, 0.5), 1: (0.333, 0.5), 23: (0.333, 0.4), 33: (0.333, 0.4), 42: (0.25, 0.4), 52: (0.2, 0.3),
-        72: (0.2, 0.2), 82: (0.2, 0.2), 122: (0.2, 0.2), 142: (0.2, 0.2), 162: (0.2, 0.2),
-    }
-    assert clock(next(r.ts_s for r in rows if r.person_id == 800)) == "02:50:00"
+    model, flagged = Model(spam.VOCABULARY), {}
+    texts = sorted((line.split("|")[2], int(line.split("|")[1]), ratio(line.split("|")[7 if line.count("|") == 10 else 5]))
+                   for line in CHANTS if line.count("|") > 2)
+    for when, person, value in texts:
+        model.counts[model.at(value)] += 1
+        limit = model.threshold()
+        if value <= limit:
+            flagged.setdefault(person, (when[11:19], round(value, 3), round(limit, 3)))
+    rows = api.low_vocabulary_spam(events(spark, CHANTS), slices=3).collect()
+    assert {r.person_id: (clock(r.ts_s), round(r.ratio, 3), round(r.threshold, 3)) for r in rows} == flagged
+    assert len(flagged) > 3 and len({limit for *_, limit in flagged.values()}) > 1
 
 
 def test_burst_scenario(spark):
-    ev = events(spark, BURST)
+    ev = events(spark, FLOOD)
     rows = api.burst_spam(ev, slices=4).collect()
-    assert [(r.person_id, clock(r.ts_s), r.entry, r.threshold) for r in rows] == [(800, "16:00:09", 90, 90.0)]
-    assert spam.burst_thresholds(ev).agg({"n": "max"}).first()[0] == 33
+    assert [(r.person_id, clock(r.ts_s), r.entry, r.threshold) for r in rows] == [(640, "20:00:09", 90, 90.0)]
+    assert spam.burst_thresholds(ev).agg({"n": "max"}).first()[0] == 25
 
 
 def test_both_detectors(spark):
-    rows = api.spammers(events(spark, BURST)).collect()
-    assert ("burst", 800) in [(r.detector, r.person_id) for r in rows]
+    rows = api.spammers(events(spark, FLOOD)).collect()
+    assert ("burst", 640) in [(r.detector, r.person_id) for r in rows]
 
 
 class Model:

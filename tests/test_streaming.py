@@ -14,7 +14,7 @@ from crowdpulse.streaming import (
     stream_active_posts,
     write_stream,
 )
-from scenarios import BURST, RECOMMEND, SHORT, WORDS, at, comment, events, like, post, reply
+from scenarios import BOATS_ORIGIN, CHANTS, FLOOD, SHORT, TWO_OWNERS, at, comment, events, like, post, reply
 
 FAR = "WATERMARK|1554400000"
 
@@ -118,22 +118,22 @@ def test_active_posts_stream(spark, tmp_path, size):
 
 def test_recommendation_stream(spark, tmp_path):
     static = {
-        "person_knows_person": spark.createDataFrame([(1, 122), (1, 332), (2, 7), (800, 2)], "person_id1 long, person_id2 long"),
-        "person_workAt_organisation": spark.createDataFrame([(800, 1, None), (7, 1, None)], "person_id long, organisation_id long, works_from int"),
+        "person_knows_person": spark.createDataFrame([(1, 61), (1, 62), (2, 7), (640, 2)], "person_id1 long, person_id2 long"),
+        "person_workAt_organisation": spark.createDataFrame([(640, 1, None), (7, 1, None)], "person_id long, organisation_id long, works_from int"),
         "person_studyAt_organisation": spark.createDataFrame([], "person_id long, organisation_id long, class_year int"),
-        "forum_has_member": spark.createDataFrame([(2440, 800, None)], "forum_id long, person_id long, join_date timestamp"),
+        "forum_has_member": spark.createDataFrame([(77, 640, None)], "forum_id long, person_id long, join_date timestamp"),
     }
-    lines = sorted(RECOMMEND, key=lambda x: x.split("|")[2])
-    origin = 1328150816
-    threads = run_threads(spark, tmp_path, batches(lines, 3, "WATERMARK|1328320000"))
-    service = RecommendationStream(spark, str(tmp_path / "recs"), threads, static, origin, clients=[800])
+    lines = sorted(TWO_OWNERS, key=lambda x: x.split("|")[2])
+    origin = BOATS_ORIGIN
+    threads = run_threads(spark, tmp_path, batches(lines, 3, "WATERMARK|1623960000"))
+    service = RecommendationStream(spark, str(tmp_path / "recs"), threads, static, origin, clients=[640])
     (
         threads.tables.stream(spark, "resolved").writeStream.foreachBatch(service)
         .option("checkpointLocation", str(tmp_path / "cp-recs")).trigger(availableNow=True).start().awaitTermination()
     )
     got = sorted(tuple(r) for r in service.result(spark).collect())
     last = max(r[0] for r in got)
-    expected = api.friend_recommendations(events(spark, RECOMMEND), static, [800], origin=origin, until=last)
+    expected = api.friend_recommendations(events(spark, TWO_OWNERS), static, [640], origin=origin, until=last)
     assert got == sorted(tuple(r) for r in expected.collect())
 
 
@@ -145,10 +145,10 @@ def test_sinks(spark, tmp_path):
     write_stream(parsed, "console", None, str(tmp_path / "cp-c")).awaitTermination()
 
 
-@pytest.mark.parametrize("lines, size", [(BURST, 20), (WORDS, 14)])
+@pytest.mark.parametrize("lines, size", [(FLOOD, 20), (CHANTS, 24)])
 def test_spam_stream(spark, tmp_path, lines, size):
     ordered = disordered(lines, 5)
-    source = drop(tmp_path / "in", batches(ordered, size, "WATERMARK|1328400000"))
+    source = drop(tmp_path / "in", batches(ordered, size, "WATERMARK|1624000000"))
     spammers = SpamStream(spark, str(tmp_path / "spam"))
     spammers.start(parse_events(read_text_stream(spark, source, 1)), str(tmp_path / "cp")).awaitTermination()
     got = sorted((r.detector, r.person_id, r.ts_s, r.threshold) for r in spammers.flags(spark).collect())

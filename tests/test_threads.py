@@ -2,7 +2,7 @@ import random
 
 from crowdpulse.operators import trees
 from crowdpulse.plans import api
-from scenarios import ACTIVE, DENSE, SHARED_IDS, SHORT, at, comment, events, like, post, reply
+from scenarios import NESTED, SHARED_IDS, SHORT, WAKES_UP, at, comment, events, june, like, post, reply
 
 
 def stats(spark, lines, **kw):
@@ -30,29 +30,30 @@ def test_short_golden(spark):
     }
 
 
-def test_active_goes_quiet_and_comes_back(spark):
-    got = stats(spark, ACTIVE, until=at("15:05"))
-    assert got[at("00:35")] == {100: (1, 0, {0, 2})}
-    assert got[at("01:05")] == {100: (2, 0, {0, 1, 2})}
-    assert got[at("02:05")] == {100: (2, 1, {0, 1, 2}), 101: (1, 1, {0, 1, 3})}
-    assert got[at("02:35")] == {100: (2, 1, {0, 1, 2}), 101: (1, 2, {0, 1, 3})}
-    assert got[at("14:05")] == {101: (1, 2, {0, 1, 3})}
-    assert at("14:35") not in got
+def test_a_thread_wakes_up_and_goes_quiet(spark):
+    got = stats(spark, WAKES_UP, until=june("23:00"))
+    assert got[june("06:30")] == {7: (1, 0, {31, 33})}
+    assert got[june("07:00")] == {7: (2, 0, {31, 32, 33})}
+    assert got[june("07:30")] == got[june("09:30")] == {7: (2, 0, {31, 32, 33, 34})}
+    assert got[june("10:00")] == {7: (2, 1, {31, 32, 33, 34}), 8: (1, 0, {31, 32})}
+    assert got[june("10:30")] == got[june("21:30")] == {7: (2, 1, {31, 32, 33, 34}), 8: (1, 2, {31, 32, 35})}
+    assert got[june("22:00")] == {8: (1, 2, {31, 32, 35})}
+    assert june("22:30") not in got
 
 
-def test_dense(spark):
-    got = stats(spark, DENSE, until=at("14:35"))
-    assert got[at("00:35")] == {100: (3, 2, {0, 1, 2}), 101: (0, 0, {1})}
-    assert got[at("01:05")] == {100: (3, 2, {0, 1, 2}), 101: (1, 0, {1})}
-    assert got[at("02:05")] == {100: (3, 4, {0, 1, 2}), 101: (2, 0, {0, 1, 3})}
-    assert got[at("02:35")] == {100: (3, 5, {0, 1, 2}), 101: (2, 0, {0, 1, 3})}
-    assert at("14:35") not in got
+def test_nested_replies(spark):
+    got = stats(spark, NESTED, until=june("15:00"))
+    everyone = {51, 52, 53, 54}
+    assert got[june("00:40")] == {41: (2, 3, everyone)}
+    assert got[june("01:10")] == got[june("02:10")] == {41: (2, 3, everyone), 42: (1, 0, {51, 52})}
+    assert got[june("02:40")] == got[june("14:10")] == {41: (2, 4, everyone), 42: (2, 1, everyone | {55})}
+    assert june("14:40") not in got
 
 
 def test_shared_ids(spark):
-    got = stats(spark, SHARED_IDS, until=at("13:05"))
-    assert got[at("00:35")] == {100: (2, 1, {0, 1, 2}), 101: (1, 0, {1})}
-    assert got[at("12:05")] == got[at("00:35")] and at("12:35") not in got
+    got = stats(spark, SHARED_IDS, until=june("21:00"))
+    assert got[june("08:30")] == got[june("20:00")] == {5: (1, 1, {71, 74}), 6: (1, 1, {72, 73})}
+    assert june("20:30") not in got
 
 
 def test_late_answer_revives_a_post(spark):

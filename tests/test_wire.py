@@ -3,7 +3,7 @@ import pytest
 from crowdpulse.functions.text import parse_tags, tokens, unique_word_ratio
 from crowdpulse.sources.files import read_event_files, read_events_with_arrival, read_static_tables
 from crowdpulse.sources.wire import events_only, heartbeats, malformed, parse_events
-from scenarios import SHORT, TWO_POSTS, by, like, records
+from scenarios import BOATS, SHORT, by, like, records
 
 
 def parsed(spark, lines):
@@ -11,24 +11,24 @@ def parsed(spark, lines):
 
 
 def test_kinds_and_fields(spark):
-    rows = parsed(spark, TWO_POSTS + [by(7, 800, "02:48:00", 270250), "8|9|2012-02-02T02:48:00Z|a|b|c||7|3", "721|270250|2012-02-04T01:09:00.000Z"])
+    rows = parsed(spark, BOATS + [by(7, 640, "10:48:00", 880), "8|9|2021-06-15T10:48:00Z|a|b|c||7|3", "63|880|2021-06-17T05:40:00.000Z"])
     post, photo, comment, reply, like_ = rows
-    assert (post["kind"], post["id"], post["person_id"], post["forum_id"]) == ("post", 270250, 122, 2440)
-    assert post["tags"] == [7001, 1667] and post["language"] == "en" and post["image_file"] is None
-    assert photo["content"] == "" and photo["tags"] == [] and photo["image_file"] == "photo105274.jpg"
-    assert photo["language"] is None and photo["ts_s"] == 1328150926
-    assert (comment["kind"], comment["parent_kind"], comment["parent_id"]) == ("comment", "post", 270250)
+    assert (post["kind"], post["id"], post["person_id"], post["forum_id"]) == ("post", 880, 61, 77)
+    assert post["tags"] == [31, 905] and post["language"] == "pt" and post["image_file"] is None
+    assert photo["content"] == "" and photo["tags"] == [] and photo["image_file"] == "boat881.jpg"
+    assert photo["language"] is None and photo["ts_s"] == 1623752446
+    assert (comment["kind"], comment["parent_kind"], comment["parent_id"]) == ("comment", "post", 880)
     assert (reply["kind"], reply["id_kind"], reply["parent_kind"], reply["parent_id"]) == ("reply", "comment", "comment", 7)
-    assert (like_["kind"], like_["id"], like_["ts_s"]) == ("like", None, 1328317740)
+    assert (like_["kind"], like_["id"], like_["ts_s"]) == ("like", None, 1623908400)
 
 
 def test_quotes_separators_and_lines(spark):
     rows = parsed(spark, [
-        '1|2|2012-02-02T02:48:00Z|a|b|"one | two ""three"" | four"|5||3',
-        '1|2|2012-02-02T02:48:00Z|a|b|"""start"|5||3',
-        '1|2|2012-02-02T02:48:00Z|a|b|"line\none\r\n| two"|5||3',
-        '1|2|2012-02-02T02:48:00Z|a|b|half "quoted|5||3',
-        '1|2|2012-02-02T02:48:00Z|a|b|""|5||3',
+        '1|2|2021-06-15T10:48:00Z|a|b|"one | two ""three"" | four"|5||3',
+        '1|2|2021-06-15T10:48:00Z|a|b|"""start"|5||3',
+        '1|2|2021-06-15T10:48:00Z|a|b|"line\none\r\n| two"|5||3',
+        '1|2|2021-06-15T10:48:00Z|a|b|half "quoted|5||3',
+        '1|2|2021-06-15T10:48:00Z|a|b|""|5||3',
     ])
     assert [r["content"] for r in rows] == ['one | two "three" | four', '"start', "line\none\r\n| two", 'half "quoted', ""]
     assert {r["kind"] for r in rows} == {"comment"}
@@ -36,14 +36,14 @@ def test_quotes_separators_and_lines(spark):
 
 def test_bad_records_are_kept_aside(spark):
     df = spark.createDataFrame(
-        [(b"WATERMARK|1554163500",), (b"x|y",), (b"1|2|yesterday",), (b"\xff\xfe|1|2012-02-02T02:48:00Z",),
-         (b"1|2|2012-02-02T02:48:00Z|a|b|c|||3",), (like(1, 2, "00:01").encode(),), (b"",), (b"WATERMARK|soon",)],
+        [(b"WATERMARK|1554163500",), (b"x|y",), (b"1|2|yesterday",), (b"\xff\xfe|1|2021-06-15T10:48:00Z",),
+         (b"1|2|2021-06-15T10:48:00Z|a|b|c|||3",), (like(1, 2, "00:01").encode(),), (b"",), (b"WATERMARK|soon",)],
         "value binary",
     )
     out = parse_events(df)
     assert [r.ts_s for r in heartbeats(out).collect()] == [1554163500]
     assert sorted(bytes(r.raw) for r in malformed(out).collect()) == sorted(
-        [b"x|y", b"1|2|yesterday", b"\xff\xfe|1|2012-02-02T02:48:00Z", b"1|2|2012-02-02T02:48:00Z|a|b|c|||3", b"", b"WATERMARK|soon"]
+        [b"x|y", b"1|2|yesterday", b"\xff\xfe|1|2021-06-15T10:48:00Z", b"1|2|2021-06-15T10:48:00Z|a|b|c|||3", b"", b"WATERMARK|soon"]
     )
     assert [r.kind for r in events_only(out).collect()] == ["like"]
 
@@ -87,7 +87,7 @@ def test_static_tables(spark, tmp_path):
     (tmp_path / "person_knows_person.csv").write_text("a|b\n1|2\n2|1\n")
     (tmp_path / "person_studyAt_organisation.csv").write_text("a|b|c\n1|10|2001\n2|10|\n")
     (tmp_path / "person_workAt_organisation.csv").write_text("a|b|c\n1|20|2010\n")
-    (tmp_path / "forum_has_member.csv").write_text("a|b|c\n5|1|2012-02-02T02:48:00.123Z\n5|2|\n")
+    (tmp_path / "forum_has_member.csv").write_text("a|b|c\n5|1|2021-06-15T10:48:00.123Z\n5|2|\n")
     tables = read_static_tables(spark, str(tmp_path))
     assert sorted(tuple(r) for r in tables["person_knows_person"].collect()) == [(1, 2), (2, 1)]
     assert [tuple(r) for r in tables["person_studyAt_organisation"].orderBy("person_id").collect()] == [(1, 10, 2001), (2, 10, None)]
