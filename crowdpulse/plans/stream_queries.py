@@ -139,7 +139,7 @@ def stream_recommendations(spark: SparkSession, sf_dir: str) -> DataFrame:
     for _ in replay.portions(last + MAX_DELAY_SECONDS):
         _place(replay, threads)
         (
-            threads.tables.stream(spark, "resolved").writeStream.foreachBatch(service)
+            threads.complete(spark).writeStream.foreachBatch(service)
             .option("checkpointLocation", replay.path("cp-recommendations"))
             .trigger(availableNow=True).start().awaitTermination()
         )

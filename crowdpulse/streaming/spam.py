@@ -28,9 +28,9 @@ class SpamStream:
     """``parsed.writeStream.foreachBatch(SpamStream(spark, root))``."""
 
     def __init__(self, spark: SparkSession, root: str, max_delay: int = MAX_DELAY_SECONDS,
-                 burst_window: int = BURST_WINDOW, burst: Histogram = spam.BURST,
+                 burst_window: int = BURST_WINDOW, burst: Histogram = spam.BURST, burst_max: int = BURST_MAX,
                  vocabulary: Histogram = spam.VOCABULARY, order=EVENT_ORDER):
-        self.max_delay, self.window = max_delay, burst_window
+        self.max_delay, self.window, self.burst_max = max_delay, burst_window, burst_max
         self.burst, self.vocabulary, self.order = burst, vocabulary, list(order)
         self.tables = BatchTables(spark, root, {
             "waiting": WAITING,
@@ -72,9 +72,9 @@ class SpamStream:
     def _bursts(self, closed: DataFrame, history: DataFrame, start, reached: int):
         sliced = slice_in_order(closed.select(*self.order), self.order)
         counted = cut(spam.burst_counts(sliced, self.order, self.window, history=history).withColumn(
-            "entry", spam.burst_entry(F.col("n"), BURST_MAX)
+            "entry", spam.burst_entry(F.col("n"), self.burst_max)
         ))
-        deltas = spam.burst_deltas(BURST_MAX)
+        deltas = spam.burst_deltas(self.burst_max)
         scored = running_threshold(counted, [*self.order, "n"], deltas, self.burst, start)
         flags = spam.first_flags(scored, self.order, "entry")
         totals = _plus(start, bucket_totals(counted, deltas, self.burst))

@@ -48,6 +48,10 @@ class BatchTables:
         rows = spark.read.schema(schema).parquet(self.path(name))
         return rows.filter(F.col("batch_id") < batch_id).drop("batch_id")
 
+    def one(self, spark: SparkSession, name: str, batch_id: int) -> DataFrame:
+        """What this batch wrote."""
+        return spark.read.schema(self.schemas[name]).parquet(self._folder(name, batch_id))
+
     def previous(self, spark: SparkSession, name: str, batch_id: int) -> DataFrame:
         """What the batch before this one wrote (for tables that are replaced as a whole)."""
         last = batch_id - 1

@@ -7,7 +7,8 @@ what it cannot place for as long as the disorder bound allows.
 
 Tables under ``root`` (one folder per batch): ``resolved`` (the result), ``engagements`` (the
 same, summed per post, person and slot, for the statistics stream), ``nodes`` and ``posts``
-(what answers can lead to), ``waiting`` and ``progress``.
+(what answers can lead to), ``waiting`` and ``progress``. ``progress`` is written last: a batch
+that is in it is complete, and readers take no other.
 """
 
 from __future__ import annotations
@@ -26,6 +27,7 @@ WAITING = (
     "parent_id bigint, forum_id bigint, tags array<bigint>"
 )
 NODES = "id bigint, comment_ts bigint, comment_author bigint, root_post_id bigint"
+PROGRESS = "max_ts bigint, batch bigint"
 POSTS = "post_id bigint, post_ts bigint, author_id bigint"
 RESOLVED = (
     "kind string, post_id bigint, person_id bigint, ts_s bigint, author_id bigint, "
@@ -50,12 +52,12 @@ class ThreadStream:
         self.max_delay, self.origin, self.every = max_delay, origin, every
         self.tables = BatchTables(spark, root, {
             "waiting": WAITING, "nodes": NODES, "posts": POSTS,
-            "progress": "max_ts bigint", "resolved": RESOLVED, "engagements": ENGAGEMENTS,
+            "progress": PROGRESS, "resolved": RESOLVED, "engagements": ENGAGEMENTS,
         })
 
     def __call__(self, parsed: DataFrame, batch_id: int) -> None:
         spark, tables = parsed.sparkSession, self.tables
-        if tables.done(spark, "resolved", batch_id):
+        if tables.done(spark, "progress", batch_id):
             return
         columns = tables.schemas["waiting"].names
         arrived = cut(
@@ -87,7 +89,6 @@ class ThreadStream:
         tables.write("nodes", roots.join(known, "id", "left_anti"), batch_id)
         tables.write("posts", fresh_posts, batch_id)
         tables.write("waiting", placed.filter(F.col("post_ts").isNull() & (F.col("ts_s") > expired)), batch_id)
-        tables.write("progress", spark.createDataFrame([(max_ts,)], "max_ts bigint"), batch_id)
         resolved = trees.own_trees(events).unionByName(
             trees.countable(placed.filter("post_ts is not null"))
         )
@@ -100,15 +101,22 @@ class ThreadStream:
             tick = spark.range(1).select(clock)
             tables.write("engagements", slots.unionByName(tick, allowMissingColumns=True), batch_id)
         tables.write("resolved", resolved, batch_id)
-
-    def resolved(self, spark: SparkSession) -> DataFrame:
-        """All placed events so far, as a batch table."""
-        return self.tables.everything(spark, "resolved")
-
-    def reached(self, spark: SparkSession) -> int | None:
-        """All events up to this time have arrived and are placed or given up."""
-        top = self.tables.everything(spark, "progress").agg(F.max("max_ts")).first()[0]
-        return None if top is None else top - self.max_delay
+        tables.write("progress", spark.createDataFrame([(max_ts, batch_id)], PROGRESS), batch_id)
+
+    def resolved(self, spark: SparkSession, upto: int | None = None) -> DataFrame:
+        """The placed events of all complete batches, or of those up to the batch ``upto``."""
+        upto = self.reached(spark)[1] if upto is None else upto
+        return self.tables.earlier(spark, "resolved", upto + 1)
+
+    def reached(self, spark: SparkSession) -> tuple[int | None, int]:
+        """``time, batch``: all events up to that time have arrived and are placed or given up in
+        the batches up to that one; ``None, -1`` before the first."""
+        top = self.tables.everything(spark, "progress").agg(F.max("max_ts"), F.max("batch")).first()
+        return (None if top[0] is None else top[0] - self.max_delay), (-1 if top[1] is None else top[1])
+
+    def complete(self, spark: SparkSession) -> DataFrame:
+        """A stream with a row for each batch that is complete."""
+        return self.tables.stream(spark, "progress")
 
     def start(self, parsed: DataFrame, checkpoint: str, **trigger):
         return (

@@ -116,24 +116,92 @@ def test_active_posts_stream(spark, tmp_path, size):
     assert len(got) > 40
 
 
-def test_recommendation_stream(spark, tmp_path):
-    static = {
+def recommendation_tables(spark):
+    return {
         "person_knows_person": spark.createDataFrame([(1, 61), (1, 62), (2, 7), (640, 2)], "person_id1 long, person_id2 long"),
         "person_workAt_organisation": spark.createDataFrame([(640, 1, None), (7, 1, None)], "person_id long, organisation_id long, works_from int"),
         "person_studyAt_organisation": spark.createDataFrame([], "person_id long, organisation_id long, class_year int"),
         "forum_has_member": spark.createDataFrame([(77, 640, None)], "forum_id long, person_id long, join_date timestamp"),
     }
-    lines = sorted(TWO_OWNERS, key=lambda x: x.split("|")[2])
-    origin = BOATS_ORIGIN
-    threads = run_threads(spark, tmp_path, batches(lines, 3, "WATERMARK|1623960000"))
-    service = RecommendationStream(spark, str(tmp_path / "recs"), threads, static, origin, clients=[640])
+
+
+def by_time(lines):
+    return sorted(lines, key=lambda x: x.split("|")[2])
+
+
+def served(service, spark):
+    return sorted(tuple(r) for r in service.result(spark).collect())
+
+
+def test_recommendation_stream(spark, tmp_path):
+    static = recommendation_tables(spark)
+    threads = run_threads(spark, tmp_path, batches(by_time(TWO_OWNERS), 3, "WATERMARK|1623960000"))
+    service = RecommendationStream(spark, str(tmp_path / "recs"), threads, static, BOATS_ORIGIN, clients=[640])
     (
-        threads.tables.stream(spark, "resolved").writeStream.foreachBatch(service)
+        threads.complete(spark).writeStream.foreachBatch(service)
         .option("checkpointLocation", str(tmp_path / "cp-recs")).trigger(availableNow=True).start().awaitTermination()
     )
-    got = sorted(tuple(r) for r in service.result(spark).collect())
+    got = served(service, spark)
+    last = max(r[0] for r in got)
+    expected = api.friend_recommendations(events(spark, TWO_OWNERS), static, [640], origin=BOATS_ORIGIN, until=last)
+    assert got == sorted(tuple(r) for r in expected.collect())
+
+
+class Stop(Exception):
+    pass
+
+
+def stop_before(tables, monkeypatch, number):
+    """Let the next ``number`` writes of a stream pass and stop it at the one after."""
+    write, left = type(tables).write, [number]
+
+    def once(name, df, batch_id):
+        if not tables.done(df.sparkSession, name, batch_id):
+            if not left[0]:
+                raise Stop
+            left[0] -= 1
+        write(tables, name, df, batch_id)
+
+    monkeypatch.setattr(tables, "write", once)
+
+
+def test_recommendations_between_any_two_writes(spark, tmp_path, monkeypatch):
+    """The thread stream is stopped before each of its writes in turn and the service is run there;
+    the service is stopped before each of its own, while the threads go on."""
+    static = recommendation_tables(spark)
+    lines = by_time(TWO_OWNERS[:2] + TWO_OWNERS[3:])
+    parts = [parse_events(spark.createDataFrame([(x,) for x in part], "value string")) for part in (lines[:4], lines[4:], ["WATERMARK|1623785000"])]
+    threads = ThreadStream(spark, str(tmp_path / "threads"))
+    service = RecommendationStream(spark, str(tmp_path / "recs"), threads, static, BOATS_ORIGIN, clients=[640])
+    trigger = 0
+    for number, part in enumerate(parts):
+        for writes in range(6 if number == 1 else 1):
+            if number == 1:  # nodes, posts, waiting, resolved, progress
+                with monkeypatch.context() as m:
+                    stop_before(threads.tables, m, 1 if writes else 0)
+                    try:
+                        threads(part, number)
+                    except Stop:
+                        pass
+            else:
+                threads(part, number)
+            service(spark.range(0), trigger)
+            trigger += 1
+    for writes in range(3):  # served, first_use, recommendations
+        with monkeypatch.context() as m:
+            stop_before(service.tables, m, writes and 1)
+            try:
+                service(spark.range(0), trigger)
+            except Stop:
+                pass
+        threads(parse_events(spark.createDataFrame([(f"WATERMARK|{1623790000 + 4000 * writes}",)], "value string")), 3 + writes)
+    service(spark.range(0), trigger)
+    service(spark.range(0), trigger + 1)
+    got = served(service, spark)
+    assert len(got) == len({r[:3] for r in got})
     last = max(r[0] for r in got)
-    expected = api.friend_recommendations(events(spark, TWO_OWNERS), static, [640], origin=origin, until=last)
+    assert last >= BOATS_ORIGIN + 3600 * ((1623798000 - 600 - BOATS_ORIGIN) // 3600)
+    expected = api.friend_recommendations(events(spark, lines), static, [640], origin=BOATS_ORIGIN, until=last)
     assert got == sorted(tuple(r) for r in expected.collect())
 
 
