@@ -33,17 +33,27 @@ def engagement_slots(resolved: DataFrame, origin: int, every: int) -> DataFrame:
 def _changes(resolved: DataFrame, every: int, origin: int, until: int) -> DataFrame:
     """What each post gained per slot. A person is new in the slot of their first engagement.
 
-    The first grouping is per person as well, so the window that finds the first slot reads
-    sums instead of events and even one busy person in one busy thread stays small.
+    Counts per post and slot and first slots per post and person are summed map-side each, so
+    events are reduced before they are exchanged and neither a busy post nor a busy person is
+    gathered; the first slots then count as one person each.
     """
-    per_person = engagement_slots(resolved.filter(F.col("ts_s") <= until), origin, every).withColumn(
-        "_first", F.min("k").over(Window.partitionBy("post_id", "person_id"))
+    k = F.greatest(slot_index("ts_s", origin, every), F.lit(1).cast("bigint"))
+    acts = resolved.filter(F.col("ts_s") <= until).select("kind", "post_id", "person_id", "ts_s", k.alias("k"))
+    gains = acts.groupBy("post_id", "k").agg(
+        F.count_if(F.col("kind") == "comment").alias("num_comments"),
+        F.count_if(F.col("kind") == "reply").alias("num_replies"),
+        F.max("ts_s").alias("last_ts"),
+    )
+    met = acts.groupBy("post_id", "person_id").agg(F.min("k").alias("k")).groupBy("post_id", "k").agg(
+        F.count("*").alias("num_people")
+    )
+    zero = F.lit(0).cast("bigint")
+    both = gains.withColumn("num_people", zero).unionByName(
+        met.select("post_id", "k", "num_people", zero.alias("num_comments"), zero.alias("num_replies"), F.lit(None).cast("bigint").alias("last_ts"))
     )
-    return per_person.groupBy("post_id", "k").agg(
-        F.sum("num_comments").alias("num_comments"),
-        F.sum("num_replies").alias("num_replies"),
-        F.count_if(F.col("k") == F.col("_first")).alias("num_people"),
-        F.max("last_ts").alias("last_ts"),
+    return both.groupBy("post_id", "k").agg(
+        F.sum("num_comments").alias("num_comments"), F.sum("num_replies").alias("num_replies"),
+        F.sum("num_people").alias("num_people"), F.max("last_ts").alias("last_ts"),
     )
 
 

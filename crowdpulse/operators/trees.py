@@ -22,6 +22,18 @@ from crowdpulse.session import cut
 BROADCAST_ROWS = 500_000
 
 
+def only_events(rows: DataFrame) -> DataFrame:
+    """Rows of a source without punctuation and unreadable records."""
+    return rows.filter("kind in ('post', 'comment', 'reply', 'like')")
+
+
+def thread_events(rows: DataFrame, keep=()) -> DataFrame:
+    """The columns that threads, statistics and recommendations read."""
+    return only_events(rows).select(
+        "kind", "id_kind", "id", "person_id", "ts_s", "parent_kind", "parent_id", "forum_id", "tags", *keep
+    )
+
+
 def post_nodes(events: DataFrame) -> DataFrame:
     """One row per post id: its author and time. Repeated ids keep the earliest record."""
     return (

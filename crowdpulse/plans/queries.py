@@ -29,8 +29,13 @@ def _static(spark, sf_dir):
     return sample.sample_static(spark, sf_dir)
 
 
+def _events(spark, sf_dir, keep=()):
+    """The sample events, narrow and written once: threads read them several times."""
+    return cut(trees.thread_events(sample.sample_events(spark, sf_dir), keep))
+
+
 def _resolved(spark, sf_dir, keep=()):
-    return trees.post_trees(sample.sample_events(spark, sf_dir), keep)
+    return trees.post_trees(_events(spark, sf_dir, keep), keep)
 
 
 def _updates(spark, sf_dir):
@@ -78,7 +83,7 @@ def _roots(spark, sf_dir):
 
 
 def _dynamic(spark, sf_dir):
-    events = sample.sample_events(spark, sf_dir)
+    events = _events(spark, sf_dir)
     origin, until = time_bounds(events)
     return recommend.dynamic_scores(
         cut(trees.recommendation_updates(trees.post_trees(events))),
@@ -88,7 +93,7 @@ def _dynamic(spark, sf_dir):
 
 
 def _activity(spark, sf_dir):
-    events = sample.sample_events(spark, sf_dir)
+    events = _events(spark, sf_dir)
     origin, until = time_bounds(events)
     stop = last_slot(until, origin, RECOMMEND_EVERY)
     updates = trees.recommendation_updates(trees.post_trees(events))

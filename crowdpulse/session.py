@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
-
 from pyspark.sql import DataFrame, SparkSession
 
 # What a session should carry. Partition counts are left to the cluster: adaptive
@@ -13,6 +11,8 @@ SETTINGS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # Checkpoints go when nothing refers to them any more.
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
 }
 
 
@@ -26,18 +26,17 @@ def build_session(app_name: str = "crowdpulse", master: str | None = None, **ext
 
 
 def checkpoint_dir(spark: SparkSession) -> str:
-    """The shared folder for checkpoints: the one the cluster names, never a guess.
+    """The shared folder for checkpoints: the one the session names.
 
-    Only a local session (tests, a laptop) without the setting gets a scratch folder.
+    A session without the setting uses a folder beside its tables: the warehouse is shared by
+    definition.
     """
     current = spark.sparkContext.getCheckpointDir()
     if current:
         return current
     named = spark.conf.get("spark.checkpoint.dir", None)
     if not named:
-        if not spark.sparkContext.master.startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder all executors share")
-        named = tempfile.mkdtemp(prefix="crowdpulse-checkpoint-")
+        named = spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_checkpoints"
     spark.sparkContext.setCheckpointDir(named)
     return spark.sparkContext.getCheckpointDir()
 

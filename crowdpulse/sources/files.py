@@ -12,7 +12,7 @@ from crowdpulse.schema import (
     STUDY_SCHEMA,
     WORK_SCHEMA,
 )
-from crowdpulse.sources.wire import events_only, parse_events
+from crowdpulse.sources.wire import parse_events
 
 EVENT_FILES = ("posts_event_stream.csv", "comments_event_stream.csv", "likes_event_stream.csv")
 
@@ -25,26 +25,35 @@ STATIC_TABLES = {
 
 
 def _record_lines(spark: SparkSession, paths) -> DataFrame:
-    """Lines of the files without headers and blanks. A data line starts with a number or a
-    time, a header with a letter; header texts of real files are not reliable."""
-    return spark.read.text(list(paths)).filter(F.col("value").rlike(r"^\s*\d"))
+    """Lines of the files without each file's first line, the header, and without blank ones.
+
+    The reader of separated files knows the first line by its position; with a separator that no
+    line can hold and without quotes it leaves the lines as they are.
+    """
+    return (
+        spark.read.schema("value string")
+        .option("header", True).option("enforceSchema", True).option("sep", "\x00").option("quote", "").option("escape", "")
+        .csv(list(paths)).filter("value is not null")
+    )
 
 
 def read_event_files(spark: SparkSession, posts: str, comments: str, likes: str) -> DataFrame:
-    """The three event files as one table of events. Their order is a property of the
-    operators downstream (``ts_s`` and the tie order), so nothing is sorted here."""
-    return events_only(parse_events(_record_lines(spark, (posts, comments, likes))))
+    """The three event files as one table of events; what can't be read is kept as rows of the kind
+    ``malformed`` with their text in ``raw``. The order of events is a property of the operators
+    downstream (``ts_s`` and the tie order), so nothing is sorted here."""
+    return parse_events(_record_lines(spark, (posts, comments, likes)))
 
 
 def read_events_with_arrival(spark: SparkSession, posts: str, comments: str, likes: str) -> DataFrame:
-    """Event files whose first field is the arrival time: events plus ``arrival_s``."""
-    lines = _record_lines(spark, (posts, comments, likes)).filter(F.instr("value", "|") > 0)
+    """Event files whose first field is the arrival time: rows as above plus ``arrival_s``, which is
+    null where there is no such field."""
+    lines = _record_lines(spark, (posts, comments, likes))
     first_end = F.instr("value", "|")
     records = lines.select(
-        parse_utc(F.expr("left(value, instr(value, '|') - 1)")).alias("arrival_s"),
+        F.when(first_end > 0, parse_utc(F.expr("left(value, instr(value, '|') - 1)"))).alias("arrival_s"),
         F.col("value").substr(first_end + 1, F.length("value")).alias("value"),
     )
-    return events_only(parse_events(records, keep=("arrival_s",)))
+    return parse_events(records, keep=("arrival_s",))
 
 
 def read_static_tables(spark: SparkSession, folder: str) -> dict[str, DataFrame]:

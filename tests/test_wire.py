@@ -3,7 +3,7 @@ import pytest
 from crowdpulse.functions.text import parse_tags, tokens, unique_word_ratio
 from crowdpulse.sources.files import read_event_files, read_events_with_arrival, read_static_tables
 from crowdpulse.sources.wire import events_only, heartbeats, malformed, parse_events
-from scenarios import BOATS, SHORT, by, like, records
+from scenarios import A_LIKE, BOATS, SHORT, by, like, records
 
 
 def parsed(spark, lines):
@@ -83,6 +83,26 @@ def test_event_files(spark, tmp_path):
     assert timed.drop("arrival_s").exceptAll(plain).count() == 0
 
 
+def test_event_files_lose_no_line(spark, tmp_path):
+    """Only first lines and blank ones are left out: not a quoted first field, not what is broken."""
+    files = {
+        "posts": ["1|looks|like|data", BOATS[0], '"882"' + BOATS[1][3:], " " + BOATS[1], "883|broken", ""],
+        "comments": ["id|person", by(7, 640, "10:48:00", 880, '"a | quoted ""text"""'), "# not a record", "\\N|x"],
+        "likes": ["header", A_LIKE[0], "63|880"],
+    }
+    for name, lines in files.items():
+        (tmp_path / f"{name}.csv").write_text("\n".join(lines) + "\n")
+        (tmp_path / f"{name}_a.csv").write_text("\n".join([lines[0]] + [x and f"2021-06-20T00:00:00Z|{x}" for x in lines[1:]] + ["no separator"]))
+    paths = [str(tmp_path / f"{n}.csv") for n in files]
+    rows = read_event_files(spark, *paths).collect()
+    assert sorted(r.id for r in rows if r.kind == "post") == [880, 881, 882]
+    assert [r.content for r in rows if r.kind == "comment"] == ['a | quoted "text"']
+    assert sorted(bytes(r.raw) for r in rows if r.kind == "malformed") == [b"# not a record", b"63|880", b"883|broken", b"\\N|x"]
+    assert len(rows) == 9
+    timed = read_events_with_arrival(spark, *[p.replace(".csv", "_a.csv") for p in paths]).collect()
+    assert len(timed) == 9 + 3 and sum(r.arrival_s is None for r in timed) == 3
+
+
 def test_static_tables(spark, tmp_path):
     (tmp_path / "person_knows_person.csv").write_text("a|b\n1|2\n2|1\n")
     (tmp_path / "person_studyAt_organisation.csv").write_text("a|b|c\n1|10|2001\n2|10|\n")
