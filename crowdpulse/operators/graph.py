@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from crowdpulse.schema import Weights
+from crowdpulse.session import cut, handed_out
 
 
 def friends(knows: DataFrame, clients) -> DataFrame:
@@ -59,7 +60,7 @@ def common_friends(knows: DataFrame, clients, ordered: bool = False) -> DataFram
     ``ordered`` puts the largest counts first."""
     second = knows.select(F.col("person_id1").alias("friend_id"), F.col("person_id2").alias("candidate_id"))
     counts = (
-        friends(knows, clients).join(second, "friend_id")
+        second.join(handed_out(friends(knows, clients)), "friend_id")
         .filter((F.col("friend_id") != F.col("person_id")) & (F.col("candidate_id") != F.col("person_id")))
         .groupBy("person_id", "candidate_id").agg(F.count("*").alias("count"))
     )
@@ -71,7 +72,7 @@ def shared_organisations(members: DataFrame, clients) -> DataFrame:
     mine = members.filter(F.col("person_id").isin(*clients)).select("person_id", "organisation_id")
     theirs = members.select(F.col("person_id").alias("candidate_id"), "organisation_id")
     return (
-        mine.join(theirs, "organisation_id").filter("person_id <> candidate_id")
+        theirs.join(handed_out(mine), "organisation_id").filter("person_id <> candidate_id")
         .groupBy("person_id", "candidate_id").agg(F.count("*").alias("count"))
     )
 
@@ -114,6 +115,7 @@ def positive_static_scores(knows: DataFrame, work: DataFrame, study: DataFrame,
 def static_scores(knows: DataFrame, work: DataFrame, study: DataFrame, clients,
                   weights: Weights = Weights()) -> DataFrame:
     """All candidates of each client: the connected ones, and every non-friend with 0."""
+    knows = cut(knows.select("person_id1", "person_id2"))
     zero = non_friends(knows, clients).select(
         "person_id", "candidate_id", F.lit(0).cast("bigint").alias("score")
     )

@@ -16,10 +16,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from crowdpulse.session import cut
-
-# Pointer rows are four numbers, so this many stay below 32 MB.
-BROADCAST_ROWS = 500_000
+from crowdpulse.session import BROADCAST_ROWS, cut
 
 
 def only_events(rows: DataFrame) -> DataFrame:
@@ -100,7 +97,7 @@ def follow_to_root(nodes: DataFrame, known: DataFrame | None = None) -> DataFram
         # The pointers left are counted, so few of them can go to the targets instead of all
         # targets being exchanged once more; beyond the bound both sides are.
         if left <= BROADCAST_ROWS:
-            step = targets.join(F.broadcast(open_), "ptr").repartition(1 + left // 50_000)
+            step = targets.join(F.broadcast(open_), "ptr")
         else:
             step = targets.join(open_, "ptr")
         step = cut(step.select(*columns, "root_post_id", "next"))

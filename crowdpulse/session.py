@@ -3,6 +3,10 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+# Rows of a few numbers each, so this many stay below 32 MB.
+BROADCAST_ROWS = 500_000
 
 # What a session should carry. Partition counts are left to the cluster: adaptive
 # execution merges small shuffle partitions and splits oversized ones.
@@ -48,3 +52,14 @@ def cut(df: DataFrame) -> DataFrame:
     """
     checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+def handed_out(side: DataFrame) -> DataFrame:
+    """A side of a join that is expected to be short, written once and counted.
+
+    Up to ``BROADCAST_ROWS`` rows it goes to every task, and the other side need not be exchanged
+    on a key that may be skewed; beyond, it is joined like any table. A filter does not lower
+    Spark's estimate of a size far enough for that.
+    """
+    side = cut(side)
+    return F.broadcast(side) if side.count() <= BROADCAST_ROWS else side

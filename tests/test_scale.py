@@ -4,7 +4,7 @@ import contextlib
 
 from pyspark.sql import functions as F
 
-from crowdpulse.operators import recommend, spam, threshold, trees
+from crowdpulse.operators import graph, recommend, spam, threshold, trees
 from crowdpulse.plans.queries import queries
 from crowdpulse.session import cut
 
@@ -103,3 +103,17 @@ def test_a_hot_second_and_a_hot_person_are_cut_into_slices(spark):
     # Numbered one by one across the slices.
     row = counts.agg(F.min("n"), F.max("n"), F.count_distinct("n")).first()
     assert tuple(row) == (1, n // 2, n // 2)
+
+
+def test_inputs_are_read_once(spark):
+    """File scans left in the plans, once the narrow copies are written."""
+    q = queries()
+    for name, scans in (("active_posts", 0), ("post_roots", 0), ("friend_recommendations", 4), ("static_scores", 6)):
+        assert plan(q[name](spark, SMALL)).count("FileScan") <= scans, name
+
+
+def test_the_clients_side_is_handed_out(spark):
+    with settings(spark, spark__sql__autoBroadcastJoinThreshold="-1"):
+        pairs = spark.range(20_000).selectExpr("id % 500 as person_id", "id % 7 as organisation_id")
+        shown = plan(graph.shared_organisations(cut(pairs), [1, 2, 3]))
+    assert "BroadcastHashJoin" in shown and "hashpartitioning(organisation_id" not in shown
