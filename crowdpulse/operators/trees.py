@@ -97,7 +97,7 @@ def follow_to_root(nodes: DataFrame, known: DataFrame | None = None) -> DataFram
         # The pointers left are counted, so few of them can go to the targets instead of all
         # targets being exchanged once more; beyond the bound both sides are.
         if left <= BROADCAST_ROWS:
-            step = targets.join(F.broadcast(open_), "ptr")
+            step = targets.join(F.broadcast(open_), "ptr").hint("rebalance")
         else:
             step = targets.join(open_, "ptr")
         step = cut(step.select(*columns, "root_post_id", "next"))

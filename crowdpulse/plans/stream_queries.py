@@ -1,15 +1,15 @@
 """The continuous queries over the sample tables.
 
-The sample events are sent as text records in an order of arrival that delays each event by up
-to ten minutes. They come in a few portions, and the queries are stopped and started again
-between them; what comes out must be what the batch jobs say.
+The sample events lie as text records in a folder that a file stream reads. Punctuation at the end
+says that time has gone on, so that the last ticks come out; the records and each mark make a run
+of their own, stopped and started again from its checkpoint. Arrival in any other order and in
+many portions is replayed by the tests.
 """
 
 from __future__ import annotations
 
 import uuid
 from collections.abc import Iterator
-from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -34,121 +34,94 @@ from crowdpulse.streaming import (
     write_stream,
 )
 
-PORTIONS = 2
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
 
-@contextmanager
-def state_settings(spark: SparkSession):
-    """Settings a keyed-state stream keeps for life: its store, and no more state partitions
-    than the cluster has slots, as each costs every trigger a worker."""
-    partitions = min(int(spark.conf.get("spark.sql.shuffle.partitions")), spark.sparkContext.defaultParallelism)
-    wanted = {
-        "spark.sql.streaming.stateStore.providerClass": ROCKSDB,
-        "spark.sql.shuffle.partitions": str(partitions),
-    }
-    before = {key: spark.conf.get(key, None) for key in wanted}
-    for key, value in wanted.items():
-        spark.conf.set(key, value)
-    try:
-        yield
-    finally:
-        for key, value in before.items():
-            if value is None:
-                spark.conf.unset(key)
-            else:
-                spark.conf.set(key, value)
+def state_session(spark: SparkSession, partitions: int = 8) -> SparkSession:
+    """A session for a stream with keyed state: its store, and the number of state partitions that
+    its checkpoint keeps for life. The caller's session stays as it is."""
+    session = spark.newSession()
+    session.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB)
+    session.conf.set("spark.sql.shuffle.partitions", str(partitions))
+    return session
 
 
-class Replay:
-    """Portions of records in a folder of their own under the shared checkpoint folder."""
+class Feed:
+    """The records in a folder of their own under the shared checkpoint folder."""
 
-    def __init__(self, spark: SparkSession, sf_dir: str):
+    def __init__(self, spark: SparkSession, sf_dir: str, texts: bool = False):
         self.spark = spark
-        self.root = f"{checkpoint_dir(spark)}/replay-{uuid.uuid4().hex}"
-        self.events = sample.sample_events(spark, sf_dir)
-        self.origin, self.until = time_bounds(self.events)
-        arrival = F.col("ts_s") + F.pmod(F.col("event_id") * 7919, F.lit(MAX_DELAY_SECONDS - 1))
-        first = self.events.agg(F.min("ts_s")).first()[0]
-        span = (self.until + MAX_DELAY_SECONDS - first) // PORTIONS + 1
-        portion = F.call_function("div", arrival - F.lit(first), F.lit(span))
-        records = sample.sample_wire(spark, sf_dir, keep=("ts_s", "event_id"))
-        # Written once, one folder per portion.
-        records.select(portion.alias("portion"), "value").write.partitionBy("portion").parquet(self.path("sent"))
-        self.records = spark.read.parquet(self.path("sent"))
-
-    def _send(self, rows: DataFrame) -> None:
-        rows.select("value").write.mode("append").parquet(f"{self.root}/records")
-
-    def portions(self, *marks: int) -> Iterator[None]:
-        """Send a portion, let the caller run, send the next; each mark is a last one of
-        punctuation only."""
-        for i in range(PORTIONS):
-            self._send(self.records.filter(F.col("portion") == i))
-            yield
+        self.root = f"{checkpoint_dir(spark)}/feed-{uuid.uuid4().hex}"
+        self.origin, self.until = time_bounds(sample.sample_events(spark, sf_dir))
+        # Quoted texts may hold line breaks, so records are rows and not lines.
+        sample.sample_wire(spark, sf_dir, texts=texts).write.parquet(self.path("records"))
+
+    def runs(self, *marks: int) -> Iterator[None]:
+        """One run over the records and one more after each mark of time."""
+        yield
         for mark in marks:
-            self._send(self.spark.range(1).select(F.lit(f"WATERMARK|{mark}").alias("value")))
+            row = self.spark.range(1).select(F.lit(f"WATERMARK|{mark}").alias("value"))
+            row.write.mode("append").parquet(self.path("records"))
             yield
 
     def stream(self) -> DataFrame:
-        return parse_events(self.spark.readStream.schema("value string").parquet(f"{self.root}/records"))
+        return parse_events(self.spark.readStream.schema("value string").parquet(self.path("records")))
 
     def path(self, name: str) -> str:
         return f"{self.root}/{name}"
 
 
-def _threads(replay: Replay, **kw) -> ThreadStream:
-    return ThreadStream(replay.spark, replay.path("threads"), **kw)
+def _threads(feed: Feed, **kw) -> ThreadStream:
+    return ThreadStream(feed.spark, feed.path("threads"), **kw)
 
 
-def _place(replay: Replay, threads: ThreadStream) -> None:
-    threads.start(replay.stream(), replay.path("cp-threads")).awaitTermination()
+def _place(feed: Feed, threads: ThreadStream) -> None:
+    threads.start(feed.stream(), feed.path("cp-threads")).awaitTermination()
 
 
 def stream_post_trees(spark: SparkSession, sf_dir: str) -> DataFrame:
-    replay = Replay(spark, sf_dir)
-    threads = _threads(replay)
-    for _ in replay.portions():
-        _place(replay, threads)
+    feed = Feed(spark, sf_dir)
+    threads = _threads(feed)
+    for _ in feed.runs():
+        _place(feed, threads)
     return threads.resolved(spark).select("kind", "post_id", "person_id", "ts_s", "author_id")
 
 
 def stream_active(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Reports until every post has gone quiet."""
-    replay = Replay(spark, sf_dir)
-    threads = _threads(replay, origin=replay.origin)
-    end = replay.until + ACTIVE_POSTS_HORIZON + ACTIVE_POSTS_EVERY + MAX_DELAY_SECONDS
+    feed = Feed(spark, sf_dir)
+    threads, session = _threads(feed, origin=feed.origin), state_session(spark)
+    end = feed.until + ACTIVE_POSTS_HORIZON + ACTIVE_POSTS_EVERY + MAX_DELAY_SECONDS
     # The clock of a batch is that of the batches before it, so the end is said twice.
-    for _ in replay.portions(end, end):
-        _place(replay, threads)
-        with state_settings(spark):
-            write_stream(
-                stream_active_posts(spark, threads), "parquet", replay.path("active"), replay.path("cp-active")
-            ).awaitTermination()
-    return spark.read.parquet(replay.path("active"))
+    for _ in feed.runs(end, end):
+        _place(feed, threads)
+        write_stream(
+            stream_active_posts(session, threads), "parquet", feed.path("active"), feed.path("cp-active")
+        ).awaitTermination()
+    return spark.read.parquet(feed.path("active"))
 
 
 def stream_recommendations(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every tick up to the one after the last event."""
-    replay = Replay(spark, sf_dir)
-    threads = _threads(replay)
+    feed = Feed(spark, sf_dir)
+    threads = _threads(feed)
     service = RecommendationStream(
-        spark, replay.path("recommendations"), threads, sample.sample_static(spark, sf_dir), replay.origin
+        spark, feed.path("recommendations"), threads, sample.sample_static(spark, sf_dir), feed.origin
     )
-    last = replay.origin + RECOMMEND_EVERY * last_slot(replay.until, replay.origin, RECOMMEND_EVERY)
-    for _ in replay.portions(last + MAX_DELAY_SECONDS):
-        _place(replay, threads)
+    last = feed.origin + RECOMMEND_EVERY * last_slot(feed.until, feed.origin, RECOMMEND_EVERY)
+    for _ in feed.runs(last + MAX_DELAY_SECONDS):
+        _place(feed, threads)
         (
             threads.complete(spark).writeStream.foreachBatch(service)
-            .option("checkpointLocation", replay.path("cp-recommendations"))
+            .option("checkpointLocation", feed.path("cp-recommendations"))
             .trigger(availableNow=True).start().awaitTermination()
         )
     return service.result(spark)
 
 
 def stream_spam(spark: SparkSession, sf_dir: str, burst_window: int, burst: Histogram) -> DataFrame:
-    replay = Replay(spark, sf_dir)
-    spammers = SpamStream(spark, replay.path("spam"), burst_window=burst_window, burst=burst)
-    for _ in replay.portions(replay.until + MAX_DELAY_SECONDS):
-        spammers.start(replay.stream(), replay.path("cp-spam")).awaitTermination()
+    feed = Feed(spark, sf_dir, texts=True)
+    spammers = SpamStream(spark, feed.path("spam"), burst_window=burst_window, burst=burst)
+    for _ in feed.runs(feed.until + MAX_DELAY_SECONDS):
+        spammers.start(feed.stream(), feed.path("cp-spam")).awaitTermination()
     return spammers.flags(spark)

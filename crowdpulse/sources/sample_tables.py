@@ -110,9 +110,12 @@ def sample_static(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     }
 
 
-def sample_wire(spark: SparkSession, sf_dir: str, keep=()) -> DataFrame:
-    """The sample events as text records in ``value``, texts quoted."""
-    e = sample_events_with_texts(spark, sf_dir)
+def sample_wire(spark: SparkSession, sf_dir: str, keep=(), texts: bool = True) -> DataFrame:
+    """The sample events as text records in ``value``, texts quoted (or left empty)."""
+    if texts:
+        e = sample_events_with_texts(spark, sf_dir)
+    else:
+        e = sample_events(spark, sf_dir).withColumn("content", F.lit(""))
     at = F.date_format(F.timestamp_seconds("ts_s"), "yyyy-MM-dd'T'HH:mm:ss'Z'")
     text = F.concat(F.lit('"'), F.replace("content", F.lit('"'), F.lit('""')), F.lit('"'))
     none = F.lit("")
