@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from crowdpulse.functions.timegrid import floor_div, last_slot, slot_index
 from crowdpulse.operators.timegrid import Running, running_totals, spread
 
-_TOTALS = [
+TOTALS = [
     Running("num_comments", "sum"),
     Running("num_replies", "sum"),
     Running("num_people", "sum"),
@@ -30,23 +30,16 @@ def engagement_slots(resolved: DataFrame, origin: int, every: int) -> DataFrame:
     )
 
 
-def _changes(resolved: DataFrame, every: int, origin: int, until: int) -> DataFrame:
-    """What each post gained per slot. A person is new in the slot of their first engagement.
+def slot_changes(acts: DataFrame, firsts: DataFrame) -> DataFrame:
+    """What each post gained per slot, ``post_id, k`` and the totals.
 
-    Counts per post and slot and first slots per post and person are summed map-side each, so
-    events are reduced before they are exchanged and neither a busy post nor a busy person is
-    gathered; the first slots then count as one person each.
+    ``acts`` has sums per post and slot or finer ones, ``firsts`` a row per post and person with
+    the slot in which they first met: they count as one person each.
     """
-    k = F.greatest(slot_index("ts_s", origin, every), F.lit(1).cast("bigint"))
-    acts = resolved.filter(F.col("ts_s") <= until).select("kind", "post_id", "person_id", "ts_s", k.alias("k"))
     gains = acts.groupBy("post_id", "k").agg(
-        F.count_if(F.col("kind") == "comment").alias("num_comments"),
-        F.count_if(F.col("kind") == "reply").alias("num_replies"),
-        F.max("ts_s").alias("last_ts"),
-    )
-    met = acts.groupBy("post_id", "person_id").agg(F.min("k").alias("k")).groupBy("post_id", "k").agg(
-        F.count("*").alias("num_people")
+        F.sum("num_comments").alias("num_comments"), F.sum("num_replies").alias("num_replies"), F.max("last_ts").alias("last_ts"),
     )
+    met = firsts.groupBy("post_id", "k").agg(F.count("*").alias("num_people"))
     zero = F.lit(0).cast("bigint")
     both = gains.withColumn("num_people", zero).unionByName(
         met.select("post_id", "k", "num_people", zero.alias("num_comments"), zero.alias("num_replies"), F.lit(None).cast("bigint").alias("last_ts"))
@@ -57,7 +50,23 @@ def _changes(resolved: DataFrame, every: int, origin: int, until: int) -> DataFr
     )
 
 
-def _with_reach(running: DataFrame, every: int, horizon: int, origin: int, stop: int) -> DataFrame:
+def _changes(resolved: DataFrame, every: int, origin: int, until: int) -> DataFrame:
+    """What each post gained per slot. A person is new in the slot of their first engagement.
+
+    Counts per post and slot and first slots per post and person are summed map-side each, so
+    events are reduced before they are exchanged and neither a busy post nor a busy person is
+    gathered.
+    """
+    k = F.greatest(slot_index("ts_s", origin, every), F.lit(1).cast("bigint"))
+    acts = resolved.filter(F.col("ts_s") <= until).select(
+        "post_id", "person_id", k.alias("k"), F.col("ts_s").alias("last_ts"),
+        (F.col("kind") == "comment").cast("bigint").alias("num_comments"),
+        (F.col("kind") == "reply").cast("bigint").alias("num_replies"),
+    )
+    return slot_changes(acts, acts.groupBy("post_id", "person_id").agg(F.min("k").alias("k")))
+
+
+def with_reach(running: DataFrame, every: int, horizon: int, origin: int, stop: int) -> DataFrame:
     """Last slot each state is reported at: until it changes or its horizon has passed."""
     quiet = floor_div(F.col("last_ts") + F.lit(horizon - origin), every)
     reach = F.least(
@@ -70,8 +79,8 @@ def active_posts(resolved: DataFrame, every: int, horizon: int, origin: int, unt
     """``notify_ts, post_id, num_comments, num_replies, num_people`` of posts whose last
     activity is at most ``horizon`` seconds old. Counts run since the start of the post."""
     stop = max(1, last_slot(until, origin, every))
-    running = running_totals(_changes(resolved, every, origin, until), ["post_id"], _TOTALS)
-    reach = _with_reach(running, every, horizon, origin, stop)
+    running = running_totals(_changes(resolved, every, origin, until), ["post_id"], TOTALS)
+    reach = with_reach(running, every, horizon, origin, stop)
     out = spread(reach, F.col("k"), F.col("reach"), origin, every)
     return out.select("notify_ts", "post_id", "num_comments", "num_replies", "num_people")
 
@@ -85,7 +94,7 @@ def activity_spans(resolved: DataFrame, every: int, horizon: int, origin: int, u
         resolved.filter(F.col("ts_s") <= until).select("post_id", "ts_s").withColumn("k", k)
         .groupBy("post_id", "k").agg(F.max("ts_s").alias("last_ts"))
     )
-    reach = _with_reach(running_totals(changes, ["post_id"], aggs), every, horizon, origin, stop)
+    reach = with_reach(running_totals(changes, ["post_id"], aggs), every, horizon, origin, stop)
     w = Window.partitionBy("post_id").orderBy("k")
     broken = F.coalesce(F.lag("reach").over(w), F.lit(-1).cast("bigint")) < F.col("k") - 1
     marked = reach.filter("k <= reach").withColumn("_new", broken.cast("int"))

@@ -26,25 +26,7 @@ from crowdpulse.schema import (
 from crowdpulse.session import checkpoint_dir
 from crowdpulse.sources import sample_tables as sample
 from crowdpulse.sources.wire import parse_events
-from crowdpulse.streaming import (
-    RecommendationStream,
-    SpamStream,
-    ThreadStream,
-    stream_active_posts,
-    write_stream,
-)
-
-ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
-
-
-def state_session(spark: SparkSession, partitions: int = 8) -> SparkSession:
-    """A session for a stream with keyed state: its store, and the number of state partitions that
-    its checkpoint keeps for life. The caller's session stays as it is."""
-    session = spark.newSession()
-    session.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB)
-    session.conf.set("spark.sql.shuffle.partitions", str(partitions))
-    return session
-
+from crowdpulse.streaming import ActivePostsStream, RecommendationStream, SpamStream, ThreadStream
 
 class Feed:
     """The records in a folder of their own under the shared checkpoint folder."""
@@ -90,15 +72,12 @@ def stream_post_trees(spark: SparkSession, sf_dir: str) -> DataFrame:
 def stream_active(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Reports until every post has gone quiet."""
     feed = Feed(spark, sf_dir)
-    threads, session = _threads(feed, origin=feed.origin), state_session(spark)
-    end = feed.until + ACTIVE_POSTS_HORIZON + ACTIVE_POSTS_EVERY + MAX_DELAY_SECONDS
-    # The clock of a batch is that of the batches before it, so the end is said twice.
-    for _ in feed.runs(end, end):
+    threads = _threads(feed, origin=feed.origin)
+    service = ActivePostsStream(spark, feed.path("active"), threads)
+    for _ in feed.runs(feed.until + ACTIVE_POSTS_HORIZON + ACTIVE_POSTS_EVERY + MAX_DELAY_SECONDS):
         _place(feed, threads)
-        write_stream(
-            stream_active_posts(session, threads), "parquet", feed.path("active"), feed.path("cp-active")
-        ).awaitTermination()
-    return spark.read.parquet(feed.path("active"))
+        service.start(spark, feed.path("cp-active")).awaitTermination()
+    return service.reports(spark)
 
 
 def stream_recommendations(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -1,133 +1,101 @@
 """Active-post statistics as a continuous query.
 
-It reads the ``engagements`` table of the thread stream, whose rows are summed per post, person
-and slot already, and keeps one state per post: running totals, the people met so far, and what
-came in for slots that are not complete yet. An event-time timer per tick adds the complete
-slots up and reports, until the post has gone quiet.
+It reads the ``engagements`` that the thread stream has summed per post, person and slot. Slots
+wait until they are complete and are then added up by the functions of the batch job, on top of
+one row per active post. Whom a post has met is kept as rows of post and person, and what a quiet
+post had reached as one row, looked up when it wakes up; no post is one task's work.
 """
 
 from __future__ import annotations
 
-import sys
-
-import pandas as pd
-from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
+from crowdpulse.functions.timegrid import slot_time
+from crowdpulse.operators import active_posts as batch_job
+from crowdpulse.operators.timegrid import running_totals, spread
 from crowdpulse.schema import ACTIVE_POSTS_HORIZON
-from crowdpulse.streaming.trees import ThreadStream
+from crowdpulse.session import cut
+from crowdpulse.streaming.tables import BatchTables
+from crowdpulse.streaming.trees import ENGAGEMENTS, ThreadStream, lookup
 
-# The state class travels to the workers with the query; they need not have this package.
-cloudpickle.register_pickle_by_value(sys.modules[__name__])
+STATE = "post_id bigint, num_comments bigint, num_replies bigint, num_people bigint, last_ts bigint"
+REPORTS = "notify_ts bigint, post_id bigint, num_comments bigint, num_replies bigint, num_people bigint"
 
-OUTPUT = "notify_ts bigint, post_id bigint, num_comments bigint, num_replies bigint, num_people bigint"
 
+class ActivePostsStream:
+    """``threads.complete(spark).writeStream.foreachBatch(ActivePostsStream(...))``: every trigger
+    reports the ticks that have become complete since the last one.
 
-class PostState(StatefulProcessor):
-    def __init__(self, every: int, horizon: int, origin: int):
-        self.every, self.horizon, self.origin = every, horizon, origin
+    The thread stream needs a fixed ``origin``. What arrives too late for its own tick counts from
+    the next one on. What a trigger is about to do is written before anything of it, so that a
+    trigger that is run again does the same.
+    """
 
-    def init(self, handle: StatefulProcessorHandle) -> None:
-        self.handle = handle
-        # Everything reported so far, and the next tick to report.
-        self.totals = handle.getValueState(
-            "totals", "comments bigint, replies bigint, people bigint, last_ts bigint, next_k bigint"
+    def __init__(self, spark: SparkSession, root: str, threads: ThreadStream, horizon: int = ACTIVE_POSTS_HORIZON):
+        if threads.origin is None:
+            raise ValueError("the thread stream needs a fixed origin")
+        self.threads, self.horizon = threads, horizon
+        self.tables = BatchTables(spark, root, {
+            "plan": "slot bigint, upto bigint", "pending": ENGAGEMENTS, "met": "post_id bigint, person_id bigint",
+            "active": STATE, "quiet": STATE + ", at bigint", "reports": REPORTS,
+        })
+
+    def __call__(self, batch: DataFrame, batch_id: int) -> None:
+        spark, tables = batch.sparkSession, self.tables
+        if tables.done(spark, "reports", batch_id):
+            return
+        before = tables.previous(spark, "plan", batch_id).first()
+        served, read = (before["slot"], before["upto"]) if before else (0, -1)
+        slot, upto = self._plan(spark, served, batch_id)
+        arrived = self.threads.tables.between(spark, "engagements", read + 1, upto + 1)
+        arrived = cut(
+            arrived.unionByName(tables.previous(spark, "pending", batch_id))
+            .withColumn("k", F.greatest("k", F.lit(served + 1)))
         )
-        # What slots from next_k on have gained so far.
-        self.gains = handle.getMapState(
-            "gains", "k bigint", "comments bigint, replies bigint, people bigint, last_ts bigint"
+        ready = arrived.filter(F.col("k") <= slot)
+
+        firsts = ready.groupBy("post_id", "person_id").agg(F.min("k").alias("k"))
+        posts = cut(ready.select("post_id").distinct())
+        known = lookup(tables.earlier(spark, "met", batch_id), posts, "post_id")
+        fresh = cut(firsts.join(known, ["post_id", "person_id"], "left_anti"))
+        changes = batch_job.slot_changes(ready, fresh)
+
+        active = tables.previous(spark, "active", batch_id)
+        woken = posts.join(active, "post_id", "left_anti")
+        rested = lookup(tables.earlier(spark, "quiet", batch_id), woken, "post_id")
+        rested = rested.groupBy("post_id").agg(F.max_by(F.struct(*active.columns), "at").alias("s")).select("s.*")
+        # What was reached before stands like a change in the last slot served.
+        base = active.unionByName(rested).withColumn("k", F.lit(served).cast("bigint"))
+        running = cut(running_totals(base.unionByName(changes), ["post_id"], batch_job.TOTALS))
+
+        origin, every = self.threads.origin, self.threads.every
+        reach = batch_job.with_reach(running, every, self.horizon, origin, slot)
+        reports = spread(reach, F.greatest("k", F.lit(served + 1)), F.col("reach"), origin, every)
+        state = running.filter("next_k is null").drop("k", "next_k")
+        still = F.col("last_ts") + self.horizon >= slot_time(F.lit(slot + 1), origin, every)
+        # Nothing has been added to a post that is quiet already: only new ones are written down.
+        tables.write("pending", arrived.filter(F.col("k") > slot), batch_id)
+        tables.write("met", fresh, batch_id)
+        tables.write("active", state.filter(still), batch_id)
+        tables.write("quiet", state.filter(~still).withColumn("at", F.lit(batch_id).cast("bigint")), batch_id)
+        tables.write("reports", reports, batch_id)
+        tables.compact(spark, ("met", "quiet", "reports"), batch_id)
+
+    def _plan(self, spark: SparkSession, served: int, batch_id: int) -> tuple[int, int]:
+        """Last slot that this trigger reports and last thread batch that it reads: as an earlier
+        attempt wrote them, or as they are now."""
+        if not self.tables.done(spark, "plan", batch_id):
+            reached, upto = self.threads.reached(spark)
+            slot = served if reached is None else max(served, (reached - self.threads.origin) // self.threads.every)
+            self.tables.write("plan", spark.createDataFrame([(slot, upto)], self.tables.schemas["plan"]), batch_id)
+        return tuple(self.tables.one(spark, "plan", batch_id).first())
+
+    def reports(self, spark: SparkSession) -> DataFrame:
+        return self.tables.everything(spark, "reports")
+
+    def start(self, spark: SparkSession, checkpoint: str, **trigger):
+        return (
+            self.threads.complete(spark).writeStream.foreachBatch(self).option("checkpointLocation", checkpoint)
+            .trigger(**(trigger or {"availableNow": True})).start()
         )
-        self.people = handle.getMapState("people", "person_id bigint", "since_k bigint")
-
-    def handleInputRows(self, key, rows, timerValues):
-        next_k = self.totals.get()[4] if self.totals.exists() else 1
-        gained: dict[int, list[int]] = {}
-        for chunk in rows:  # one chunk at a time; a few numbers per open slot remain
-            for row in chunk.itertuples(index=False):
-                k = max(int(row.k), next_k)
-                slot = self._slot(gained, k)
-                slot[0] += int(row.num_comments)
-                slot[1] += int(row.num_replies)
-                slot[3] = max(slot[3], int(row.last_ts))
-                self._meet(gained, int(row.person_id), k)
-        for k, slot in gained.items():
-            self.gains.updateValue((k,), tuple(slot))
-            self.handle.registerTimer(self._tick(k) * 1000)
-        yield self._frame([])
-
-    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo):
-        """Report every tick that is complete by now, not only the one that rang."""
-        rang = self._slot_of(expiredTimerInfo.getExpiryTimeInMs())
-        comments, replies, people, last_ts, next_k = (
-            self.totals.get() if self.totals.exists() else (0, 0, 0, 0, rang)
-        )
-        due = max(rang, self._slot_of(timerValues.getCurrentWatermarkInMs()))
-        out = []
-        open_slots = sorted(k for (k,) in self.gains.keys())
-        while next_k <= due:
-            if open_slots and open_slots[0] <= next_k:
-                c, r, p, t = self.gains.getValue((open_slots[0],))
-                self.gains.removeKey((open_slots.pop(0),))
-                comments, replies, people, last_ts = comments + c, replies + r, people + p, max(last_ts, t)
-            elif self._tick(next_k) <= last_ts + self.horizon:
-                out.append((self._tick(next_k), int(key[0]), comments, replies, people))
-                next_k += 1
-            else:  # quiet: go on with the next slot that gained something
-                next_k = min(open_slots[0], due + 1) if open_slots else due + 1
-        self.totals.update((comments, replies, people, last_ts, next_k))
-        if self._tick(next_k) <= last_ts + self.horizon:
-            self.handle.registerTimer(self._tick(next_k) * 1000)
-        yield self._frame(out)
-
-    def _slot_of(self, ms: int) -> int:
-        return (ms // 1000 - self.origin) // self.every
-
-    def _slot(self, gained, k: int) -> list[int]:
-        if k not in gained:
-            gained[k] = list(self.gains.getValue((k,))) if self.gains.containsKey((k,)) else [0, 0, 0, 0]
-        return gained[k]
-
-    def _meet(self, gained, person: int, k: int) -> None:
-        """Count a person in the first slot they show up in, even if its rows come later."""
-        since = self.people.getValue((person,))[0] if self.people.containsKey((person,)) else None
-        if since is None or k < since:
-            if since is not None:
-                self._slot(gained, since)[2] -= 1
-            self._slot(gained, k)[2] += 1
-            self.people.updateValue((person,), (k,))
-
-    def _tick(self, k: int) -> int:
-        return self.origin + k * self.every
-
-    @staticmethod
-    def _frame(rows) -> pd.DataFrame:
-        return pd.DataFrame(
-            rows, columns=["notify_ts", "post_id", "num_comments", "num_replies", "num_people"]
-        ).astype("int64")
-
-
-def stream_active_posts(spark: SparkSession, threads: ThreadStream, horizon: int = ACTIVE_POSTS_HORIZON,
-                        max_files: int | None = None) -> DataFrame:
-    """Streaming twin of the batch query, append mode. Needs the RocksDB state store and a
-    thread stream with a fixed ``origin``. A tick comes out once the time reached is the disorder
-    bound past it.
-
-    Time is the clock column, not the events' own time: files of one micro-batch may be read in
-    any order, and none of them may make another one late.
-    """
-    if threads.origin is None:
-        raise ValueError("the thread stream needs a fixed origin")
-    # Rows that only carry the clock have done their work at the watermark. The filter names the
-    # clock so that it is not moved below the watermark.
-    rows = (
-        threads.tables.stream(spark, "engagements", max_files)
-        .withColumn("clock", F.timestamp_seconds("clock_s"))
-        .withWatermark("clock", f"{threads.max_delay} seconds")
-        .filter(F.col("post_id").isNotNull() | F.col("clock").isNull())
-    )
-    return rows.groupBy("post_id").transformWithStateInPandas(
-        statefulProcessor=PostState(threads.every, horizon, threads.origin), outputStructType=OUTPUT,
-        outputMode="Append", timeMode="EventTime",
-    )

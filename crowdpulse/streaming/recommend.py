@@ -46,7 +46,7 @@ class RecommendationStream:
         spark = batch.sparkSession
         if self.tables.done(spark, "recommendations", batch_id):
             return
-        served = self.tables.earlier(spark, "served", batch_id).agg(F.max("slot")).first()[0] or 0
+        served = self.tables.previous(spark, "served", batch_id).agg(F.max("slot")).first()[0] or 0
         complete, upto = self._plan(spark, served, batch_id)
         resolved = self.threads.resolved(spark, upto)
         first_use = self.tables.previous(spark, "first_use", batch_id)

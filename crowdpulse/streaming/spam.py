@@ -68,6 +68,7 @@ class SpamStream:
         state = [(max_ts, reached, burst_state, word_state)]
         tables.write("state", spark.createDataFrame(state, tables.schemas["state"]), batch_id)
         tables.write("flags", flags, batch_id)
+        tables.compact(spark, ("flags",), batch_id)
 
     def _bursts(self, closed: DataFrame, history: DataFrame, start, reached: int):
         sliced = slice_in_order(closed.select(*self.order), self.order)

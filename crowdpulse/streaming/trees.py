@@ -33,12 +33,7 @@ RESOLVED = (
     "kind string, post_id bigint, person_id bigint, ts_s bigint, author_id bigint, "
     "parent_author bigint, forum_id bigint, tags array<bigint>"
 )
-
-
-ENGAGEMENTS = (
-    "post_id bigint, person_id bigint, k bigint, num_comments bigint, num_replies bigint, "
-    "last_ts bigint, clock_s bigint"
-)
+ENGAGEMENTS = "post_id bigint, person_id bigint, k bigint, num_comments bigint, num_replies bigint, last_ts bigint"
 
 
 class ThreadStream:
@@ -93,15 +88,10 @@ class ThreadStream:
             trees.countable(placed.filter("post_ts is not null"))
         )
         if self.origin is not None:
-            # The clock is that of the batches before: their rows are all written when a row of
-            # this batch can be read. It comes on a row of its own, too, for batches that
-            # brought only punctuation. It starts above 0, where a stream takes rows for late.
-            clock = F.lit(max(before or 0, 1)).cast("bigint").alias("clock_s")
-            slots = engagement_slots(resolved, self.origin, self.every).select("*", clock)
-            tick = spark.range(1).select(clock)
-            tables.write("engagements", slots.unionByName(tick, allowMissingColumns=True), batch_id)
+            tables.write("engagements", engagement_slots(resolved, self.origin, self.every), batch_id)
         tables.write("resolved", resolved, batch_id)
         tables.write("progress", spark.createDataFrame([(max_ts, batch_id)], PROGRESS), batch_id)
+        tables.compact(spark, ("nodes", "posts", "resolved"), batch_id)
 
     def resolved(self, spark: SparkSession, upto: int | None = None) -> DataFrame:
         """The placed events of all complete batches, or of those up to the batch ``upto``."""
@@ -111,8 +101,9 @@ class ThreadStream:
     def reached(self, spark: SparkSession) -> tuple[int | None, int]:
         """``time, batch``: all events up to that time have arrived and are placed or given up in
         the batches up to that one; ``None, -1`` before the first."""
-        top = self.tables.everything(spark, "progress").agg(F.max("max_ts"), F.max("batch")).first()
-        return (None if top[0] is None else top[0] - self.max_delay), (-1 if top[1] is None else top[1])
+        last = self.tables.last(spark, "progress")
+        top = self.tables.one(spark, "progress", last).agg(F.max("max_ts")).first()[0]
+        return (None if top is None else top - self.max_delay), last
 
     def complete(self, spark: SparkSession) -> DataFrame:
         """A stream with a row for each batch that is complete."""

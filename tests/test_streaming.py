@@ -8,13 +8,16 @@ from crowdpulse.operators import trees
 from crowdpulse.plans import api
 from crowdpulse.sources.wire import parse_events, read_text_stream
 from crowdpulse.streaming import (
+    ActivePostsStream,
     RecommendationStream,
     SpamStream,
     ThreadStream,
-    stream_active_posts,
     write_stream,
 )
-from scenarios import BOATS_ORIGIN, CHANTS, FLOOD, SHORT, TWO_OWNERS, at, comment, events, like, post, reply
+from crowdpulse.streaming.tables import BatchTables
+from scenarios import (
+    BOATS_ORIGIN, CHANTS, FLOOD, SHORT, TWO_OWNERS, WAKES_UP, at, comment, events, june, like, on_june, post, reply,
+)
 
 FAR = "WATERMARK|1554400000"
 
@@ -104,18 +107,61 @@ def test_threads_in_given_arrival_order_expire_and_repeat(spark, tmp_path):
     assert resolved_rows(threads.resolved(spark)) == before
 
 
-@pytest.mark.parametrize("size", [5, 50])
+@pytest.mark.parametrize("size", [3, 50])
 def test_active_posts_stream(spark, tmp_path, size):
     lines = disordered(SHORT, 3) if size == 50 else SHORT
-    threads = run_threads(spark, tmp_path, batches(lines, size, FAR, FAR), origin=at("00:05"))
-    out = stream_active_posts(spark, threads, max_files=2)
-    write_stream(out, "parquet", str(tmp_path / "out"), str(tmp_path / "cp-active")).awaitTermination()
-    got = sorted(tuple(r) for r in spark.read.parquet(str(tmp_path / "out")).collect())
+    threads = ThreadStream(spark, str(tmp_path / "threads"), origin=at("00:05"))
+    service = ActivePostsStream(spark, str(tmp_path / "active"), threads)
+    for number, part in enumerate(batches(lines, size, "WATERMARK|1554178000", FAR)):
+        threads(parse_events(spark.createDataFrame([(x,) for x in part], "value string")), number)
+        if size == 50 or number % 2:  # the service need not run in step
+            service(spark.range(0), number if size == 50 else number // 2)
+    service(spark.range(0), number + 1 if size == 50 else (number + 1) // 2)
+    got = sorted(tuple(r) for r in service.reports(spark).collect())
     expected = api.active_posts(events(spark, SHORT), until=at("23:00"))
     assert got == sorted(tuple(r) for r in expected.collect())
     assert len(got) > 40
 
 
+def test_active_posts_stream_stopped_between_writes(spark, tmp_path, monkeypatch):
+    """A post rests, wakes up and is met by a known and a new person; the service is stopped before
+    each of its writes and started again while the threads go on."""
+    lines = by_time([x for x in WAKES_UP if "|7|" in x or x.startswith(("7|", "3|"))] + [on_june(comment, 9, 33, "23:10", 7), on_june(comment, 10, 36, "23:20", 7)])
+    threads = ThreadStream(spark, str(tmp_path / "threads"), origin=june("06:00"))
+    service = ActivePostsStream(spark, str(tmp_path / "active"), threads)
+    parts = [lines[:3], lines[3:-2], [f"WATERMARK|{june('22:50') + 700}"], lines[-2:], [f"WATERMARK|{june('23:59') + 60 * 60 * 13}"]]
+    for number, part in enumerate(parts):
+        threads(parse_events(spark.createDataFrame([(x,) for x in part], "value string")), number)
+        with monkeypatch.context() as m:
+            stop_before(service.tables, m, number)
+            try:
+                service(spark.range(0), number)
+            except Stop:
+                pass
+        service(spark.range(0), number)
+    got = sorted(tuple(r) for r in service.reports(spark).collect())
+    expected = api.active_posts(events(spark, lines), until=june("23:59") + 12 * 3600)
+    assert got == sorted(tuple(r) for r in expected.collect())
+    assert {r[2:] for r in got} >= {(2, 1, 4), (4, 1, 5)}
+
+
+def test_a_trigger_reads_few_folders(spark, tmp_path):
+    """Fifty batches are a handful of blocks, also when one of these is missing."""
+    tables = BatchTables(spark, str(tmp_path / "t"), {"rows": "n bigint"})
+    most = 0
+    for i in range(50):
+        tables.write("rows", spark.range(i, i + 1).selectExpr("id as n"), i)
+        tables.compact(spark, ("rows",), i)
+        if i % 7 == 0 or i == 49:
+            rows = tables.earlier(spark, "rows", i + 1)
+            most = max(most, len({f.rsplit("/", 1)[0] for f in rows.inputFiles()}))
+            assert sorted(r.n for r in rows.collect()) == list(range(i + 1))
+            assert tables.last(spark, "rows") == i
+    assert most <= 14
+    (tmp_path / "t" / "rows_blocks" / "8-15" / "_SUCCESS").rename(tmp_path / "unfinished")
+    assert sorted(r.n for r in tables.everything(spark, "rows").collect()) == list(range(50))
+
+
 def recommendation_tables(spark):
     return {
         "person_knows_person": spark.createDataFrame([(1, 61), (1, 62), (2, 7), (640, 2)], "person_id1 long, person_id2 long"),
