@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from crowdpulse.schema import Weights
-from crowdpulse.session import cut, handed_out
+from crowdpulse.session import handed_out, written
 
 
 def friends(knows: DataFrame, clients) -> DataFrame:
@@ -115,7 +115,7 @@ def positive_static_scores(knows: DataFrame, work: DataFrame, study: DataFrame,
 def static_scores(knows: DataFrame, work: DataFrame, study: DataFrame, clients,
                   weights: Weights = Weights()) -> DataFrame:
     """All candidates of each client: the connected ones, and every non-friend with 0."""
-    knows = cut(knows.select("person_id1", "person_id2"))
+    knows = written(knows.select("person_id1", "person_id2"))
     zero = non_friends(knows, clients).select(
         "person_id", "candidate_id", F.lit(0).cast("bigint").alias("score")
     )

@@ -14,7 +14,7 @@ from crowdpulse.operators import graph, recommend, spam, threshold, trees
 from crowdpulse.operators.timegrid import Running, periodic_snapshot, sliding_sum, time_bounds
 from crowdpulse.plans import api, stream_queries
 from crowdpulse.schema import RECOMMEND_CLIENTS, RECOMMEND_EVERY, RECOMMEND_WINDOW
-from crowdpulse.session import cut
+from crowdpulse.session import cut, written
 from crowdpulse.sources import sample_tables as sample
 from crowdpulse.sources.wire import parse_events
 
@@ -31,7 +31,7 @@ def _static(spark, sf_dir):
 
 def _events(spark, sf_dir, keep=()):
     """The sample events, narrow and written once: threads read them several times."""
-    return cut(trees.thread_events(sample.sample_events(spark, sf_dir), keep))
+    return written(trees.thread_events(sample.sample_events(spark, sf_dir), keep))
 
 
 def _resolved(spark, sf_dir, keep=()):

@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 # Rows of a few numbers each, so this many stay below 32 MB.
 BROADCAST_ROWS = 500_000
+HANDED_OUT_ROWS = 50_000
 
 # What a session should carry. Partition counts are left to the cluster: adaptive
 # execution merges small shuffle partitions and splits oversized ones.
@@ -54,12 +57,25 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def written(df: DataFrame) -> DataFrame:
+    """``df`` as a table beside the checkpoints, for what several steps of a batch job read.
+
+    Unlike a checkpoint it is worked out once only, keeps its columns apart and tells the planner its
+    size. It stays as long as the application's folder; streams use ``cut``.
+    """
+    path = f"{checkpoint_dir(df.sparkSession)}/table-{uuid.uuid4().hex}"
+    df.write.option("compression", "zstd").parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def handed_out(side: DataFrame) -> DataFrame:
-    """A side of a join that is expected to be short, written once and counted.
+    """A side of a join that is expected to be short, such as the rows of the served people.
 
-    Up to ``BROADCAST_ROWS`` rows it goes to every task, and the other side need not be exchanged
-    on a key that may be skewed; beyond, it is joined like any table. A filter does not lower
-    Spark's estimate of a size far enough for that.
+    Up to ``HANDED_OUT_ROWS`` rows are fetched and sent to every task, so that the other side need
+    not be exchanged on a key that may be skewed (a filter does not lower Spark's estimate of a size
+    far enough for that). With more rows it stays a table like any other.
     """
-    side = cut(side)
-    return F.broadcast(side) if side.count() <= BROADCAST_ROWS else side
+    rows = side.limit(HANDED_OUT_ROWS + 1).toArrow()
+    if rows.num_rows > HANDED_OUT_ROWS:
+        return side
+    return F.broadcast(side.sparkSession.createDataFrame(rows, side.schema))
