@@ -246,8 +246,10 @@ def read_warc(spark: SparkSession, files: DataFrame, *, payload: bool = False) -
                             rows, held = [], 0
                 yield _batch(rows, payload)
 
-    # One file a task at a time; each is bounded by the writer.
-    dealt = files.select("file").distinct()
+    # One file a task at a time; each is bounded by the writer. The names are few bytes, so adaptive
+    # execution would merge them into one task unless their number is given.
+    names = files.select("file").distinct()
+    dealt = names.repartition(max(1, names.count()), "file")
     return dealt.mapInArrow(run, RECORDS + ", payload binary" * payload)
 
 

@@ -46,6 +46,14 @@ def test_round_trip(spark, crowd):
     assert index.select("file").distinct().count() > 1
 
 
+def test_files_are_read_by_many_tasks(spark, crowd):
+    index = write_warc(crowd([(i, "u", f"page {i} " * 400) for i in range(60)], SCHEMA), max_file_bytes=1000)
+    assert index.select("file").distinct().count() >= 12
+    out = read_warc(spark, index)
+    tasks = out.groupBy(F.spark_partition_id().alias("task")).count().collect()
+    assert sum(r["count"] for r in tasks) == 60 and len(tasks) >= 4
+
+
 def test_a_record_is_a_frame_of_its_own(spark, crowd):
     index = write_warc(crowd(rows(), SCHEMA)).collect()
     where, path = filesystem(index[0]["file"])
