@@ -15,7 +15,7 @@ from itertools import combinations
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from crowdpulse.llm.common import written
@@ -46,17 +46,21 @@ def fingerprint(text: bytes | None, words_per_shingle: int = 3, seed: int = 42)
     return int(np.packbits(2 * ones > n, bitorder="little").view("<u8")[0])
 
 
-def fingerprints(docs: DataFrame, words_per_shingle: int = 3, seed: int = 42) -> DataFrame:
-    """``doc_id, fp`` (the fingerprint's bits as a signed long) for every row of ``docs``."""
+def fingerprints(docs: DataFrame, words_per_shingle: int = 3, seed: int = 42, carry: str | None = None) -> DataFrame:
+    """``doc_id, fp`` (the fingerprint's bits as a signed long) for every row of ``docs``, and its string column ``carry``."""
 
     def run(batches):
         for batch in batches:
             texts = batch.column(1).cast(pa.binary()).to_pylist()
             fps = np.array([fingerprint(t, words_per_shingle, seed) for t in texts], np.uint64).view(np.int64)
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(fps, pa.int64())], names=["doc_id", "fp"])
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0), *batch.columns[2:], pa.array(fps, pa.int64())],
+                names=[batch.schema.names[0], *batch.schema.names[2:], "fp"],
+            )
 
-    narrow = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    return narrow.mapInArrow(run, "doc_id long, fp long")
+    more = [F.col(carry)] if carry else []
+    narrow = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"), *more)
+    return narrow.mapInArrow(run, "doc_id long, " + (f"`{carry}` string, " if carry else "") + "fp long")
 
 
 def pivots(n: int = 16, seed: int = 7) -> np.ndarray:
@@ -161,6 +165,15 @@ def _forest(cols, refs) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(node[linked]), pa.array(node[label[linked]])], names=["a", "b"])
 
 
+def _linked(distinct: DataFrame, n_pivots: int) -> DataFrame:
+    """``distinct`` (one row per ``fp``) with ``component``, the same number for all fingerprints that links join."""
+    # Nodes are the fingerprints: a repeated doc_id may stand for several of them.
+    found = connected_components(fingerprint_links(distinct.select(F.col("fp").alias("node"), "fp"), n_pivots))
+    return distinct.join(found.withColumnRenamed("node", "fp"), "fp", "left").withColumn(
+        "component", F.coalesce("component", "fp")
+    )
+
+
 def simhash_components(docs: DataFrame, words_per_shingle: int = 3, seed: int = 42, n_pivots: int = 16) -> DataFrame:
     """``doc_id, fp, component_id`` for every row of ``docs``: the smallest doc_id reachable by links.
 
@@ -171,24 +184,37 @@ def simhash_components(docs: DataFrame, words_per_shingle: int = 3, seed: int =
     """
     fps = written(fingerprints(docs, words_per_shingle, seed), "fingerprints")
     distinct = written(fps.groupBy("fp").agg(F.min("doc_id").alias("least")), "distinct-fingerprints")
-    # Nodes are the fingerprints: a repeated doc_id may stand for several of them.
-    found = connected_components(fingerprint_links(distinct.select(F.col("fp").alias("node"), "fp"), n_pivots))
-    placed = distinct.join(found.withColumnRenamed("node", "fp"), "fp", "left").select(
-        "fp", "least", F.coalesce("component", "fp").alias("component")
-    )
+    placed = _linked(distinct, n_pivots)
     # doc_ids that occur with several fingerprints tie these together only through equal texts' links.
     least = placed.groupBy("component").agg(F.min("least").alias("component_id"))
     named = written(placed.join(least, "component").select("fp", "component_id"), "named-fingerprints")
     return fps.join(named, "fp").select("doc_id", "fp", "component_id")
 
 
-def simhash_dedup(docs: DataFrame, **options) -> DataFrame:
-    """``docs`` with one document of each near-duplicate group: the one with the smallest doc_id.
+def row_key() -> Column:
+    """128 bits of a row's doc_id and text: equal for rows that agree in both, and for no others."""
+    text = F.col("text").cast("string").cast("binary")
+    doc = F.coalesce(F.col("doc_id").cast("long").cast("string"), F.lit("none")).cast("binary")
+    return F.md5(F.concat(doc, F.when(text.isNull(), F.lit("-")).otherwise(F.lit("=")).cast("binary"), F.coalesce(text, F.lit(b""))))
+
+
+def simhash_dedup(docs: DataFrame, words_per_shingle: int = 3, seed: int = 42, n_pivots: int = 16) -> DataFrame:
+    """``docs`` with one row of each near-duplicate group: the one with the smallest doc_id.
 
-    Rows with a null doc_id stay. Rows that repeat the kept doc_id and its text stay as they are.
+    Null ids come last; of rows with equal ids that with the smallest hash of id and text stays,
+    and of rows that agree in both any one. Null and empty texts are one group. All columns are
+    kept; an empty table gives an empty table.
     """
-    keep = (
-        simhash_components(docs, **options)
-        .filter(F.col("doc_id") == F.col("component_id")).select(F.col("doc_id").alias("_keep")).distinct()
+    keyed = docs.select("doc_id", "text", row_key().alias("rid"))
+    rows = written(fingerprints(keyed, words_per_shingle, seed, carry="rid"), "row-fingerprints")
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", "rid"))
+    distinct = written(rows.groupBy("fp").agg(first.alias("first")), "distinct-fingerprints")
+    keep = _linked(distinct, n_pivots).groupBy("component").agg(F.min("first").alias("first")).select(F.col("first.rid").alias("rid"))
+    keep = written(
+        rows.join(keep, "rid", "left_semi").groupBy(F.col("rid").alias("_keep")).agg((F.count("*") > 1).alias("_repeated")),
+        "kept-rows",
     )
-    return docs.join(keep, F.col("doc_id") == F.col("_keep"), "left_semi").unionByName(docs.filter(F.col("doc_id").isNull()))
+    kept = docs.withColumn("_rid", row_key()).join(keep, F.col("_rid") == F.col("_keep"))
+    # Only rows that repeat an id and its text need another exchange.
+    once = kept.filter(~F.col("_repeated")).unionByName(kept.filter("_repeated").dropDuplicates(["_rid"]))
+    return once.select(*[F.col(f"`{c}`") for c in docs.columns])

@@ -78,11 +78,19 @@ def test_components_of_documents(crowd):
     )
 
 
-def test_one_document_of_each_group_stays(crowd):
+def test_one_row_of_each_group_stays(crowd):
     text = "some words that many pages share among them all " * 30
-    df = crowd([(2, text), (6, text), (4, "different words stand in this text"), (None, text)], "doc_id long, text string")
+    other = "different words stand in this text"
+    df = crowd([(2, text), (6, text), (4, other), (None, text)], "doc_id long, text string")
     out = simhash_dedup(df)
-    assert sorted((r["doc_id"] for r in out.collect()), key=str) == [2, 4, None] and out.columns == df.columns
+    assert sorted(r["doc_id"] for r in out.collect()) == [2, 4] and out.columns == df.columns
+    # Decided by row: null and repeated ids neither all stay nor save a row of another group.
+    odd = [(None, text), (None, text), (7, other), (7, other), (7, "a third text of its own"), (None, None), (None, ""), (9, " \n")]
+    got = sorted((tuple(r) for r in simhash_dedup(crowd(odd, "doc_id long, text string")).select("doc_id", "text").collect()), key=repr)
+    assert got == sorted([(None, text), (7, other), (7, "a third text of its own"), (9, " \n")], key=repr)
+    nameless = crowd([(None, None), (None, ""), (None, "")], "doc_id long, text string")
+    assert simhash_dedup(nameless).count() == 1
+    assert simhash_dedup(crowd([], "doc_id long, text string")).collect() == []
 
 
 def test_empty_table(crowd):
