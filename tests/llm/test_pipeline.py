@@ -59,15 +59,35 @@ def test_every_stage_against_plain_code(spark):
 
 
 def test_stages_take_odd_rows(spark):
-    odd = [(1, None, None, None, None), (2, "", "en", "a", 0), (None, "a text without an id", None, "a", 20), (2, "", "en", "a", 0),
-           (3, "word " * 50_000, "en", None, None)]
-    docs = spark.createDataFrame(odd, spark.read.parquet(f"{DIR}/documents.parquet").schema).withColumn("copies", F.lit("other"))
-    for name, stage in pipeline.STAGES[1:]:
-        out = stage(spark, docs, DIR)
-        assert out.count() >= 0
-        if name != "best_fit_packing":
-            assert out.columns == list(pipeline.COLUMNS)
-            docs = written(out, "odd")
+    long = " ".join(f"long{i % 997}" for i in range(50_000))
+    named = "a text without an id, of one whole line"
+    odd = [(1, None, None, None, None), (2, "", "en", "a", 0), (None, named, "en", "a", 20), (2, "", "en", "a", 0),
+           (3, long, "en", None, None), (4, named, "en", "a", 20), (4, named, "en", "a", 20)]
+    schema = spark.read.parquet(f"{DIR}/documents.parquet").schema
+    docs = spark.createDataFrame(odd, schema).withColumn("copies", F.lit("other")).withColumn("fp", F.lit(1)).repartition(3)
+
+    def ids(df):
+        return sorted((r["doc_id"] for r in df.collect()), key=repr)
+
+    # The classifier keeps what its scores say, row by row, and the columns of documents alone.
+    good = pipeline.good_documents(spark, docs, DIR)
+    model = quality.fit(docs, spark.read.parquet(f"{DIR}/labels.parquet"))
+    passed = [r for r in odd if model is None or model.score(quality.features([(r[1] or "").encode()]))[0] >= 0.5]
+    assert good.columns == list(pipeline.COLUMNS) and ids(good) == sorted((r[0] for r in passed), key=repr)
+
+    lines = written(pipeline.unique_lines(spark, docs, DIR), "odd")
+    assert ids(lines) == ids(docs) and lines.columns == list(pipeline.COLUMNS)
+    assert {(r["doc_id"], r["text"]) for r in lines.collect()} == {(1, ""), (2, ""), (None, ""), (3, long), (4, named)}
+    unique = written(pipeline.near_unique(spark, lines, DIR), "odd")
+    assert ids(unique) == [1, 3, 4] and unique.columns == list(pipeline.COLUMNS)
+    mixed = written(pipeline.mixed(spark, unique, DIR), "odd")
+    assert mixed.columns == list(pipeline.COLUMNS) and set(ids(mixed)) <= {1, 3, 4}
+    full = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    packed = pipeline.packed(spark, docs, DIR).collect()
+    tokens = {d: 0 for d in (1, 2, None, 3, 4)}
+    for d, text, *_ in odd:
+        tokens[d] += len(full.encode(text or "", add_special_tokens=False).ids) + 1
+    assert {d: sum(r["length"] for r in packed if r["doc_id"] == d) for d in tokens} == tokens
     empty = docs.limit(0)
     for _, stage in pipeline.STAGES:
         assert stage(spark, empty, DIR).collect() == []
