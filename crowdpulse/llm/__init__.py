@@ -12,6 +12,11 @@
 | ``warc`` | WARC archives with an embedded Zstandard dictionary |
 | ``line_dedup`` | repeated lines, levelled sorted runs of line hashes |
 | ``quality`` | quality classifier from positive and unlabelled texts |
+| ``nnls_packing`` | packing token sequences, non-negative least squares over combinations of lengths |
+| ``token_links`` | cross-tokenizer alignment, products of sparse incidence matrices |
+| ``phrases`` | phrase collocations on a weighted de Bruijn graph |
+| ``components`` | connected components of a link table, for ``simhash`` and ``embed_dedup`` |
+| ``vectors`` | vectors from array columns, for ``embed_dedup`` and ``neighbours`` |
 
 Functions that run in Python workers are shipped by value, so executors need no copy of the package.
 """

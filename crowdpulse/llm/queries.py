@@ -12,8 +12,11 @@ from crowdpulse.llm.html_text import main_text
 from crowdpulse.llm.line_dedup import dedup_lines
 from crowdpulse.llm.mixing import mix
 from crowdpulse.llm.neighbours import nearest
+from crowdpulse.llm.nnls_packing import pack_by_least_squares
 from crowdpulse.llm.packing import pack_documents
+from crowdpulse.llm.phrases import collocations
 from crowdpulse.llm.simhash import simhash_components
+from crowdpulse.llm.token_links import token_links
 from crowdpulse.llm.warc import read_warc, write_warc
 
 
@@ -76,6 +79,18 @@ def op10_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_nnls_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pack_by_least_squares(read_table(spark, sf_dir, "documents"))
+
+
+def op12_token_links(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_links(read_table(spark, sf_dir, "documents"))
+
+
+def op13_phrase_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations(read_table(spark, sf_dir, "documents"))
+
+
 OP5_SQL = r"""
 WITH sized AS (
   SELECT doc_id, source, coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0)::BIGINT AS size,
@@ -151,6 +166,41 @@ SELECT doc_id, count(*) AS n_lines, count(*) FILTER (WHERE dropped) AS n_dropped
 FROM marked GROUP BY doc_id
 """
 
+OP13_SQL = r"""
+WITH pieces AS (
+  SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array(
+           translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS piece
+  FROM documents
+), worded AS (
+  SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS w FROM pieces
+), places AS (
+  SELECT lang, w, unnest(range(1, len(w) + 1)) AS i FROM worded
+), grams AS (
+  SELECT lang, m, array_to_string(w[i : i + m - 1], ' ') AS phrase, count(*) AS f
+  FROM places, (VALUES (1), (2), (3)) AS sizes(m) WHERE i + m - 1 <= len(w) GROUP BY ALL
+), totals AS (
+  SELECT lang, sum(f)::BIGINT AS n FROM grams WHERE m = 1 GROUP BY lang
+), candidates AS (
+  SELECT lang, m, phrase, string_split(phrase, ' ') AS w, f AS a FROM grams WHERE m > 1 AND f >= 10
+), cut AS (
+  SELECT lang, m, phrase, a, k, array_to_string(w[1 : k], ' ') AS lhs, array_to_string(w[k + 1 : m], ' ') AS rhs
+  FROM candidates, (VALUES (1), (2)) AS cuts(k) WHERE k < m
+), scored AS (
+  SELECT c.*, x.f AS l, y.f AS r, (1000000::HUGEINT * a * a // (x.f::HUGEINT * y.f))::BIGINT AS score
+  FROM cut c JOIN grams x ON x.lang = c.lang AND x.phrase = c.lhs JOIN grams y ON y.lang = c.lang AND y.phrase = c.rhs
+), best AS (
+  SELECT * FROM scored QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1
+), inside AS (
+  SELECT lang, array_to_string(w[i : i + 1], ' ') AS phrase, max(a) AS longer
+  FROM candidates, (VALUES (1), (2)) AS starts(i) WHERE m = 3 GROUP BY ALL
+), kept AS (
+  SELECT b.* FROM best b LEFT JOIN inside i ON i.lang = b.lang AND i.phrase = b.phrase
+  WHERE i.longer IS NULL OR 100 * i.longer < 50 * b.a
+)
+SELECT k.lang, row_number() OVER (PARTITION BY k.lang ORDER BY score DESC, a DESC, encode(phrase)) AS rank, phrase, a, l, r, n, score
+FROM kept k JOIN totals t ON t.lang = k.lang QUALIFY rank <= 2000
+"""
+
 QUERIES = {
     "op1_language_id": op1_language_id,
     "op2_simhash_near_dedup": op2_simhash_near_dedup,
@@ -162,10 +212,14 @@ QUERIES = {
     "op8_warc": op8_warc,
     "op9_line_dedup": op9_line_dedup,
     "op10_quality_classifier": op10_quality_classifier,
+    "op11_nnls_packing": op11_nnls_packing,
+    "op12_token_links": op12_token_links,
+    "op13_phrase_collocations": op13_phrase_collocations,
 }
 
 ORACLE_SQL = {
     "op5_pareto_mix": OP5_SQL,
     "op8_warc": OP8_SQL,
     "op9_line_dedup": OP9_SQL,
+    "op13_phrase_collocations": OP13_SQL,
 }
