@@ -100,6 +100,21 @@ static_scores AS (
   WHERE NOT EXISTS (SELECT 1 FROM friends AS f WHERE f.person_id = s.person_id AND f.friend_id = s.candidate_id)
   GROUP BY 1, 2)"""
 
+LISTED = "SELECT unnest([" + CLIENTS + "])::BIGINT AS person_id"
+EVERYBODY = """SELECT person_id1 AS person_id FROM knows UNION SELECT person_id2 FROM knows UNION SELECT person_id FROM work
+            UNION SELECT person_id FROM study UNION SELECT person_id FROM forum_members"""
+ALL_EVERY, ALL_WINDOW = 1_209_600, 2_419_200
+
+
+def _for_everybody(sql: str) -> str:
+    """The same query with everybody as clients, every two weeks."""
+    assert LISTED in sql
+    return (
+        sql.replace(LISTED, EVERYBODY).replace(f"/ {RECOMMEND_EVERY})", f"/ {ALL_EVERY})")
+        .replace(f"origin + {RECOMMEND_EVERY} *", f"origin + {ALL_EVERY} *").replace(f"- {RECOMMEND_WINDOW} ", f"- {ALL_WINDOW} ")
+    )
+
+
 DYNAMIC = TREES + "," + STATIC + f""",
 tags AS (
   SELECT person_id, ts_s, event_id, unnest([tag_key % 20, tag_key % 7]) AS tag FROM resolved WHERE kind = 'post'),
@@ -321,6 +336,8 @@ SELECT p.notify_ts, p.person_id, p.candidate_id, p.points,
        CAST(CASE WHEN p.person_id = p.candidate_id THEN 0 ELSE coalesce(a.activity, 0) END AS BIGINT) AS activity
 FROM personal AS p LEFT JOIN activity AS a USING (notify_ts, candidate_id)"""),
         "friend_recommendations": RECOMMENDATIONS,
+        "all_common_friends": _for_everybody(_with(STATIC, "SELECT person_id, candidate_id, count FROM common_friends")),
+        "all_recommendations": _for_everybody(RECOMMENDATIONS),
         "unique_word_ratio": _with(RATIOS, "SELECT event_id, person_id, ts_s, ratio FROM texts"),
         "vocabulary_histogram": _with(RATIOS, f"""
 SELECT bucket, count, CAST(sum(count) OVER (ORDER BY bucket) AS BIGINT) AS upto FROM (

@@ -23,6 +23,8 @@ from crowdpulse.sources.wire import parse_events
 SAMPLE_BURST_WINDOW = 86_400
 SAMPLE_BURST = threshold.Histogram(20, 0.0, 100.0, 97.0)
 ORDER = sample.SAMPLE_ORDER
+# Everybody is served every two weeks.
+ALL_EVERY, ALL_WINDOW = 1_209_600, 2_419_200
 
 
 def _static(spark, sf_dir):
@@ -181,6 +183,9 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "dynamic_scores": _dynamic,
         "friend_recommendations": lambda s, d: api.friend_recommendations(
             sample.sample_events(s, d), _static(s, d)),
+        "all_common_friends": lambda s, d: graph.common_friends(knows(s, d), None),
+        "all_recommendations": lambda s, d: api.friend_recommendations(
+            sample.sample_events(s, d), _static(s, d), None, ALL_EVERY, ALL_WINDOW),
         "unique_word_ratio": lambda s, d: spam.text_ratios(_rated(s, d), ORDER, "ratio"),
         "vocabulary_histogram": _histogram,
         "vocabulary_threshold": _threshold,

@@ -1,6 +1,7 @@
 import random
 
 import pytest
+from pyspark.sql import functions as F
 
 from crowdpulse.operators import graph, recommend
 from crowdpulse.plans import api
@@ -142,3 +143,63 @@ def test_recommendations_against_all_pairs(spark, seed, exclude_self, reply_mode
     )
     expected = everything(updates, (knows, work, study, forums), clients, *args, 3, w, exclude_self, reply_mode)
     assert sorted(tuple(r) for r in got.collect()) == expected and expected
+    if seed == 4:
+        return
+    # The same people as a table, then everybody.
+    table = spark.createDataFrame([(c,) for c in [*clients, 13, None]], "person_id long").withColumn("name", F.lit("x"))
+    static = tables(spark, knows, work, study, forums)
+    got = recommend.friend_recommendations(df, static, table, *args, 3, w, reply_mode, exclude_self)
+    assert sorted(tuple(r) for r in got.collect()) == expected
+    people = sorted({p for t in (knows, forums) for e in t for p in (e if t is knows else e[1:])} | {p for t in (work, study) for p, _ in t})
+    got = recommend.friend_recommendations(df, static, None, *args, 3, w, reply_mode, exclude_self)
+    expected = everything(updates, (knows, work, study, forums), people, *args, 3, w, exclude_self, reply_mode)
+    assert sorted(tuple(r) for r in got.collect()) == expected
+
+
+def test_offers_to_a_person_who_knows_the_best(spark):
+    """The 40 best candidates are all friends of person 1, so more are offered to that person alone."""
+    candidates = spark.createDataFrame([(0, c, 1000 - c) for c in range(100)], "g int, candidate_id long, score long")
+    waiting = spark.createDataFrame([(0, 1), (0, 200), (1, 1)], "g int, person_id long")
+    friends = spark.createDataFrame([(1, c) for c in range(40)], "person_id long, candidate_id long")
+    rows = [(r["person_id"], r["candidate_id"]) for r in recommend.offered(candidates, waiting, friends, ["g"], 5, "score").collect()]
+    own = sorted(c for p, c in rows if p == 1)
+    assert own[:5] == [40, 41, 42, 43, 44] and sorted(c for p, c in rows if p == 200) == [0, 1, 2, 3, 4, 5]
+    # With fewer candidates than asked for, all are offered.
+    few = recommend.offered(candidates.filter("candidate_id < 42"), waiting, friends, ["g"], 5, "score")
+    assert sorted(r["candidate_id"] for r in few.filter("person_id = 1").collect()) == [40, 41]
+
+
+def test_hub_with_a_third_of_all_rows_is_split(spark, monkeypatch):
+    """Person 0 is known by 300 people and knows 30; the paths over that person are dealt to several parts."""
+    monkeypatch.setattr(graph, "PATHS", 500)
+    rng = random.Random(5)
+    knows = {(p, 0) for p in range(1, 301)} | {(0, p) for p in range(1, 31)} | {(rng.randrange(1, 301), rng.randrange(1, 301)) for _ in range(600)}
+    knows = {e for e in knows if e[0] != e[1]} | {(7, 7)}
+    df = tables(spark, knows=sorted(knows))["person_knows_person"]
+    expected = {}
+    for a, f in knows:
+        for f2, c in knows:
+            if f == f2 and f != a and c != a:
+                expected[a, c] = expected.get((a, c), 0) + 1
+    got = graph.common_friends(df, None)
+    assert {(r[0], r[1]): r[2] for r in got.collect()} == expected
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert "CartesianProduct" not in plan and "NestedLoop" not in plan
+    first = graph.friends(df, None).filter("person_id <> friend_id").withColumnRenamed("friend_id", "via")
+    second = df.select(F.col("person_id1").alias("via"), F.col("person_id2").alias("candidate_id"))
+    one, other = graph.dealt_hubs(first, second)
+    parts = [r["count"] for r in one.filter("via = 0").groupBy("part").count().collect()]
+    assert len(parts) == 18 and sum(parts) == 300 and max(parts) < 40
+    assert other.filter("via = 0").count() == 18 * 30
+    assert one.filter("via <> 0 and part <> 0").count() == 0
+
+
+def test_tables_of_clients_in_graph_queries(spark):
+    knows = [(1, 2), (2, 3), (2, 1), (3, 4), (1, 5), (5, 3), (4, 4)]
+    df = tables(spark, knows=knows)["person_knows_person"]
+    some = spark.createDataFrame([(1,), (1,), (3,)], "person_id long")
+    assert sorted(map(tuple, graph.friends(df, some).collect())) == [(1, 2), (1, 5), (3, 4)]
+    assert sorted(map(tuple, graph.common_friends(df, some).collect())) == sorted(map(tuple, graph.common_friends(df, [1, 3]).collect()))
+    with pytest.raises(ValueError):
+        graph.non_friends(df, some)
+    assert graph.common_friends(df.limit(0), None).collect() == []
