@@ -39,7 +39,7 @@ e AS (
          CASE kind WHEN 'comment' THEN first_post WHEN 'like' THEN last_post WHEN 'reply' THEN last_comment END AS parent_id,
          CASE WHEN kind = 'post' THEN CAST(json_extract(props, '$.k') AS BIGINT) END AS tag_key,
          CASE WHEN kind = 'post' THEN user_id END AS forum_id,
-         event_id // 10 AS doc_id
+         event_id % (SELECT count(*) FROM documents) AS doc_id
   FROM kinds LEFT JOIN ahead USING (block))"""
 
 TREES = EVENTS + """,
@@ -277,6 +277,30 @@ SELECT notify_ts, person_id, rank, candidate_id, score FROM (
 WHERE rank <= {RECOMMEND_SIZE}""")
 
 
+SNAPSHOT = """
+WITH b AS (SELECT min(epoch_us(ts) // 1000000) AS origin, max(epoch_us(ts) // 1000000) AS until FROM events),
+ticks AS (SELECT origin + 21600 * unnest(range(1, 1 + CAST(ceil((until - origin) / 21600) AS BIGINT))) AS notify_ts FROM b)
+SELECT notify_ts, event_type, count(*) AS n, CAST(sum(CAST(round(value * 100) AS BIGINT)) AS BIGINT) AS cents,
+       min(user_id) AS lowest_user, max(epoch_us(ts) // 1000000) AS last_ts
+FROM events JOIN ticks ON epoch_us(ts) // 1000000 <= notify_ts GROUP BY 1, 2"""
+
+SLIDING = """
+WITH b AS (SELECT min(epoch_us(ts) // 1000000) AS origin, max(epoch_us(ts) // 1000000) AS until FROM events),
+ticks AS (SELECT origin + 3600 * unnest(range(1, 1 + CAST(ceil((until - origin) / 3600) AS BIGINT))) AS notify_ts FROM b)
+SELECT notify_ts, user_id, CAST(sum(CAST(round(value * 100) AS BIGINT)) AS BIGINT) AS cents
+FROM events JOIN ticks ON epoch_us(ts) // 1000000 <= notify_ts AND epoch_us(ts) // 1000000 > notify_ts - 14400 GROUP BY 1, 2"""
+
+# What a record says, and the records that can't be read.
+_RECORD_ROWS = """
+SELECT kind, id_kind, id, person_id, ts_s, parent_kind, parent_id, forum_id,
+       CASE WHEN kind = 'post' THEN concat('[', tag_key % 20, ', ', tag_key % 7, ']') END AS tags,
+       CASE WHEN kind <> 'like' THEN md5(coalesce(text, '')) END AS content_md5ARRIVAL
+FROM e LEFT JOIN documents USING (doc_id) WHERE kind = 'post' OR parent_id IS NOT NULL
+UNION ALL
+SELECT 'malformed', NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULLARRIVAL
+FROM e WHERE kind <> 'post' AND parent_id IS NULL"""
+
+
 def _active_until_quiet() -> str:
     """The statistics with ticks going on until every post has gone quiet."""
     stop = f"ceil((until - origin) / {ACTIVE_POSTS_EVERY})"
@@ -292,14 +316,27 @@ def oracle_sql() -> dict[str, str]:
         "stream_spammers": _with(_STREAM_SPAM, """
 SELECT 'burst' AS detector, person_id, ts_s, CAST(entry AS DOUBLE) AS value, threshold FROM burst
 UNION ALL SELECT 'low_vocabulary', person_id, ts_s, ratio, threshold FROM low_vocabulary"""),
-        "parse_events": _with(EVENTS, """
-SELECT kind, id_kind, id, person_id, ts_s, parent_kind, parent_id, forum_id,
-       CASE WHEN kind = 'post' THEN concat('[', tag_key % 20, ', ', tag_key % 7, ']') END AS tags,
-       CASE WHEN kind <> 'like' THEN md5(coalesce(text, '')) END AS content_md5
-FROM e LEFT JOIN documents USING (doc_id) WHERE kind = 'post' OR parent_id IS NOT NULL
-UNION ALL
-SELECT 'malformed', NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL
-FROM e WHERE kind <> 'post' AND parent_id IS NULL"""),
+        "parse_events": _with(EVENTS, _RECORD_ROWS.replace("ARRIVAL", "")),
+        "event_files": _with(EVENTS, _RECORD_ROWS.replace("text, ''", "translate(text, chr(10) || chr(13), '  '), ''").replace("ARRIVAL", "")),
+        "event_files_with_arrival": _with(EVENTS, _RECORD_ROWS.replace("text, ''", "translate(text, chr(10) || chr(13), '  '), ''").replace(
+            "ARRIVAL", ", ts_s + event_id % 600 AS arrival_s")),
+        "records_with_bad_bytes": _with(EVENTS, """
+SELECT CASE WHEN event_id % 100 = 3 OR (kind <> 'post' AND parent_id IS NULL) THEN 'malformed' ELSE kind END AS kind,
+       event_id, CASE WHEN event_id % 100 <> 3 AND (kind = 'post' OR parent_id IS NOT NULL) THEN person_id END AS person_id,
+       event_id % 100 = 3 AS bad_bytes, event_id % 100 = 3 OR (kind <> 'post' AND parent_id IS NULL) AS kept_raw
+FROM e"""),
+        "static_tables": _with(STATIC, """
+SELECT 'person_knows_person' AS name, person_id1 AS a, person_id2 AS b, NULL::BIGINT AS c FROM knows
+UNION ALL SELECT 'person_workAt_organisation', o_custkey, l_partkey, min(year(l_shipdate)) FROM bought GROUP BY 2, 3
+UNION ALL SELECT 'person_studyAt_organisation', person_id, organisation_id, NULL FROM study
+UNION ALL SELECT 'forum_has_member', forum_id, person_id, epoch(join_date::TIMESTAMP)::BIGINT FROM forum_members"""),
+        "stream_late_expiry": _with(
+            TREES.replace("FROM e WHERE kind = 'comment' AND parent_id IS NOT NULL", "FROM e WHERE kind = 'comment' AND parent_id IS NOT NULL AND event_id % 7 <> 0"),
+            "SELECT kind, post_id, person_id, ts_s, author_id FROM resolved"),
+        "stream_likes": _with(TREES, """
+SELECT post_id, person_id, ts_s, author_id FROM attached WHERE kind = 'like'"""),
+        "stream_snapshot": SNAPSHOT,
+        "stream_sliding_sum": SLIDING,
         "classify_engagement": _with(EVENTS, """
 SELECT event_id, kind, id_kind, id, person_id, ts_s, coalesce(parent_kind, 'post') AS target_kind,
        CASE WHEN kind = 'post' THEN event_id ELSE parent_id END AS target_id FROM e"""),
@@ -356,15 +393,6 @@ totals AS (SELECT {', '.join(f"count(*) FILTER ({_bucket('ratio', 0.1, 10)} <= {
             """
 SELECT 'burst' AS detector, person_id, ts_s FROM burst
 UNION ALL SELECT 'low_vocabulary', person_id, ts_s FROM low_vocabulary"""),
-        "periodic_snapshot": """
-WITH b AS (SELECT min(epoch_us(ts) // 1000000) AS origin, max(epoch_us(ts) // 1000000) AS until FROM events),
-ticks AS (SELECT origin + 21600 * unnest(range(1, 1 + CAST(ceil((until - origin) / 21600) AS BIGINT))) AS notify_ts FROM b)
-SELECT notify_ts, event_type, count(*) AS n, CAST(sum(CAST(round(value * 100) AS BIGINT)) AS BIGINT) AS cents,
-       min(user_id) AS lowest_user, max(epoch_us(ts) // 1000000) AS last_ts
-FROM events JOIN ticks ON epoch_us(ts) // 1000000 <= notify_ts GROUP BY 1, 2""",
-        "sliding_sum": """
-WITH b AS (SELECT min(epoch_us(ts) // 1000000) AS origin, max(epoch_us(ts) // 1000000) AS until FROM events),
-ticks AS (SELECT origin + 3600 * unnest(range(1, 1 + CAST(ceil((until - origin) / 3600) AS BIGINT))) AS notify_ts FROM b)
-SELECT notify_ts, user_id, CAST(sum(CAST(round(value * 100) AS BIGINT)) AS BIGINT) AS cents
-FROM events JOIN ticks ON epoch_us(ts) // 1000000 <= notify_ts AND epoch_us(ts) // 1000000 > notify_ts - 14400 GROUP BY 1, 2""",
+        "periodic_snapshot": SNAPSHOT,
+        "sliding_sum": SLIDING,
     }

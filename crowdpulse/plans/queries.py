@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -11,10 +13,11 @@ from crowdpulse.functions.text import unique_word_ratio
 from crowdpulse.functions.timegrid import last_slot
 from crowdpulse.operators import active_posts as active
 from crowdpulse.operators import graph, recommend, spam, threshold, trees
-from crowdpulse.operators.timegrid import Running, periodic_snapshot, sliding_sum, time_bounds
+from crowdpulse.operators.timegrid import periodic_snapshot, sliding_sum, time_bounds
 from crowdpulse.plans import api, stream_queries
 from crowdpulse.schema import RECOMMEND_CLIENTS, RECOMMEND_EVERY, RECOMMEND_WINDOW
-from crowdpulse.session import cut, written
+from crowdpulse.session import checkpoint_dir, cut, written
+from crowdpulse.sources import read_event_files, read_events_with_arrival, read_static_tables
 from crowdpulse.sources import sample_tables as sample
 from crowdpulse.sources.wire import parse_events
 
@@ -54,16 +57,53 @@ def _rated(spark, sf_dir) -> DataFrame:
 
 
 def _parse(spark, sf_dir):
-    return parse_events(sample.sample_wire(spark, sf_dir)).select(
+    return _record_rows(parse_events(sample.sample_wire(spark, sf_dir)))
+
+
+def _record_rows(parsed, *more):
+    return parsed.select(
         "kind", "id_kind", "id", "person_id", "ts_s", "parent_kind", "parent_id", "forum_id",
         F.when(
             F.col("kind") == "post",
             F.concat(F.lit("["), F.concat_ws(", ", F.transform("tags", lambda t: t.cast("string"))), F.lit("]")),
         ).alias("tags"),
-        F.md5(F.col("content").cast("binary")).alias("content_md5"),
+        F.md5(F.col("content").cast("binary")).alias("content_md5"), *more,
+    )
+
+
+def _event_files(spark, sf_dir):
+    folder = f"{checkpoint_dir(spark)}/event-files-{uuid.uuid4().hex}"
+    return _record_rows(read_event_files(spark, *sample.write_event_files(spark, sf_dir, folder)))
+
+
+def _event_files_with_arrival(spark, sf_dir):
+    folder = f"{checkpoint_dir(spark)}/event-files-{uuid.uuid4().hex}"
+    paths = sample.write_event_files(spark, sf_dir, folder, arrival=True)
+    return _record_rows(read_events_with_arrival(spark, *paths), "arrival_s")
+
+
+def _bad_bytes(spark, sf_dir):
+    """A byte that is no UTF-8 in every hundredth record: those are kept as they came, the others are read."""
+    wire = sample.sample_wire(spark, sf_dir, keep=("event_id",), texts=False)
+    raw = F.col("value").cast("binary")
+    bad = F.when(F.col("event_id") % 100 == 3, F.concat(raw, F.lit(b"\xff"))).otherwise(raw)
+    return parse_events(wire.withColumn("value", bad), keep=("event_id",)).select(
+        "kind", "event_id", "person_id",
+        F.coalesce(F.hex("raw").endswith("FF"), F.lit(False)).alias("bad_bytes"), F.col("raw").isNotNull().alias("kept_raw"),
     )
 
 
+def _static_tables(spark, sf_dir):
+    folder = f"{checkpoint_dir(spark)}/static-tables-{uuid.uuid4().hex}"
+    sample.write_static_tables(spark, sf_dir, folder)
+    rows = []
+    for name, df in read_static_tables(spark, folder).items():
+        a, b, c = [*df.columns, None][:3]
+        third = F.unix_seconds(c) if c == "join_date" else F.lit(None) if c is None else F.col(c)
+        rows.append(df.select(F.lit(name).alias("name"), F.col(a).alias("a"), F.col(b).alias("b"), third.cast("bigint").alias("c")))
+    return reduce(DataFrame.unionByName, rows)
+
+
 def _classify(spark, sf_dir):
     return sample.sample_events(spark, sf_dir).select(
         "event_id", "kind", "id_kind", "id", "person_id", "ts_s",
@@ -128,25 +168,14 @@ def _low_vocabulary(spark, sf_dir):
     return api.low_vocabulary_spam(_rated(spark, sf_dir), order=ORDER, ratio="ratio")
 
 
-def _seconds(spark, sf_dir):
-    return sample.table(spark, sf_dir, "events").select(
-        "event_type", "user_id", F.unix_seconds(F.col("ts").cast("timestamp")).alias("ts_s"),
-        F.round(F.col("value") * 100).cast("bigint").alias("cents"),
-    )
-
-
 def _snapshot(spark, sf_dir):
-    events = _seconds(spark, sf_dir)
+    events = sample.sample_seconds(spark, sf_dir)
     origin, until = time_bounds(events, None)
-    aggs = [
-        Running("n", "count"), Running("cents", "sum", "cents"),
-        Running("lowest_user", "min", "user_id"), Running("last_ts", "max", "ts_s"),
-    ]
-    return periodic_snapshot(events, ["event_type"], aggs, 21_600, origin, until)
+    return periodic_snapshot(events, ["event_type"], stream_queries.SNAPSHOT_AGGS, 21_600, origin, until)
 
 
 def _sliding(spark, sf_dir):
-    events = _seconds(spark, sf_dir)
+    events = sample.sample_seconds(spark, sf_dir)
     origin, until = time_bounds(events, None)
     return sliding_sum(events, ["user_id"], {"cents": "cents"}, 3_600, 14_400, origin, until)
 
@@ -156,6 +185,10 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     knows = lambda s, d: _static(s, d)["person_knows_person"]
     return {
         "parse_events": _parse,
+        "event_files": _event_files,
+        "event_files_with_arrival": _event_files_with_arrival,
+        "records_with_bad_bytes": _bad_bytes,
+        "static_tables": _static_tables,
         "classify_engagement": _classify,
         "resolve_likes": _likes,
         "post_roots": _roots,
@@ -197,6 +230,10 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "spammers": lambda s, d: spam.spammers(_burst_spam(s, d), _low_vocabulary(s, d)),
         "stream_post_trees": stream_queries.stream_post_trees,
         "stream_active_posts": stream_queries.stream_active,
+        "stream_late_expiry": stream_queries.stream_late_expiry,
+        "stream_likes": stream_queries.stream_likes,
+        "stream_snapshot": stream_queries.stream_snapshot,
+        "stream_sliding_sum": stream_queries.stream_sliding_sum,
         "stream_friend_recommendations": stream_queries.stream_recommendations,
         "stream_spammers": lambda s, d: stream_queries.stream_spam(
             s, d, SAMPLE_BURST_WINDOW, SAMPLE_BURST),

@@ -6,7 +6,7 @@ per-row arithmetic over the whole tables:
 * ``events``: purchase and signup are posts, click comments, error replies, view likes. Each
   user owns ten accounts. Answers go to the previous block of 16 consecutive events: comments
   to its first post, likes to its last post, replies to its last comment or reply.
-* ``documents``: ten consecutive events share one text.
+* ``documents``: event n has the text n modulo the number of documents, so every text is used.
 * ``orders``: the customer of an order knows the customer of the next order.
 * ``lineitem``: a customer works where their parts come from and is a member of the forums of
   the suppliers.
@@ -20,7 +20,6 @@ from pyspark.sql import functions as F
 
 BLOCK = 16
 ACCOUNTS = 10
-TEXTS = 10
 
 SAMPLE_ORDER = ("ts_s", "event_id")
 
@@ -41,6 +40,7 @@ def _kinds(events: DataFrame) -> DataFrame:
 def sample_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``events`` in the event layout, with ``event_id`` and ``doc_id``, without texts."""
     events = _kinds(table(spark, sf_dir, "events"))
+    texts = max(1, table(spark, sf_dir, "documents").count())
     # At most BLOCK rows per group: event ids are unique.
     ahead = events.groupBy((F.col("_block") + 1).alias("_block")).agg(
         F.min(F.when(F.col("kind") == "post", F.col("event_id"))).alias("first_post"),
@@ -61,7 +61,15 @@ def sample_events(spark: SparkSession, sf_dir: str) -> DataFrame:
         .when(kind == "reply", F.col("last_comment")).alias("parent_id"),
         F.when(kind == "post", F.array(k % 20, k % 7)).alias("tags"),
         F.when(kind == "post", F.col("user_id")).alias("forum_id"),
-        F.call_function("div", F.col("event_id"), F.lit(TEXTS)).alias("doc_id"),
+        (F.col("event_id") % texts).alias("doc_id"),
+    )
+
+
+def sample_seconds(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``events`` with whole seconds and whole cents."""
+    return table(spark, sf_dir, "events").select(
+        "event_type", "user_id", F.unix_seconds(F.col("ts").cast("timestamp")).alias("ts_s"),
+        F.round(F.col("value") * 100).cast("bigint").alias("cents"),
     )
 
 
@@ -110,10 +118,12 @@ def sample_static(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     }
 
 
-def sample_wire(spark: SparkSession, sf_dir: str, keep=(), texts: bool = True) -> DataFrame:
-    """The sample events as text records in ``value``, texts quoted (or left empty)."""
+def sample_wire(spark: SparkSession, sf_dir: str, keep=(), texts: bool = True, one_line: bool = False) -> DataFrame:
+    """The sample events as text records in ``value``, texts quoted (or left empty), with spaces for line breaks if ``one_line``."""
     if texts:
         e = sample_events_with_texts(spark, sf_dir)
+        if one_line:
+            e = e.withColumn("content", F.translate("content", "\n\r", "  "))
     else:
         e = sample_events(spark, sf_dir).withColumn("content", F.lit(""))
     at = F.date_format(F.timestamp_seconds("ts_s"), "yyyy-MM-dd'T'HH:mm:ss'Z'")
@@ -135,3 +145,25 @@ def sample_wire(spark: SparkSession, sf_dir: str, keep=(), texts: bool = True) -
         *keep,
         F.when(F.col("kind") == "post", post).when(F.col("kind") == "like", like).otherwise(comment).alias("value")
     )
+
+
+def write_event_files(spark: SparkSession, sf_dir: str, folder: str, arrival: bool = False) -> list[str]:
+    """The sample as the three kinds of event files, each with a header line; with ``arrival`` a first field
+    says when a record arrived, up to ten minutes after its event. Returns the folders of posts, comments and likes."""
+    wire = sample_wire(spark, sf_dir, keep=("event_id", "kind", "ts_s"), one_line=True)
+    if arrival:
+        at = F.date_format(F.timestamp_seconds(F.col("ts_s") + F.col("event_id") % 600), "yyyy-MM-dd'T'HH:mm:ss'Z'")
+        wire = wire.withColumn("value", F.concat(at, F.lit("|"), "value"))
+    paths = []
+    for name, kinds in (("posts", ("post",)), ("comments", ("comment", "reply")), ("likes", ("like",))):
+        paths.append(f"{folder}/{name}")
+        lines = wire.filter(F.col("kind").isin(*kinds)).select("value")
+        # A separator and quotes that no line holds: lines are written as they are, under a header in each file.
+        lines.write.option("header", True).option("sep", "\x00").option("quote", "\x01").option("emptyValue", "").csv(paths[-1])
+    return paths
+
+
+def write_static_tables(spark: SparkSession, sf_dir: str, folder: str) -> None:
+    """The four relational tables as ``<folder>/<table>.csv``."""
+    for name, df in sample_static(spark, sf_dir).items():
+        df.write.option("sep", "|").option("header", True).csv(f"{folder}/{name}.csv")

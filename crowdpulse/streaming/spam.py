@@ -2,7 +2,8 @@
 
 Thresholds depend on the order of events, so events wait until the watermark has passed them
 and are then judged in order by the batch operators. Between batches only a few numbers (the
-histograms), the last minute of counts per person and the people flagged so far are carried.
+histograms) and the last minute of counts per person are carried; who has been flagged already is
+keyed state of the stream that hands each flag on once.
 The flags are those of the batch job, with the disorder bound as extra latency.
 """
 
@@ -16,6 +17,7 @@ from crowdpulse.operators import spam
 from crowdpulse.operators.threshold import Histogram, bucket_totals, running_threshold, slice_in_order
 from crowdpulse.schema import BURST_MAX, BURST_WINDOW, EVENT_ORDER, MAX_DELAY_SECONDS
 from crowdpulse.session import cut
+from crowdpulse.streaming.event_time import first_of_each
 from crowdpulse.streaming.tables import BatchTables
 
 WAITING = (
@@ -60,8 +62,8 @@ class SpamStream:
         burst_flags, burst_state, recent = self._bursts(closed, tables.previous(spark, "recent", batch_id),
                                                         before and before["burst"], reached)
         word_flags, word_state = self._vocabulary(closed, before and before["vocabulary"])
-        known = tables.earlier(spark, "flags", batch_id).select("detector", "person_id")
-        flags = burst_flags.unionByName(word_flags).join(known, ["detector", "person_id"], "left_anti")
+        # A person may be flagged in other batches too: ``once`` takes the first, without a look at all flags.
+        flags = burst_flags.unionByName(word_flags)
 
         tables.write("waiting", events.filter(F.col("ts_s") > reached), batch_id)
         tables.write("recent", recent, batch_id)
@@ -95,7 +97,15 @@ class SpamStream:
         return _named("low_vocabulary", flags, "ratio"), _plus(start, bucket_totals(sliced, deltas, self.vocabulary))
 
     def flags(self, spark: SparkSession) -> DataFrame:
-        return self.tables.everything(spark, "flags")
+        """Each person's first flag by each detector, so far."""
+        first = F.min(F.struct("ts_s", "value", "threshold")).alias("f")
+        rows = self.tables.everything(spark, "flags").groupBy("detector", "person_id").agg(first)
+        return rows.select("detector", "person_id", "f.ts_s", "f.value", "f.threshold")
+
+    def once(self, spark: SparkSession) -> DataFrame:
+        """The same as a stream, each flag as soon as it is known: the flagged people are keyed state, so a trigger
+        reads only its own batches' flags. The session's state provider must be RocksDB."""
+        return first_of_each(self.tables.stream(spark, "flags"), ["detector", "person_id"], ["ts_s"])
 
     def start(self, parsed: DataFrame, checkpoint: str, **trigger):
         return (
