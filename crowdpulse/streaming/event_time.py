@@ -34,10 +34,12 @@ def event_time(parsed: DataFrame, max_delay: int = MAX_DELAY_SECONDS) -> DataFra
     Needs ``kind`` and ``ts_s``. Rows of other streams count as events if ``kind`` is null.
     """
     timed = parsed.withColumn("event_time", F.timestamp_seconds("ts_s")).withWatermark("event_time", f"{max_delay} seconds")
-    # Conditions on the event time stay above the watermark. A plain one on the kind would be pushed
-    # below it, and punctuation would never be seen there.
-    kind = F.when(F.col("event_time").isNotNull(), F.coalesce("kind", F.lit("event")))
-    return timed.filter(~kind.isin("watermark", "malformed"))
+    # Conditions that don't mention the event time are moved below the watermark, where they would take
+    # away punctuation before it has moved time on (a join adds some of its own, too). So every
+    # column is made to depend on it.
+    own = F.when(F.col("event_time").isNotNull(), F.struct(*[F.col(c) for c in parsed.columns]))
+    rows = timed.select("event_time", own.alias("_row")).select("_row.*", "event_time")
+    return rows.filter(~F.coalesce("kind", F.lit("event")).isin("watermark", "malformed"))
 
 
 def _window(every: int, origin: int, length: int | None = None):
