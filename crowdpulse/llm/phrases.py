@@ -31,24 +31,31 @@ MARKS = b".,;:!?\n\x0b\x0c\r"
 FOLD = bytes.maketrans(
     b"ABCDEFGHIJKLMNOPQRSTUVWXYZ\t" + MARKS, b"abcdefghijklmnopqrstuvwxyz " + b"." * len(MARKS)
 )
-#: Bytes of text that a task adds up at a time, and of all text for one slice of the exchange.
-BLOCK, SLICE = 8 << 20, 12 << 20
+#: Bytes of text that a task reads into numbers and adds up at a time, and of all text for one slice of the exchange.
+CHUNK, BLOCK, SLICE = 1 << 20, 8 << 20, 8 << 20
 PACKED = "level int, lang string, slice int, words binary, grams binary, counts binary"
 COLUMNS = ["level", "lang", "slice", "words", "grams", "counts"]
 
 
-def numbered_words(texts: list[bytes]) -> tuple[list[bytes], np.ndarray]:
-    """The distinct words of the texts, lower-cased, and the texts as numbers of them; 0 (no word) ends a piece."""
-    number = defaultdict(count().__next__)
-    number[b"."]
-    line = b".".join(texts).translate(FOLD).replace(b".", b" . ")
-    found = np.fromiter(map(number.__getitem__, line.split()), np.int64)
-    return [b"", *list(number)[1:]], found
+class Numbers:
+    """Numbers of the distinct words of texts, lower-cased; 0 stands for no word and ends a piece."""
+
+    def __init__(self):
+        self.of = defaultdict(count().__next__)
+        self.of[b"."]
+
+    def read(self, texts: list[bytes]) -> np.ndarray:
+        """The texts as numbers of their words, a 0 behind each."""
+        line = b".".join([*texts, b""]).translate(FOLD).replace(b".", b" . ")
+        return np.fromiter(map(self.of.__getitem__, line.split()), np.int32)
+
+    def words(self) -> list[bytes]:
+        return [b"", *list(self.of)[1:]]
 
 
 def edges_of(found: np.ndarray, order: int) -> list[np.ndarray]:
     """The edge that each word begins, as ``order`` columns; columns behind the end of a piece are 0."""
-    padded = np.concatenate([found, np.zeros(order, np.int64)])
+    padded = np.concatenate([found, np.zeros(order, found.dtype)])
     starts = np.flatnonzero(found)
     columns = [padded[starts]]
     for k in range(1, order):
@@ -60,7 +67,7 @@ def added_up(columns: list[np.ndarray], size: int, weights: np.ndarray | None =
     """Distinct rows of ``columns`` (numbers below ``size``) in order, and the sum of their weights (1 each)."""
     if not len(columns[0]):
         return columns, np.zeros(0, np.int64)
-    code, span = columns[0], size
+    code, span = columns[0].astype(np.int64), size
     for c in columns[1:]:
         if span * size >= 1 << 63:
             distinct, code = np.unique(code, return_inverse=True)
@@ -122,24 +129,32 @@ def _batch(rows: list[tuple]) -> pa.Table:
 
 def _edges(docs: DataFrame, order: int, slices: int) -> DataFrame:
     def run(batches):
-        texts, size = defaultdict(list), 0
+        texts, numbers, read, size, held = defaultdict(list), defaultdict(Numbers), defaultdict(list), 0, 0
 
-        def flush():
+        def to_numbers():
             for lang, own in texts.items():
-                words, found = numbered_words(own)
-                columns, counts = added_up(edges_of(found, order), len(words))
+                read[lang].append(numbers[lang].read(own))
+            texts.clear()
+
+        def flush():
+            for lang in list(read):
+                words = numbers.pop(lang).words()
+                columns, counts = added_up(edges_of(np.concatenate(read.pop(lang)), order), len(words))
                 # One slice at a time, so that rows leave the task in small batches.
                 for row in packed(order, lang, words, columns, counts, slices):
                     yield from _batch([row]).to_batches()
-            texts.clear()
 
         for batch in batches:
             for lang, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
                 texts[lang].append(text)
-                size += len(text) + 64
-                if size >= BLOCK:
-                    yield from flush()
-                    size = 0
+                held += len(text) + 64
+                if held >= CHUNK:
+                    to_numbers()
+                    size, held = size + held, 0
+                    if size >= BLOCK:
+                        yield from flush()
+                        size = 0
+        to_numbers()
         yield from flush()
 
     text = F.coalesce(F.col("text").cast("string").cast("binary"), F.lit(b""))
@@ -159,14 +174,17 @@ def _reduce(rows: DataFrame, level: int, least: int, slices: int) -> DataFrame:
         out, number = [], defaultdict(count().__next__)
         number[b""]
         columns, counts = [], []
-        for at, *row in zip(*(table.column(c).to_pylist() for c in ("level", "words", "grams", "counts"))):
+        # Row by row: a packed row is unpacked into numbers before the next is looked at.
+        for i in range(table.num_rows):
+            at, *row = (table.column(c)[i].as_py() for c in ("level", "words", "grams", "counts"))
             if at < 0:
                 out.append((at, lang, own_slice, *row))
                 continue
             words, grams, n = unpacked(level, *row)
-            own = np.fromiter(map(number.__getitem__, words), np.int64, len(words))
+            own = np.fromiter(map(number.__getitem__, words), np.int32, len(words))
             columns.append(own[grams])
             counts.append(n)
+        del table
         if columns:
             words = list(number)
             columns, counts = added_up(list(np.concatenate(columns, axis=1)), len(words), np.concatenate(counts))

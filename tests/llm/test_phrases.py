@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from crowdpulse.llm import phrases
-from crowdpulse.llm.phrases import added_up, collocations, compact_paths, edges_of, numbered_words, phrase_counts
+from crowdpulse.llm.phrases import Numbers, added_up, collocations, compact_paths, edges_of, phrase_counts
 
 SCHEMA = "doc_id long, text string, lang string"
 
@@ -59,10 +59,11 @@ def texts(seed, n=120):
     return rows
 
 
-@pytest.mark.parametrize("block,slices", [(8 << 20, 12 << 20), (50, 40)])
+@pytest.mark.parametrize("block,slices", [(8 << 20, 8 << 20), (50, 40)])
 def test_against_plain_code(crowd, monkeypatch, block, slices):
     # Functions that run in workers carry the module's values along.
     monkeypatch.setattr(phrases, "BLOCK", block)
+    monkeypatch.setattr(phrases, "CHUNK", min(block, 1 << 20))
     monkeypatch.setattr(phrases, "SLICE", slices)
     rows = texts(1) + [(900, None, "en"), (901, "", None), (902, "...", "fr"), (None, "new york", "en"), (900, "new york", "en"),
                        (903, "word " * 20_000, "long"), (904, " ".join(f"u{i}" for i in range(5000)), "long")]
@@ -88,7 +89,9 @@ def test_unary_paths(crowd):
 
 
 def test_edges_of_words():
-    words, found = numbered_words([b"A b\tc.d", b"e f"])
+    numbers = Numbers()
+    found = np.concatenate([numbers.read([b"A b\tc.d"]), numbers.read([b"e f"])])
+    words = numbers.words()
     assert words[1:] == [b"a", b"b", b"c", b"d", b"e", b"f"]
     assert [[words[i] for i in edge] for edge in zip(*edges_of(found, 3))] == [
         [b"a", b"b", b"c"], [b"b", b"c", b""], [b"c", b"", b""], [b"d", b"", b""], [b"e", b"f", b""], [b"f", b"", b""]
