@@ -3,16 +3,20 @@
 A vector x becomes (x, sqrt(M^2 - |x|^2)) with M the largest length, a query q becomes (q, 0): the
 largest inner product is then the smallest distance. Points are projected to a few dimensions by
 Gaussian directions (2-stable, so the squared projected distance is the squared distance times a
-chi-square variable) and put in a kd-tree. A query takes up leaves by rising projected distance
-and verifies their points on the original vectors; it stops when a point nearer than the k-th best
-so far would, by the chi-square law, have shown up with the wanted probability.
-
-Candidates are dealt into shards of bounded size with a tree each, queries into blocks; a block
-meets every shard, and the best of the shards are merged per query.
+chi-square variable) and put in a kd-tree. A query takes up points by rising projected distance,
+which the tree hands out leaf by leaf, and verifies them on the original vectors; it stops when a
+point nearer than the k-th best so far would, by the chi-square law, have shown up with the wanted
+probability.
+
+Candidates are dealt into shards of bounded size with a tree each, queries into blocks. A block
+first searches one shard, and takes the k-th best score found there along to all others, so that
+most of them stop early; the best of the shards are merged per query. Vectors of each length are
+a search of their own.
 """
 
 from __future__ import annotations
 
+from dataclasses import dataclass
 from math import factorial
 
 import numpy as np
@@ -21,10 +25,10 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from crowdpulse.llm.common import written
-from crowdpulse.llm.vectors import dimension, matrix, usable
+from crowdpulse.llm.vectors import matrix, usable
 
-#: Rows of a shard and of a query block, points of a leaf, leaves taken up at a time.
-SHARD, BLOCK, LEAF, STEP = 16_384, 1024, 64, 8
+#: Rows of a shard and of a query block, points of a leaf, leaves taken up and points verified at a time.
+SHARD, BLOCK, LEAF, STEP, VERIFIED = 16_384, 1024, 64, 16, 512
 
 
 def chi_square_cdf(x: np.ndarray | float, degrees: int):
@@ -65,44 +69,78 @@ def build_tree(points: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray,
     return order, starts, low, high
 
 
-def search(query: np.ndarray, own_id: int, projected: np.ndarray, far2: float, tree, x: np.ndarray, ids: np.ndarray, k: int,
-           reach: float) -> tuple[np.ndarray, np.ndarray]:
-    """Row numbers and inner products of the ``k`` best found in one shard, best first.
-
-    ``far2`` is M^2 + |q|^2: a squared distance is that less twice the inner product. ``reach`` is
-    the chi-square quantile of the stopping test.
-    """
-    order, starts, low, high = tree
-    gap = np.maximum(np.maximum(low - projected, projected - high), 0)
-    bound = np.einsum("ij,ij->i", gap, gap)
-    by = np.argsort(bound, kind="stable")
-    best, score = np.zeros(0, np.int64), np.zeros(0)
-    for at in range(0, len(by), STEP):
-        if len(best) == k and bound[by[at]] >= reach * max(0.0, far2 - 2 * score[-1]):
-            break
-        rows = np.concatenate([order[starts[leaf] : starts[leaf + 1]] for leaf in by[at : at + STEP]])
-        rows = rows[ids[rows] != own_id]
-        # Row by row, so that equal vectors get equal scores wherever they stand.
-        found = np.einsum("ij,j->i", x[rows], query)
-        if len(best) == k:
-            good = found >= score[-1]
-            rows, found = rows[good], found[good]
-        best, score = np.concatenate([best, rows]), np.concatenate([score, found])
-        top = np.lexsort((ids[best], -score))[:k]
-        best, score = best[top], score[top]
-    return best, score
-
-
-def nearest(vectors: DataFrame, is_query: Column, k: int = 20, projections: int = 8, certainty: float = 0.97,
+@dataclass
+class Shard:
+    """Candidates with their projections in a tree. ``far2`` of a query is M^2 + |q|^2: a squared distance is that
+    less twice the inner product."""
+
+    rows: np.ndarray
+    ids: np.ndarray
+    x: np.ndarray
+    projected: np.ndarray
+    tree: tuple
+
+    def search(self, query: np.ndarray, own_row: int, projected: np.ndarray, far2: float, k: int, reach: float,
+               floor: float = -np.inf) -> tuple[np.ndarray, np.ndarray, int]:
+        """Positions and inner products of the ``k`` best found, best first, and how many points were verified.
+
+        ``reach`` is the chi-square quantile of the stopping test, ``floor`` a score that ``k`` other
+        candidates reach, so that only as good ones matter.
+        """
+        order, starts, low, high = self.tree
+        gap = np.maximum(np.maximum(low - projected, projected - high), 0)
+        bound = np.einsum("ij,ij->i", gap, gap)
+        by = np.argsort(bound, kind="stable")
+        best, score, verified = np.zeros(0, np.int64), np.zeros(0), 0
+        worst = floor
+        waiting, distance = np.zeros(0, np.int64), np.zeros(0)
+
+        def limit():
+            return reach * max(0.0, far2 - 2 * worst) if worst > -np.inf else np.inf
+
+        for at in range(0, len(by), STEP):
+            if bound[by[at]] >= limit():
+                break
+            taken = np.concatenate([order[starts[leaf] : starts[leaf + 1]] for leaf in by[at : at + STEP]])
+            own = self.projected[taken] - projected
+            waiting, distance = np.concatenate([waiting, taken]), np.concatenate([distance, np.einsum("ij,ij->i", own, own)])
+            # No point that is still in the tree is nearer than the next leaf.
+            ahead = bound[by[at + STEP]] if at + STEP < len(by) else np.inf
+            while len(waiting):
+                near = distance < limit()
+                waiting, distance = waiting[near], distance[near]
+                ready = np.flatnonzero(distance <= ahead)
+                if not len(ready):
+                    break
+                ready = ready[np.argsort(distance[ready], kind="stable")[:VERIFIED]]
+                rows = waiting[ready]
+                left = np.ones(len(waiting), bool)
+                left[ready] = False
+                waiting, distance = waiting[left], distance[left]
+                rows = rows[self.rows[rows] != own_row]
+                verified += len(rows)
+                # Row by row, so that equal vectors get equal scores wherever they stand.
+                found = np.einsum("ij,j->i", self.x[rows], query)
+                good = found >= worst
+                best, score = np.concatenate([best, rows[good]]), np.concatenate([score, found[good]])
+                top = np.lexsort((self.ids[best], -score))[:k]
+                best, score = best[top], score[top]
+                if len(best) == k:
+                    worst = max(worst, score[-1])
+        return best, score, verified
+
+
+def nearest(vectors: DataFrame, is_query: Column, k: int = 20, projections: int = 12, certainty: float = 0.95,
             seed: int = 3) -> DataFrame:
     """``query_id, rank, vec_id, score``: for each query row its ``k`` largest inner products found.
 
     ``vectors`` has vec_id and embedding; ``is_query`` is a condition on its columns. Candidates
-    are all rows but those with the query's own vec_id. Scores are inner products in double
+    are all other rows with a vector of the query's length, also those that repeat its vec_id;
+    query rows that repeat a vec_id are answered each. Scores are inner products in double
     precision on the original vectors, equal ones ordered by vec_id; ranks begin at 1. With fewer
-    than ``k`` candidates all are returned. Vectors that are null, empty, zero, hold null or
-    non-finite components or differ in length from most take no part, nor do rows with a null
-    vec_id. ``projections`` is even. An empty table gives an empty table.
+    than ``k`` candidates all are returned. Vectors that are null, empty, zero or hold null or
+    non-finite components take no part, nor do rows with a null vec_id. ``projections`` is even. An
+    empty table gives an empty table.
     """
     spark = vectors.sparkSession
     if projections % 2:
@@ -112,60 +150,93 @@ def nearest(vectors: DataFrame, is_query: Column, k: int = 20, projections: int
         F.coalesce(is_query, F.lit(False)).alias("is_query"),
     )
     rows = rows.filter(F.col("vec_id").isNotNull() & usable(F.col("vector")))
-    dim = dimension(rows)
-    rows = rows.filter(F.size("vector") == dim)
-    out = "query_id long, rank int, vec_id long, score double"
+    # Written once, a row's number is the same for every reader.
+    rows = written(rows.select(F.monotonically_increasing_id().alias("row"), F.size("vector").alias("dim"), "*"), "usable-vectors")
     length2 = F.aggregate("vector", F.lit(0.0), lambda s, c: s + c * c)
-    total, queries, longest = rows.agg(F.count("*"), F.count_if("is_query"), F.max(length2)).first()
-    if not queries:
-        return spark.createDataFrame([], out)
-    shards, blocks = -(-total // SHARD), -(-queries // BLOCK)
+    # A row for each length of vectors there is.
+    sizes = rows.groupBy("dim").agg(F.count("*"), F.count_if("is_query"), F.max(length2)).orderBy("dim").collect()
+    plan, first, block = [], 0, 0
+    for dim, total, queries, longest in sizes:
+        if queries:
+            shards, blocks = -(-total // SHARD), -(-queries // BLOCK)
+            # Where shards are few, their blocks are dealt to several tasks, each with the shard.
+            groups = min(blocks, max(1, -(-2 * spark.sparkContext.defaultParallelism // shards)))
+            # A radius that rounding cannot undercut.
+            plan.append((dim, first, shards, block, blocks, groups, float(longest) * (1 + 1e-9)))
+            first, block = first + shards, block + blocks
+    if not plan:
+        return spark.createDataFrame([], "query_id long, rank int, vec_id long, score double")
+    plan = F.broadcast(spark.createDataFrame(plan, "dim int, first long, shards long, block0 long, blocks long, groups long, radius2 double"))
+    placed = rows.join(plan, "dim")
 
     def packed(key, part):
-        x = matrix(part.column("vector").combine_chunks(), dim)
-        return pa.table({"part": [key[0].as_py()], "ids": [part.column("vec_id").to_numpy().tobytes()], "x": [x.tobytes()]})
-
-    def deal(df, parts, salt):
-        part = F.pmod(F.xxhash64("vec_id", F.lit(salt)), F.lit(parts)).cast("long")
-        return df.select(part.alias("part"), "vec_id", "vector").groupBy("part").applyInArrow(
-            packed, "part long, ids binary, x binary"
-        )
-
-    candidates = written(deal(rows, shards, 1), "shards")
-    asked = deal(rows.filter("is_query"), blocks, 2).select(
-        F.explode(F.sequence(F.lit(0).cast("long"), F.lit(shards - 1).cast("long"))).alias("part"),
-        F.col("ids").alias("query_ids"), F.col("x").alias("queries"),
+        x = matrix(part.column("vector").combine_chunks(), part.column("dim")[0].as_py())
+        return pa.table({
+            "part": [key[0].as_py()], "dim": pa.array([x.shape[1]], pa.int32()), "radius2": [part.column("radius2")[0].as_py()],
+            "rows": [part.column("row").to_numpy().tobytes()], "ids": [part.column("vec_id").to_numpy().tobytes()], "x": [x.tobytes()],
+        })
+
+    def deal(df, base, parts, salt):
+        part = F.col(base) + F.pmod(F.xxhash64("row", F.lit(salt)), F.col(parts))
+        dealt = df.select(part.alias("part"), "dim", "radius2", "row", "vec_id", "vector").groupBy("part")
+        return dealt.applyInArrow(packed, "part long, dim int, radius2 double, rows binary, ids binary, x binary")
+
+    candidates = written(deal(placed, "first", "shards", 1), "shards")
+    asked = written(deal(placed.filter("is_query"), "block0", "blocks", 2), "query-blocks").select(
+        F.col("part").alias("block"), "dim", F.col("rows").alias("query_rows"), F.col("ids").alias("query_ids"), F.col("x").alias("queries")
     )
-    pairs = asked.join(candidates, "part").select("query_ids", "queries", "ids", "x")
-    axes = np.random.default_rng(seed).standard_normal((dim + 1, projections))
+    asked = asked.join(plan.drop("radius2"), "dim").withColumn("group", F.col("block") % F.col("groups"))
+    home = F.col("first") + F.col("block") % F.col("shards")
+    shared = candidates.join(plan.select("dim", "groups"), "dim").withColumn("group", F.explode(F.sequence(F.lit(0).cast("long"), F.col("groups") - 1)))
     reach = chi_square_quantile(certainty, projections)
-    # A bound that rounding cannot undercut.
-    radius2 = float(longest) * (1 + 1e-9)
 
     def run(batches):
-        seen, tree = None, None
+        seen, shard = None, None
         for batch in batches:
             for row in range(batch.num_rows):
-                q_ids, q, raw_ids, raw = (batch.column(c)[row].as_py() for c in range(4))
-                if seen != raw_ids:
-                    ids, x = np.frombuffer(raw_ids, np.int64), np.frombuffer(raw, np.float64).reshape(-1, dim)
+                block, part, dim, radius2, *raw = (batch.column(c)[row].as_py() for c in range(11))
+                q_rows, q_ids = (np.frombuffer(r, np.int64) for r in raw[:2])
+                q = np.frombuffer(raw[2], np.float64).reshape(-1, dim)
+                axes = np.random.default_rng([seed, dim]).standard_normal((dim + 1, projections))
+                if seen != part:
+                    x = np.frombuffer(raw[6], np.float64).reshape(-1, dim)
                     lift = np.sqrt(np.maximum(radius2 - np.einsum("ij,ij->i", x, x), 0))
-                    tree, seen = build_tree(x @ axes[:dim] + lift[:, None] * axes[dim]), raw_ids
-                q_ids, q = np.frombuffer(q_ids, np.int64), np.frombuffer(q, np.float64).reshape(-1, dim)
-                projected = q @ axes[:dim]
-                size = np.einsum("ij,ij->i", q, q)
-                found = [
-                    search(q[i], q_ids[i], projected[i], radius2 + size[i], tree, x, ids, k, reach) for i in range(len(q))
-                ]
-                counts = [len(rows) for rows, _ in found]
+                    points = x @ axes[:dim] + lift[:, None] * axes[dim]
+                    shard, seen = Shard(np.frombuffer(raw[4], np.int64), np.frombuffer(raw[5], np.int64), x, points, build_tree(points)), part
+                floors = np.frombuffer(raw[3], np.float64) if raw[3] else np.full(len(q), -np.inf)
+                projected, size = q @ axes[:dim], np.einsum("ij,ij->i", q, q)
+                found = [shard.search(q[i], q_rows[i], projected[i], radius2 + size[i], k, reach, floors[i]) for i in range(len(q))]
+                last = np.array([s[-1] if len(s) == k else -np.inf for _, s, _ in found])
+                counts = np.array([len(s) for _, s, _ in found])
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([block]), pa.array([np.maximum(last, floors).tobytes()], pa.binary()),
+                     pa.array([np.repeat(q_rows, counts).tobytes()], pa.binary()), pa.array([np.repeat(q_ids, counts).tobytes()], pa.binary()),
+                     pa.array([shard.ids[np.concatenate([r for r, _, _ in found])].tobytes()], pa.binary()),
+                     pa.array([np.concatenate([s for _, s, _ in found]).tobytes()], pa.binary())],
+                    names=["block", "floors", "query_row", "query_id", "vec_id", "score"],
+                )
+
+    def searched(blocks):
+        pairs = blocks.join(shared.select("part", "group", "radius2", "rows", "ids", "x"), ["part", "group"])
+        return pairs.select("block", "part", "dim", "radius2", "query_rows", "query_ids", "queries", "floors", "rows", "ids", "x").mapInArrow(
+            run, "block long, floors binary, query_row binary, query_id binary, vec_id binary, score binary"
+        )
+
+    one = written(searched(asked.withColumn("part", home).withColumn("floors", F.lit(None).cast("binary"))), "first-shards")
+    others = F.filter(F.sequence(F.col("first"), F.col("first") + F.col("shards") - 1), lambda p: p != home)
+    rest = searched(asked.join(one.select("block", "floors"), "block").withColumn("part", F.explode(others)))
+
+    def unpacked(batches):
+        for batch in batches:
+            for row in range(batch.num_rows):
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.repeat(q_ids, counts)), pa.array(ids[np.concatenate([r for r, _ in found])]),
-                     pa.array(np.concatenate([s for _, s in found]))],
-                    names=["query_id", "vec_id", "score"],
+                    [pa.array(np.frombuffer(batch.column(c)[row].as_py(), np.float64 if c == 3 else np.int64)) for c in range(4)],
+                    names=["query_row", "query_id", "vec_id", "score"],
                 )
 
-    best = pairs.mapInArrow(run, "query_id long, vec_id long, score double")
-    order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
+    names = ["query_row", "query_id", "vec_id", "score"]
+    best = one.select(*names).unionByName(rest.select(*names)).mapInArrow(unpacked, "query_row long, query_id long, vec_id long, score double")
+    order = Window.partitionBy("query_row").orderBy(F.desc("score"), "vec_id")
     return best.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k).select(
         "query_id", F.col("rank").cast("int").alias("rank"), "vec_id", "score"
     )

@@ -13,12 +13,10 @@ SCHEMA = "vec_id long, embedding array<float>"
 
 def plain(rows, threshold=0.9):
     """(vec_id, links, component) per row, by all pairs."""
-    sizes = [len(v) for _, v in rows if v]
-    dim = max(set(sizes), key=sizes.count) if sizes else 0
-    ok = [p is not None and v is not None and len(v) == dim and all(c is not None and np.isfinite(c) for c in v) and any(v) for p, v in rows]
+    ok = [p is not None and v is not None and all(c is not None and np.isfinite(c) for c in v) and any(v) for p, v in rows]
     x = [np.array(np.float32(v), float) / np.abs(np.float32(v)).max().astype(float) if g else None for (_, v), g in zip(rows, ok)]
     n = len(rows)
-    links = [(i, j) for i in range(n) for j in range(i) if ok[i] and ok[j] and x[i] @ x[j] / np.sqrt((x[i] @ x[i]) * (x[j] @ x[j])) >= threshold]
+    links = [(i, j) for i in range(n) for j in range(i) if ok[i] and ok[j] and len(x[i]) == len(x[j]) and x[i] @ x[j] / np.sqrt((x[i] @ x[i]) * (x[j] @ x[j])) >= threshold]
     count = [sum(k in link for link in links) for k in range(n)]
     of = classes(range(n), links)
     low = {}
@@ -33,6 +31,9 @@ def vectors(seed=1, n=300, dim=12):
     centres = rng.normal(size=(20, dim))
     rows = [(i, (centres[rng.integers(20)] + rng.normal(size=dim) * rng.choice([0.05, 0.3, 1.0])).tolist()) for i in range(n)]
     rows += [(1000 + i, rows[3][1]) for i in range(40)]  # equal vectors
+    other = rng.normal(size=(8, 5))
+    rows += [(4000 + i, (other[rng.integers(8)] + 0.1 * rng.normal(size=5)).tolist()) for i in range(n)]  # as many of another length
+    rows += [(5000 + i, [1.0] * (20 + i // 2)) for i in range(24)]  # more lengths than have directions of their own
     rows += [(2000, [2 * c for c in rows[5][1]]), (2001, [-c for c in rows[5][1]]), (2002, [1e30 * c for c in rows[6][1]])]
     rows += [(3000, None), (3001, []), (3002, [0.0] * dim), (3003, [None] + [1.0] * (dim - 1)), (3004, [float("nan")] + [1.0] * (dim - 1)),
              (3005, [float("inf")] + [1.0] * (dim - 1)), (3006, [1.0, 2.0]), (None, rows[3][1]), (7, rows[8][1])]
