@@ -86,6 +86,20 @@ def estimate_prior(p: np.ndarray, u: np.ndarray, delta: float = 0.1) -> float:
     return float(np.clip(above(u)[good][best] / share[good][best], 0.01, 0.99)) if best is not None else 0.5
 
 
+def risk_slopes(fp: np.ndarray, fu: np.ndarray, prior: float) -> tuple[np.ndarray, np.ndarray]:
+    """Slopes of the non-negative risk by the outputs ``fp`` of positives and ``fu`` of unlabelled rows.
+
+    The risk is prior * mean(l(fp)) + max(0, mean(l(-fu)) - prior * mean(l(-fp))) with the logistic
+    loss l(f) = log(1 + e^-f). Where the second part is below zero the slopes lead back up to it
+    (the negative of its own), and the first part rests, as the method has it.
+    """
+    sp, su = 1 / (1 + np.exp(-np.clip(fp, -30, 30))), 1 / (1 + np.exp(-np.clip(fu, -30, 30)))
+    if np.logaddexp(0, fu).mean() - prior * np.logaddexp(0, fp).mean() >= 0:
+        # d/df of log(1 + e^-f) is s - 1, of log(1 + e^f) is s.
+        return (prior * (sp - 1) - prior * sp) / len(fp), su / len(fu)
+    return prior * sp / len(fp), -su / len(fu)
+
+
 def _descend(z: np.ndarray, positive: np.ndarray, prior: float | None, rounds: int, l2: float, seed: int):
     """Weights by Adam on small batches. Without a prior: positives against unlabelled."""
     rng = np.random.default_rng(seed)
@@ -99,16 +113,11 @@ def _descend(z: np.ndarray, positive: np.ndarray, prior: float | None, rounds: i
             i, j = rng.choice(p, min(size, len(p)), replace=False), rng.choice(u, min(size, len(u)), replace=False)
             zi, zj = z[i], z[j]
             fi, fj = zi @ w + b, zj @ w + b
-            si, sj = 1 / (1 + np.exp(-np.clip(fi, -30, 30))), 1 / (1 + np.exp(-np.clip(fj, -30, 30)))
             if prior is None:
+                si, sj = 1 / (1 + np.exp(-np.clip(fi, -30, 30))), 1 / (1 + np.exp(-np.clip(fj, -30, 30)))
                 ci, cj = (si - 1) / len(i), sj / len(j)
             else:
-                # d/df of log(1 + e^-f) is s - 1, of log(1 + e^f) is s.
-                negative = np.logaddexp(0, fj).mean() - prior * np.logaddexp(0, fi).mean()
-                if negative >= 0:
-                    ci, cj = (prior * (si - 1) - prior * si) / len(i), sj / len(j)
-                else:  # the risk must not fall below zero: step back
-                    ci, cj = prior * si / len(i), -sj / len(j)
+                ci, cj = risk_slopes(fi, fj, prior)
             g = np.append(zi.T @ ci + zj.T @ cj + l2 * w, ci.sum() + cj.sum())
             step += 1
             m1, m2 = 0.9 * m1 + 0.1 * g, 0.999 * m2 + 0.001 * g * g
@@ -150,7 +159,7 @@ def fit(docs: DataFrame, labels: DataFrame, max_positives: int = 10_000, max_unl
 
     Trusted positives are documents of quality 1; web text is any document, its label unseen.
     About ``max_positives`` and ``max_unlabelled`` of them are sampled by a hash of the id: the
-    bound of the rows that the driver fits on. Rows of quality 0 are never used: the prior too is
+    bound of the rows that the driver fits on, as of rows that repeat an id one is taken. Rows of quality 0 are never used: the prior too is
     estimated from positives and web text (``estimate_prior``). Null ids, texts and labels are
     passed over. None if there is no positive.
     """
@@ -166,14 +175,17 @@ def fit(docs: DataFrame, labels: DataFrame, max_positives: int = 10_000, max_unl
         for batch in batches:
             for at in range(0, batch.num_rows, 256):
                 part = batch.slice(at, 256)
-                x = features(part.column(1).cast(pa.binary()).to_pylist())
+                x = features(part.column(2).cast(pa.binary()).to_pylist())
                 yield pa.RecordBatch.from_arrays(
-                    [part.column(0), pa.array([r.tobytes() for r in x], pa.binary())], names=["positive", "x"]
+                    [part.column(0), part.column(1), pa.array([r.tobytes() for r in x], pa.binary())], names=["doc_id", "positive", "x"]
                 )
 
-    # The sample is bounded by the two parameters, so it may be broadcast.
-    sample = rows.join(F.broadcast(chosen), "doc_id").select("positive", "text")
-    found = sample.mapInArrow(run, "positive boolean, x binary").collect()
+    # The sample is bounded by the two parameters, so it may be broadcast; an id stands for one row, however many repeat it.
+    sample = rows.join(F.broadcast(chosen), "doc_id").select("doc_id", "positive", "text")
+    found = (
+        sample.mapInArrow(run, "doc_id long, positive boolean, x binary")
+        .groupBy("doc_id", "positive").agg(F.min("x").alias("x")).select("positive", "x").collect()
+    )
     if not found:
         return None
     found.sort(key=lambda r: (r[0], bytes(r[1])))  # the order of arrival must not matter

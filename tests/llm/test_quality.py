@@ -1,4 +1,5 @@
 import numpy as np
+import pytest
 from pyspark.sql import functions as F
 
 from crowdpulse.llm import quality
@@ -44,21 +45,57 @@ def test_prior_from_scores():
     assert abs(estimate_prior(p, u) - 0.6) < 0.05
 
 
-def test_risk_is_the_unbiased_one():
-    """With its clamp inactive, a step's direction is the numeric gradient of the unbiased risk."""
+def numeric_slopes(f, mask, value):
+    return np.array([(value(f + e) - value(f - e)) / 2e-6 for e in np.eye(len(f)) * 1e-6])
+
+
+@pytest.mark.parametrize("shift", [1.0, -6.0])
+def test_risk_slopes_against_numeric_gradients(shift):
+    """With the clamp inactive, the gradient of the unbiased risk; with it active, back up the part that fell below zero."""
     rng = np.random.default_rng(2)
-    z, positive, prior = rng.normal(size=(40, 3)), np.arange(40) < 15, 0.4
-
-    def risk(w):
-        f = z @ w
-        p, u = f[positive], f[~positive]
-        return prior * np.logaddexp(0, -p).mean() + np.logaddexp(0, u).mean() - prior * np.logaddexp(0, p).mean()
-
-    w = np.zeros(3)
-    slope = np.array([(risk(w + e) - risk(w - e)) / 2e-6 for e in np.eye(3) * 1e-6])
-    s = np.full(40, 0.5)
-    formula = z[positive].T @ (prior * (s[positive] - 1) - prior * s[positive]) / 15 + z[~positive].T @ s[~positive] / 25
-    assert np.allclose(slope, formula, atol=1e-6)
+    fp, fu, prior = rng.normal(2, 1, 15), rng.normal(shift, 1, 25), 0.4
+
+    def below(fp, fu):
+        return np.logaddexp(0, fu).mean() - prior * np.logaddexp(0, fp).mean()
+
+    active = below(fp, fu) < 0
+    assert active == (shift < 0)
+
+    def aim(fp, fu):
+        return -below(fp, fu) if active else prior * np.logaddexp(0, -fp).mean() + below(fp, fu)
+
+    got_p, got_u = quality.risk_slopes(fp, fu, prior)
+    assert np.allclose(got_p, numeric_slopes(fp, None, lambda f: aim(f, fu)), atol=1e-6)
+    assert np.allclose(got_u, numeric_slopes(fu, None, lambda f: aim(fp, f)), atol=1e-6)
+
+
+def test_descent_lowers_the_risk_and_keeps_to_the_clamp():
+    rng = np.random.default_rng(3)
+    positive = np.arange(900) < 300
+    good = positive | (rng.random(900) < 0.3)
+    z = np.where(good[:, None], 1.0, -1.0) + rng.normal(size=(900, 2))
+    w, b = quality._descend(z, positive, 0.3, 30, 1e-3, 1)
+    f = z @ w + b
+    clamped = max(0.0, np.logaddexp(0, f[~positive]).mean() - 0.3 * np.logaddexp(0, f[positive]).mean())
+    assert 0.3 * np.logaddexp(0, -f[positive]).mean() + clamped < 0.3  # 0.69 at the start
+    assert np.mean((f > 0) == good) > 0.85
+    # A prior that is far too high would drive the second part below zero without end: the clamp holds the weights.
+    w, b = quality._descend(z, positive, 0.95, 60, 0.0, 1)
+    f = z @ w + b
+    assert np.logaddexp(0, f[~positive]).mean() - 0.95 * np.logaddexp(0, f[positive]).mean() > -1.0
+    assert np.abs(w).max() < 20
+
+
+def test_an_id_on_very_many_rows_is_one_row_of_the_sample(spark, monkeypatch):
+    _, texts = two_kinds(300, 0.5)
+    rows = [(i, t.decode()) for i, t in enumerate(texts)] + [(7, f"copy {i % 3} of one id") for i in range(600)]
+    labels = spark.createDataFrame([(i, int(not t.startswith(b"spam"))) for i, t in enumerate(texts)], "doc_id long, quality int")
+    seen = []
+    monkeypatch.setattr(quality, "train", lambda x, positive: seen.append((len(x), int(positive.sum()))))
+    quality.fit(spark.createDataFrame(rows, "doc_id long, text string").repartition(3), labels)
+    # All 300 ids as web text, at most one row each, and the good ones once more as positives.
+    n_good = sum(not t.startswith(b"spam") for t in texts)
+    assert seen == [(300 + n_good, n_good)]
 
 
 def test_odd_texts_and_tables(spark, crowd):
