@@ -60,6 +60,10 @@ def ngram_buckets(codes: np.ndarray, orders: int, bits: int):
             yield g >> np.uint32(32 - bits)
 
 
+#: Texts whose bucket counts make one sparse matrix.
+SCORED = 256
+
+
 @dataclass
 class LanguageModel:
     """``weights[bucket, k]`` is the log-probability of a bucket in language ``names[k]``."""
@@ -94,7 +98,11 @@ def fit(rows: DataFrame, orders: int = 4, bits: int = 16, alpha: float = 0.5, ma
             )
 
     schema = pa.schema([("lang", pa.string()), ("docs", pa.int64()), ("counts", pa.binary())])
-    train = rows.select(F.col("text").cast("string"), F.col("lang").cast("string")).dropna()
+    text, lang = (F.make_valid_utf8(F.col(c).cast("string")).alias(c) for c in ("text", "lang"))
+    train = rows.select(text, lang).dropna()
+    # Counted before any task keeps a vector for each language it meets.
+    if train.select("lang").distinct().limit(max_languages + 1).count() > max_languages:
+        raise ValueError(f"more than {max_languages} languages")
     partial = train.mapInArrow(count, "lang string, docs long, counts binary")
 
     def total(batches):
@@ -111,9 +119,7 @@ def fit(rows: DataFrame, orders: int = 4, bits: int = 16, alpha: float = 0.5, ma
         partial = partial.withColumn("salt", salt).repartition("lang", "salt").drop("salt").mapInArrow(
             total, "lang string, docs long, counts binary"
         )
-    found = sorted(tuple(r) for r in partial.limit(max_languages + 1).collect())
-    if len(found) > max_languages:
-        raise ValueError(f"more than {max_languages} languages")
+    found = sorted(tuple(r) for r in partial.collect())
     if not found:
         return LanguageModel([], np.zeros((1 << bits, 0), np.float32), np.zeros(0), orders, bits)
     counts = np.stack([np.frombuffer(c, np.int64) for _, _, c in found], axis=1) + alpha
@@ -122,16 +128,30 @@ def fit(rows: DataFrame, orders: int = 4, bits: int = 16, alpha: float = 0.5, ma
     return LanguageModel([name for name, _, _ in found], weights, np.log(docs / docs.sum()), orders, bits)
 
 
-def posterior(text: str, model: LanguageModel, table: np.ndarray) -> np.ndarray | None:
-    """Posterior probability of each language; None if there is no letter or no language."""
-    codes = letters(text, table)
-    if not len(codes) or not model.names:
-        return None
-    total = model.prior.copy()
-    for buckets in ngram_buckets(codes, model.orders, model.bits):
-        total += model.weights[buckets].sum(axis=0, dtype=np.float64)
-    p = np.exp(total - total.max())
-    return p / p.sum()
+def posteriors(texts: list[str], model: LanguageModel, table: np.ndarray) -> np.ndarray:
+    """Posterior probabilities, a row for each text; a row of zeros without a letter or a language.
+
+    The texts' bucket counts are a sparse matrix, row by row, and its product with the weights scores
+    all of them at once.
+    """
+    rows, indices, counts = [], [], []
+    out = np.zeros((len(texts), len(model.names)))
+    for k, text in enumerate(texts):
+        codes = letters(text, table)
+        if not len(codes) or not model.names:
+            continue
+        row = np.zeros(1 << model.bits, np.int64)
+        for buckets in ngram_buckets(codes, model.orders, model.bits):
+            row += np.bincount(buckets, minlength=1 << model.bits)
+        found = np.flatnonzero(row)
+        rows.append(k), indices.append(found), counts.append(row[found])
+    if rows:
+        starts = np.cumsum([0] + [len(i) for i in indices[:-1]])
+        terms = model.weights[np.concatenate(indices)] * np.concatenate(counts)[:, None].astype(np.float64)
+        total = np.add.reduceat(terms, starts, axis=0) + model.prior
+        p = np.exp(total - total.max(axis=1, keepdims=True))
+        out[rows] = p / p.sum(axis=1, keepdims=True)
+    return out
 
 
 def predict(docs: DataFrame, model: LanguageModel, *carry: Column) -> DataFrame:
@@ -150,15 +170,16 @@ def predict(docs: DataFrame, model: LanguageModel, *carry: Column) -> DataFrame:
         fitted = LanguageModel(*parts)
         for batch in batches:
             names, scores = [], []
-            for text in batch.column(batch.num_columns - 1).to_pylist():
-                p = posterior(text or "", fitted, table)
-                names.append(UNDETERMINED if p is None else fitted.names[int(p.argmax())])
-                scores.append(0.0 if p is None else float(p.max()))
+            texts = [t or "" for t in batch.column(batch.num_columns - 1).to_pylist()]
+            for at in range(0, len(texts), SCORED):
+                for p in posteriors(texts[at : at + SCORED], fitted, table):
+                    names.append(fitted.names[int(p.argmax())] if p.any() else UNDETERMINED)
+                    scores.append(float(p.max(initial=0.0)))
             yield pa.RecordBatch.from_arrays(
                 [*batch.columns[:-1], pa.array(names, pa.string()), pa.array(scores, pa.float64())],
                 names=[*batch.schema.names[:-1], "lang_pred", "score"],
             )
 
-    rows = docs.select(*carry, F.col("text").cast("string").alias("_text"))
+    rows = docs.select(*carry, F.make_valid_utf8(F.col("text").cast("string")).alias("_text"))
     kept = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema.fields[:-1])
     return rows.mapInArrow(run, f"{kept}, lang_pred string, score double".lstrip(", "))

@@ -1,4 +1,5 @@
 import numpy as np
+import pytest
 from pyspark.sql import functions as F
 
 from crowdpulse.llm import langid
@@ -71,3 +72,32 @@ def test_odd_texts_and_tables(spark, crowd):
     assert langid.predict(docs.limit(0), model).collect() == []
     empty = langid.fit(docs.limit(0))
     assert empty.names == [] and {r["lang_pred"] for r in langid.predict(docs, empty).collect()} == {"und"}
+
+
+def test_scores_of_a_batch_against_plain_code(spark, small):
+    """Sparse batch scoring gives what adding up log-probabilities one by one gives."""
+    docs = spark.read.parquet(f"{small}/documents.parquet")
+    model = langid.fit(docs)
+    table = langid.letter_table()
+    texts = [r[0] for r in docs.select("text").limit(30).collect()] + ["", "123", "a", "ein Satz", "x" * 50_000]
+    got = langid.posteriors(texts, model, table)
+    for text, p in zip(texts, got):
+        codes = langid.letters(text, table)
+        if not len(codes):
+            assert not p.any()
+            continue
+        total = model.prior.copy()
+        for buckets in langid.ngram_buckets(codes, model.orders, model.bits):
+            for bucket in buckets.tolist():
+                total = total + model.weights[bucket].astype(float)
+        expected = np.exp(total - total.max())
+        assert np.allclose(p, expected / expected.sum(), atol=1e-9)
+
+
+def test_too_many_languages_and_bytes_that_are_no_text(crowd):
+    rows = [(i, "some text here", f"l{i}") for i in range(5)]
+    with pytest.raises(ValueError):
+        langid.fit(crowd(rows, "doc_id long, text string, lang string"), max_languages=4)
+    df = crowd(rows, "doc_id long, text string, lang string").withColumn("text", F.expr("cast(concat(x'ff', cast(text as binary)) as string)"))
+    model = langid.fit(df)
+    assert {r["lang_pred"] for r in langid.predict(df, model).collect()} == {"l0"}
