@@ -96,7 +96,8 @@ def token_pieces(docs: DataFrame, tokenizer: str, capacity: int = 1024, end: int
                 columns.append(pa.array(ids, pa.list_(pa.int32())))
             yield pa.RecordBatch.from_arrays(columns, names=names + ["ids"] * with_ids)
 
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    text = F.make_valid_utf8(F.col("text").cast("string"))
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text.alias("text"))
     schema = "doc_id long, piece int, start long, length long, ids_crc32 long" + ", ids array<int>" * with_ids
     return rows.mapInArrow(run, schema)
 
@@ -183,12 +184,19 @@ def pack(pieces: DataFrame, capacity: int = 1024, max_documents: int | None = No
          max_attention: int | None = None, rule: str = "norm") -> DataFrame:
     """``pieces`` (doc_id, piece, length and more) with ``sequence_id`` and ``offset``.
 
-    Offsets within a sequence run without gaps from 0, longest piece first. Pieces that are equal
-    in doc_id, piece and checksum are interchangeable. An empty table gives an empty table.
+    Offsets within a sequence run without gaps from 0, longest piece first. Null and repeated ids
+    are pieces like any other. An empty table gives an empty table.
     """
+    numbered = written(pieces.withColumn("_row", F.monotonically_increasing_id()), "numbered-pieces")
+    return _packed(numbered, capacity, max_documents, max_attention, rule)
+
+
+def _packed(pieces: DataFrame, capacity: int, max_documents: int | None, max_attention: int | None, rule: str) -> DataFrame:
+    """``pack`` for pieces that are written with a number ``_row`` of their own, which comes out no more."""
     spark = pieces.sparkSession
     salts = max(64, -(-pieces.count() // RANKED_BY_SALT))
-    salted = pieces.withColumn("_salt", F.pmod(F.xxhash64("doc_id", "piece"), F.lit(salts)).cast("int"))
+    # By number, so that pieces without an id, or with one and the same, spread as well.
+    salted = pieces.withColumn("_salt", F.pmod(F.xxhash64("_row"), F.lit(salts)).cast("int"))
     # One row per length and salt, kept so that every reader sees the same numbers.
     sums = written(salted.groupBy("length", "_salt").agg(F.count("*").alias("n")), "length-counts")
     counts = {int(r[0]): int(r[1]) for r in sums.groupBy("length").agg(F.sum("n")).collect()}
@@ -197,12 +205,13 @@ def pack(pieces: DataFrame, capacity: int = 1024, max_documents: int | None = No
     starts = sums.select(
         F.col("length").alias("_l"), F.col("_salt").alias("_s"), F.coalesce(F.sum("n").over(before), F.lit(0)).alias("_start")
     )
-    mine = Window.partitionBy("length", "_salt").orderBy("doc_id", "piece", "ids_crc32")
+    mine = Window.partitionBy("length", "_salt").orderBy("_row")
     ranked = salted.withColumn("_rank", F.row_number().over(mine) - 1).join(
         starts, (F.col("length") == F.col("_l")) & (F.col("_salt") == F.col("_s"))
     )
-    rows = ranked.select(*[F.col(f"`{c}`") for c in pieces.columns], (F.col("_rank") + F.col("_start")).alias("_rank"))
-    at = pieces.columns.index("length")
+    kept = [f for f in pieces.schema.fields if f.name != "_row"]
+    rows = ranked.select(*[F.col(f"`{f.name}`") for f in kept], (F.col("_rank") + F.col("_start")).alias("_rank"))
+    at = [f.name for f in kept].index("length")
 
     def run(batches):
         for batch in batches:
@@ -222,8 +231,8 @@ def pack(pieces: DataFrame, capacity: int = 1024, max_documents: int | None = No
                 names=[*batch.schema.names[:-1], "sequence_id", "offset"],
             )
 
-    kept = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in pieces.schema.fields)
-    return rows.mapInArrow(run, f"{kept}, sequence_id long, offset long")
+    columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in kept)
+    return rows.mapInArrow(run, f"{columns}, sequence_id long, offset long")
 
 
 def pack_documents(docs: DataFrame, tokenizer: str | None = None, capacity: int = 1024, end: int = 2,
@@ -232,12 +241,12 @@ def pack_documents(docs: DataFrame, tokenizer: str | None = None, capacity: int
     """Every piece of every document with its place: the columns of ``token_pieces`` and ``pack``.
 
     ``docs`` has doc_id and text; a null text is empty, which is one piece that holds the end
-    token. A null doc_id is kept. Rows that repeat a doc_id are packed each. Other columns are
+    token; bytes that are not UTF-8 are replaced. A null doc_id is kept. Rows that repeat a doc_id are packed each. Other columns are
     ignored. ``tokenizer`` is the path of a vocabulary file that every executor can open.
     """
     if tokenizer is None:
         import public_tokenizers
 
         tokenizer = public_tokenizers.path("byte_bpe_50k.json")
-    pieces = written(token_pieces(docs, tokenizer, capacity, end, with_ids), "pieces")
-    return pack(pieces, capacity, max_documents, max_attention, rule)
+    pieces = token_pieces(docs, tokenizer, capacity, end, with_ids).withColumn("_row", F.monotonically_increasing_id())
+    return _packed(written(pieces, "pieces"), capacity, max_documents, max_attention, rule)

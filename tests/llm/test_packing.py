@@ -5,6 +5,7 @@ import zlib
 import numpy as np
 import public_tokenizers
 import pytest
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from crowdpulse.llm.packing import Tokens, cut_points, pack, pack_documents, places, vector_best_fit
@@ -122,3 +123,19 @@ def test_pieces_under_all_capacities(crowd):
 
 def test_empty_table(crowd):
     assert pack_documents(crowd([], "doc_id long, text string")).collect() == []
+
+
+def test_rows_without_an_id_spread(spark):
+    """Null and repeated ids don't share one group: ranks are counted by a number of each row."""
+    df = spark.range(4000).select(F.lit(None).cast("long").alias("doc_id"), F.lit("one text for all").alias("text"))
+    out = pack_documents(df, capacity=16)
+    rows = out.collect()
+    assert len(rows) == 4000 and len({(r["sequence_id"], r["offset"]) for r in rows}) == 4000
+    assert check([(r["sequence_id"], r["offset"], r["length"]) for r in rows], 16)
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    assert "xxhash64(_row" in plan
+
+
+def test_bytes_that_are_no_text(spark):
+    df = spark.range(1).select(F.col("id").alias("doc_id"), F.expr("cast(x'ff41' as string)").alias("text"))
+    assert [r["length"] for r in pack_documents(df).collect()] == [3]
