@@ -75,16 +75,43 @@ def with_reach(running: DataFrame, every: int, horizon: int, origin: int, stop:
     return running.withColumn("reach", reach)
 
 
-def active_posts(resolved: DataFrame, every: int, horizon: int, origin: int, until: int) -> DataFrame:
+def active_posts(resolved: DataFrame, every: int, horizon: int, origin: int, until: int,
+                 people: str = "exact", lg_k: int = 12) -> DataFrame:
     """``notify_ts, post_id, num_comments, num_replies, num_people`` of posts whose last
-    activity is at most ``horizon`` seconds old. Counts run since the start of the post."""
+    activity is at most ``horizon`` seconds old. Counts run since the start of the post.
+
+    With ``people='approx'`` the people are counted by sketches of 2^``lg_k`` cells, which are made
+    per post and slot and united along the slots: there is no row for a post and a person. The
+    standard error is 1.04 / sqrt(2^lg_k), 1.6 % by default; a few hundred people are counted
+    as good as exactly.
+    """
+    if people not in ("exact", "approx"):
+        raise ValueError(f"unknown way to count people {people!r}")
     stop = max(1, last_slot(until, origin, every))
-    running = running_totals(_changes(resolved, every, origin, until), ["post_id"], TOTALS)
+    if people == "exact":
+        running = running_totals(_changes(resolved, every, origin, until), ["post_id"], TOTALS)
+    else:
+        running = _sketched_totals(resolved, every, origin, until, lg_k)
     reach = with_reach(running, every, horizon, origin, stop)
     out = spread(reach, F.col("k"), F.col("reach"), origin, every)
     return out.select("notify_ts", "post_id", "num_comments", "num_replies", "num_people")
 
 
+def _sketched_totals(resolved: DataFrame, every: int, origin: int, until: int, lg_k: int) -> DataFrame:
+    """The totals of ``running_totals`` with the estimate of a running union of sketches for ``num_people``."""
+    k = F.greatest(slot_index("ts_s", origin, every), F.lit(1).cast("bigint"))
+    slots = resolved.filter(F.col("ts_s") <= until).groupBy("post_id", k.alias("k")).agg(
+        F.count_if(F.col("kind") == "comment").alias("num_comments"), F.count_if(F.col("kind") == "reply").alias("num_replies"),
+        F.max("ts_s").alias("last_ts"), F.hll_sketch_agg("person_id", lg_k).alias("people"),
+    )
+    w = Window.partitionBy("post_id").orderBy("k")
+    upto = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    sums = [a.running(upto) for a in TOTALS if a.name != "num_people"]
+    return slots.select(
+        "post_id", "k", *sums, F.lead("k").over(w).alias("next_k"), F.hll_union_agg("people").over(upto).alias("people")
+    ).withColumn("num_people", F.hll_sketch_estimate("people")).drop("people")
+
+
 def activity_spans(resolved: DataFrame, every: int, horizon: int, origin: int, until: int) -> DataFrame:
     """Unbroken stretches of slots ``[first_k, last_k]`` in which a post is reported."""
     stop = max(1, last_slot(until, origin, every))

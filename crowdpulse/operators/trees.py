@@ -73,6 +73,26 @@ def comment_roots(events: DataFrame) -> DataFrame:
     return follow_to_root(answered_comments(events))
 
 
+def recursive_comment_roots(events: DataFrame) -> DataFrame:
+    """``comment_roots`` by a recursive query, for short inputs: a step for each level of the deepest thread.
+
+    Spark raises beyond ``spark.sql.cteRecursionLevelLimit`` levels (100) or
+    ``spark.sql.cteRecursionRowLimit`` rows (1,000,000); pointer doubling has neither limit.
+    """
+    spark, nodes = events.sparkSession, cut(answered_comments(events))
+    return spark.sql(
+        """
+        WITH RECURSIVE found(id, root_post_id) AS (
+          SELECT id, parent_id FROM {nodes} WHERE parent_kind = 'post'
+          UNION ALL
+          SELECT n.id, f.root_post_id FROM {nodes} AS n JOIN found AS f ON n.parent_kind = 'comment' AND n.parent_id = f.id
+        )
+        SELECT n.id, n.comment_ts, n.comment_author, f.root_post_id FROM found AS f JOIN {nodes} AS n ON n.id = f.id
+        """,
+        nodes=nodes,
+    )
+
+
 def follow_to_root(nodes: DataFrame, known: DataFrame | None = None) -> DataFrame:
     """Pointer doubling over ``nodes``; ``known`` are comments whose root is settled already."""
     columns = ["id", "comment_ts", "comment_author"]
@@ -142,14 +162,15 @@ def located(events: DataFrame, roots: DataFrame, keep=(), how: str = "inner") ->
     return direct.unionByName(replies)
 
 
-def post_trees(events: DataFrame, keep=()) -> DataFrame:
-    """Every event that belongs to a known post, with that post.
+def post_trees(events: DataFrame, keep=(), roots=comment_roots) -> DataFrame:
+    """Every event that belongs to a known post, with that post. ``roots`` finds the root posts of answered
+    comments: ``comment_roots``, or ``recursive_comment_roots`` for short inputs.
 
     Out: ``kind, post_id, person_id, ts_s, author_id, parent_author, forum_id, tags`` and
     the columns named in ``keep``. An event older than what it answers does not count, but
     answers to it still find their way through it.
     """
-    attached = located(events, comment_roots(events), keep).join(post_nodes(events), "post_id")
+    attached = located(events, roots(events), keep).join(post_nodes(events), "post_id")
     return own_trees(events, keep).unionByName(countable(attached, keep))
 
 

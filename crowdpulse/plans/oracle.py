@@ -343,12 +343,15 @@ SELECT event_id, kind, id_kind, id, person_id, ts_s, coalesce(parent_kind, 'post
         "resolve_likes": _with(TREES, """
 SELECT post_id, person_id, ts_s, author_id FROM attached WHERE kind = 'like'"""),
         "post_roots": _with(TREES, """
+SELECT event_id, kind, post_id, author_id FROM attached WHERE kind <> 'like'"""),
+        "post_roots_recursive": _with(TREES, """
 SELECT event_id, kind, post_id, author_id FROM attached WHERE kind <> 'like'"""),
         "engagement_totals": _with(TREES, """
 SELECT post_id, count(*) FILTER (kind = 'comment') AS num_comments, count(*) FILTER (kind = 'reply') AS num_replies,
        count(*) FILTER (kind = 'like') AS num_likes, count(DISTINCT person_id) AS num_people, max(ts_s) AS last_ts
 FROM resolved GROUP BY 1"""),
         "active_posts": ACTIVE_POSTS,
+        "active_posts_approx": ACTIVE_POSTS,
         "active_posts_people": ACTIVE_POSTS_PEOPLE,
         "friends": _with(STATIC, "SELECT person_id, friend_id FROM friends"),
         "in_degree": _with(STATIC, "SELECT person_id2 AS candidate_id, count(*) AS count FROM knows GROUP BY 1"),

@@ -124,6 +124,12 @@ def _roots(spark, sf_dir):
     )
 
 
+def _roots_recursive(spark, sf_dir):
+    events = _events(spark, sf_dir, keep=("event_id",))
+    resolved = trees.post_trees(events, ("event_id",), trees.recursive_comment_roots)
+    return resolved.filter("kind in ('comment', 'reply')").select("event_id", "kind", "post_id", "author_id")
+
+
 def _dynamic(spark, sf_dir):
     events = _events(spark, sf_dir)
     origin, until = time_bounds(events)
@@ -192,8 +198,10 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "classify_engagement": _classify,
         "resolve_likes": _likes,
         "post_roots": _roots,
+        "post_roots_recursive": _roots_recursive,
         "engagement_totals": lambda s, d: active.engagement_totals(_resolved(s, d)),
         "active_posts": lambda s, d: api.active_posts(sample.sample_events(s, d)),
+        "active_posts_approx": lambda s, d: api.active_posts(sample.sample_events(s, d), people="approx"),
         "active_posts_people": lambda s, d: api.active_posts_people(sample.sample_events(s, d)),
         "friends": lambda s, d: graph.friends(knows(s, d), clients),
         "in_degree": lambda s, d: graph.in_degree(knows(s, d)),

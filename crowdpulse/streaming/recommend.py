@@ -41,6 +41,8 @@ class RecommendationStream:
         })
         self.threads, self.static, self.origin = threads, static, origin
         self.clients, self.every, self.window, self.k, self.weights = clients, every, window, k, weights
+        # The relational side is the same for all triggers: worked out by the first one that serves a tick.
+        self.prepared: recommend.Prepared | None = None
 
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
@@ -83,9 +85,11 @@ class RecommendationStream:
         until, since = self._time(last), self._time(first) - self.window
         updates = trees.recommendation_updates(resolved)
         recent = cut(updates.filter((F.col("ts_s") > since) & (F.col("ts_s") <= until)))
+        if self.prepared is None:
+            self.prepared = recommend.prepare(self.static, self.clients, self.k, self.weights)
         return recommend.friend_recommendations(
             recent, self.static, self.clients, self.every, self.window, self.origin, until, self.k,
-            self.weights, first_slot=first, first_use=first_use,
+            self.weights, first_slot=first, first_use=first_use, prepared=self.prepared,
         )
 
     def _time(self, slot: int) -> int:

@@ -11,7 +11,7 @@ def write_stream(df: DataFrame, sink: str, target: str | None, checkpoint: str,
     """Start a query that appends ``df`` to a sink: parquet, kafka, memory or console.
 
     ``target`` is a folder, a topic or a table name. Kafka rows are one JSON text each and need
-    the connector and ``kafka.bootstrap.servers`` in ``options``.
+    the connector and ``kafka.bootstrap.servers`` in ``options``; that sink has never been run here.
     """
     if sink == "kafka":
         df = df.select(F.to_json(F.struct("*")).alias("value"))

@@ -1,5 +1,7 @@
 import random
 
+import pytest
+
 from crowdpulse.operators import trees
 from crowdpulse.plans import api
 from scenarios import NESTED, SHARED_IDS, SHORT, WAKES_UP, at, comment, events, june, like, post, reply
@@ -121,3 +123,35 @@ def test_empty_input(spark):
     nothing = events(spark, ["WATERMARK|5"])
     assert api.active_posts(nothing).count() == 0
     assert trees.post_trees(nothing).count() == 0
+
+
+def test_roots_by_a_recursive_query(spark):
+    lines = [post(1, 10, "00:05"), comment(100, 11, "00:06", 1)] + [reply(101 + i, 12 + i, "00:07", 100 + i) for i in range(30)]
+    lines += [reply(500, 1, "00:09", 501), reply(501, 2, "00:09", 500), reply(600, 3, "00:10", 999)]  # a circle and an orphan
+    df = events(spark, lines)
+    rows = lambda d: sorted(map(tuple, d.select("kind", "post_id", "person_id", "ts_s", "author_id", "parent_author").collect()))
+    assert rows(trees.post_trees(df, roots=trees.recursive_comment_roots)) == rows(trees.post_trees(df))
+    deep = events(spark, [post(1, 10, "00:05"), comment(100, 11, "00:06", 1)] + [reply(101 + i, 12, "00:07", 100 + i) for i in range(150)])
+    assert trees.post_trees(deep).count() == 152
+    with pytest.raises(Exception, match="RECURSION_LEVEL_LIMIT_EXCEEDED"):
+        trees.post_trees(deep, roots=trees.recursive_comment_roots).count()
+
+
+def test_people_by_sketches(spark):
+    """Against the exact count within four standard errors, without a row for each post and person."""
+    from pyspark.sql import functions as F
+
+    from crowdpulse.operators import active_posts as active
+
+    people = spark.range(40_000).select(
+        F.lit("like").alias("kind"), (F.col("id") % 4).alias("post_id"), (F.col("id") * 7919 % 9_973).alias("person_id"), (F.col("id") % 20_000).alias("ts_s")
+    )
+    args = (1800, 43_200, 0, 20_000)
+    approx = active.active_posts(people, *args, people="approx")
+    both = active.active_posts(people, *args).alias("e").join(approx.alias("a"), ["notify_ts", "post_id"], "full")
+    off = both.select(F.max(F.abs(F.col("e.num_people") - F.col("a.num_people")) / F.col("e.num_people"))).first()[0]
+    assert off is not None and off <= 4 * 1.04 / 2**6 and both.filter("a.num_people is null or e.num_people is null").count() == 0
+    plan = approx._jdf.queryExecution().optimizedPlan().toString()
+    assert "Aggregate [post_id" in plan and "Aggregate [post_id#" in plan and ", person_id" not in plan.split("Aggregate [post_id")[1].split("]")[0]
+    with pytest.raises(ValueError):
+        active.active_posts(people, *args, people="some")

@@ -1,4 +1,5 @@
 import pytest
+from pyspark.sql import functions as F
 
 from crowdpulse.functions.text import parse_tags, tokens, unique_word_ratio
 from crowdpulse.sources.files import read_event_files, read_events_with_arrival, read_static_tables
@@ -112,3 +113,40 @@ def test_static_tables(spark, tmp_path):
     assert sorted(tuple(r) for r in tables["person_knows_person"].collect()) == [(1, 2), (2, 1)]
     assert [tuple(r) for r in tables["person_studyAt_organisation"].orderBy("person_id").collect()] == [(1, 10, 2001), (2, 10, None)]
     assert tables["forum_has_member"].filter("join_date is not null").count() == 1
+
+
+def test_value_as_an_expression(spark):
+    df = spark.createDataFrame([("x", "5|7|2019-04-02T00:06:00Z")], "head string, tail string")
+    row = parse_events(df, F.concat(F.lit(""), F.col("tail")), keep=("head",)).first()
+    assert (row["head"], row["kind"], row["person_id"], row["parent_id"]) == ("x", "like", 5, 7)
+
+
+def test_options_of_the_kafka_source_and_sink(monkeypatch):
+    """No broker here: what would be asked of the connector."""
+    from crowdpulse.sources.wire import read_kafka
+    from crowdpulse.streaming.sinks import write_stream
+
+    class Recorder:
+        def __init__(self):
+            self.calls = []
+
+        def __getattr__(self, name):
+            def call(*args, **kwargs):
+                self.calls.append((name, *args, *kwargs.items()))
+                return self
+            return call
+
+    source = Recorder()
+    read_kafka(type("Session", (), {"readStream": source})(), "host:9092", "events", maxOffsetsPerTrigger=5)
+    assert source.calls == [
+        ("format", "kafka"), ("option", "kafka.bootstrap.servers", "host:9092"), ("option", "subscribe", "events"),
+        ("option", "startingOffsets", "earliest"), ("option", "maxOffsetsPerTrigger", 5), ("load",), ("select", "value"),
+    ]
+    monkeypatch.setattr("crowdpulse.streaming.sinks.F", Recorder())
+    sink = Recorder()
+    df = type("Frame", (), {"writeStream": sink, "select": lambda self, c: self})()
+    write_stream(df, "kafka", "results", "cp", options={"kafka.bootstrap.servers": "host:9092"})
+    assert sink.calls == [
+        ("format", "kafka"), ("outputMode", "append"), ("trigger", ("availableNow", True)), ("option", "checkpointLocation", "cp"),
+        ("option", "kafka.bootstrap.servers", "host:9092"), ("option", "topic", "results"), ("start",),
+    ]
