@@ -91,6 +91,28 @@ def op13_phrase_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
     return collocations(read_table(spark, sf_dir, "documents"))
 
 
+OP4_SQL = """
+WITH RECURSIVE usable AS (
+  SELECT vec_id, embedding::DOUBLE[] AS e FROM embeddings
+  WHERE vec_id IS NOT NULL AND len(embedding) > 0
+    AND len(list_filter(embedding, lambda c: c IS NULL OR NOT isfinite(c))) = 0 AND len(list_filter(embedding, lambda c: c <> 0)) > 0
+), links AS (
+  SELECT a.vec_id AS a, b.vec_id AS b FROM usable AS a JOIN usable AS b
+  ON a.vec_id <> b.vec_id AND len(a.e) = len(b.e) AND CASE WHEN len(a.e) = len(b.e) THEN list_cosine_similarity(a.e, b.e) END >= 0.9
+), reached AS (
+  SELECT vec_id AS a, vec_id AS b FROM usable
+  UNION
+  SELECT r.a, l.b FROM reached AS r JOIN links AS l ON l.a = r.b
+), counts AS (
+  SELECT a, count(*) AS n FROM links GROUP BY a
+), components AS (
+  SELECT a, min(b) AS component_id FROM reached GROUP BY a
+)
+SELECT v.vec_id, coalesce(n, 0)::BIGINT AS n_links, coalesce(c.component_id, v.vec_id) AS component_id,
+       coalesce(v.vec_id = coalesce(c.component_id, v.vec_id), false) AS kept
+FROM embeddings AS v LEFT JOIN counts ON counts.a = v.vec_id LEFT JOIN components AS c ON c.a = v.vec_id
+"""
+
 OP5_SQL = r"""
 WITH sized AS (
   SELECT doc_id, source, coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0)::BIGINT AS size,
@@ -171,13 +193,16 @@ WITH pieces AS (
   SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array(
            translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS piece
   FROM documents
+), numbered AS (
+  SELECT lang, row_number() OVER () AS p, regexp_extract_all(piece, '[^\x20\x09]+') AS w FROM pieces
 ), worded AS (
-  SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS w FROM pieces
-), places AS (
-  SELECT lang, w, unnest(range(1, len(w) + 1)) AS i FROM worded
+  SELECT lang, p, unnest(w) AS a, generate_subscripts(w, 1) AS i FROM numbered
+), edges AS (
+  SELECT lang, a, lead(a) OVER o AS b, lead(a, 2) OVER o AS c FROM worded WINDOW o AS (PARTITION BY p ORDER BY i)
 ), grams AS (
-  SELECT lang, m, array_to_string(w[i : i + m - 1], ' ') AS phrase, count(*) AS f
-  FROM places, (VALUES (1), (2), (3)) AS sizes(m) WHERE i + m - 1 <= len(w) GROUP BY ALL
+  SELECT lang, 1 AS m, a AS phrase, count(*) AS f FROM edges GROUP BY ALL
+  UNION ALL SELECT lang, 2, a || ' ' || b, count(*) FROM edges WHERE b IS NOT NULL GROUP BY ALL
+  UNION ALL SELECT lang, 3, a || ' ' || b || ' ' || c, count(*) FROM edges WHERE c IS NOT NULL GROUP BY ALL
 ), totals AS (
   SELECT lang, sum(f)::BIGINT AS n FROM grams WHERE m = 1 GROUP BY lang
 ), candidates AS (
@@ -218,6 +243,7 @@ QUERIES = {
 }
 
 ORACLE_SQL = {
+    "op4_embedding_near_dedup": OP4_SQL,
     "op5_pareto_mix": OP5_SQL,
     "op8_warc": OP8_SQL,
     "op9_line_dedup": OP9_SQL,

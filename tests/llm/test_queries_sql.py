@@ -17,6 +17,9 @@ SHAPES = {
     "op8": {"page_id", "payload_bytes", "payload_digest", "record_type", "refers_to"},
     "op9": {"doc_id", "n_lines", "n_dropped", "kept_sha256"},
     "op10": {"doc_id", "held_out", "score", "predicted"},
+    "op11": {"doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset"},
+    "op12": {"doc_id", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "groups_sha256"},
+    "op13": {"lang", "rank", "phrase", "a", "l", "r", "n", "score"},
 }
 
 
