@@ -25,6 +25,7 @@ from pyspark.sql import functions as F
 
 from crowdpulse.llm.common import once_per_worker, written
 from crowdpulse.llm.packing import Tokens
+from crowdpulse.session import handed_out
 
 RANKED_BY_SALT = 200_000
 
@@ -386,6 +387,7 @@ def pack_by_least_squares(docs: DataFrame, tokenizer: str | None = None, window:
         )
         return both.withColumn("ids_crc32", F.crc32("ids")).select(*columns, "ids")
     placed = written(placed, "placed-pieces")
-    cut = placed.filter("cut >= 0").join(pieces.select("row", "ids"), "row")
+    # Few pieces are cut as a rule: these are counted and go to the ids, else both sides are exchanged.
+    cut = pieces.select("row", "ids").join(handed_out(placed.filter("cut >= 0")), "row")
     own = F.substring("ids", ((F.col("start") - F.col("cut")) * 4 + 1).cast("int"), (F.col("length") * 4).cast("int"))
     return placed.filter("cut < 0").select(*columns).unionByName(cut.withColumn("ids_crc32", F.crc32(own)).select(*columns))
