@@ -112,20 +112,21 @@ class Group:
 
 
 def vector_best_fit(counts: dict[int, int], capacity: int, max_documents: int | None = None,
-                    max_attention: int | None = None, rule: str = "norm") -> list[Group]:
+                    max_attention: int | None = None, rule: str = "norm", weights=(1.0, 1.0, 1.0)) -> list[Group]:
     """Pack ``counts[length]`` pieces of each length into groups of equal bins.
 
     A piece takes (length, 1, length squared) of a bin's (capacity, max_documents, max_attention).
     Longest first, a piece goes to the open bin that fits it and, by ``rule``, leaves the smallest
     residual norm (``norm``) or has the largest dot product of need and residual (``dot``), each
-    dimension as a share of its capacity; a new bin is opened if none fits. A dimension that no
-    filling of tokens can exceed has weight 0. A piece that no empty bin holds raises.
+    dimension as a share of its capacity and with its weight; a new bin is opened if none fits. By
+    default the documents may be as many as the tokens and the attention as much as one piece of
+    all tokens has: these never keep a piece out then, but still take part in the choice of the
+    bin. A piece that no empty bin holds raises.
     """
     if rule not in ("norm", "dot"):
         raise ValueError(f"unknown rule {rule}")
-    shortest = min(counts, default=1)
     caps = np.array([capacity, max_documents or capacity, max_attention or capacity**2], float)
-    weight = np.array([1.0, caps[1] < capacity // max(shortest, 1), caps[2] < capacity**2], float)
+    weight = np.array(weights, float)
     left = np.zeros((0, 3))
     groups: list[Group] = []
 

@@ -139,3 +139,16 @@ def test_rows_without_an_id_spread(spark):
 def test_bytes_that_are_no_text(spark):
     df = spark.range(1).select(F.col("id").alias("doc_id"), F.expr("cast(x'ff41' as string)").alias("text"))
     assert [r["length"] for r in pack_documents(df).collect()] == [3]
+
+
+def test_all_dimensions_choose_the_bin():
+    """At the default capacities too the vector rule is another than best fit on tokens, and costs no sequence."""
+    rng = np.random.default_rng(5)
+    counts = {int(k): int(n) for k, n in zip(*np.unique(np.minimum(rng.lognormal(5.5, 1.2, 8000).astype(int) + 1, 1024), return_counts=True))}
+    vector, scalar = vector_best_fit(counts, 1024), vector_best_fit(counts, 1024, weights=(1, 0, 0))
+    sequences = lambda groups: sum(g.count for g in groups)
+    assert sequences(vector) <= sequences(scalar) + 1
+    content = lambda groups: sorted((g.content, g.count) for g in groups)
+    assert content(vector) != content(scalar)
+    packed = sum(n * k * g.count for g in vector for n, k in g.content)
+    assert packed == sum(n * k for n, k in counts.items())
