@@ -16,7 +16,6 @@ a search of their own.
 
 from __future__ import annotations
 
-from dataclasses import dataclass
 from math import factorial
 
 import numpy as np
@@ -27,8 +26,8 @@ from pyspark.sql import functions as F
 from crowdpulse.llm.common import written
 from crowdpulse.llm.vectors import matrix, usable
 
-#: Rows of a shard and of a query block, points of a leaf, leaves taken up and points verified at a time.
-SHARD, BLOCK, LEAF, STEP, VERIFIED = 16_384, 1024, 64, 16, 512
+#: Rows of a shard and of a query block, points of a leaf, leaves taken up and points verified at first (then twice as many, and so on).
+SHARD, BLOCK, LEAF, STEP, VERIFIED = 16_384, 1024, 64, 128, 1024
 
 
 def chi_square_cdf(x: np.ndarray | float, degrees: int):
@@ -69,16 +68,18 @@ def build_tree(points: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray,
     return order, starts, low, high
 
 
-@dataclass
 class Shard:
-    """Candidates with their projections in a tree. ``far2`` of a query is M^2 + |q|^2: a squared distance is that
-    less twice the inner product."""
-
-    rows: np.ndarray
-    ids: np.ndarray
-    x: np.ndarray
-    projected: np.ndarray
-    tree: tuple
+    """Candidates with their projections in a tree, leaf by leaf. ``far2`` of a query is M^2 + |q|^2: a squared
+    distance is that less twice the inner product."""
+
+    def __init__(self, rows: np.ndarray, ids: np.ndarray, x: np.ndarray, projected: np.ndarray):
+        order, self.starts, self.low, self.high = build_tree(projected)
+        self.rows, self.ids, self.x, self.projected = rows[order], ids[order], x[order], projected[order]
+        # Single precision looks over the points; what may be good enough is worked out in double.
+        self.quick = self.x.astype(np.float32)
+        self.room = np.empty_like(self.quick)
+        self.size2 = np.einsum("ij,ij->i", self.projected, self.projected)
+        self.slack = 1e-5 * np.sqrt(np.einsum("ij,ij->i", self.x, self.x).max(initial=0))
 
     def search(self, query: np.ndarray, own_row: int, projected: np.ndarray, far2: float, k: int, reach: float,
                floor: float = -np.inf) -> tuple[np.ndarray, np.ndarray, int]:
@@ -87,38 +88,38 @@ class Shard:
         ``reach`` is the chi-square quantile of the stopping test, ``floor`` a score that ``k`` other
         candidates reach, so that only as good ones matter.
         """
-        order, starts, low, high = self.tree
-        gap = np.maximum(np.maximum(low - projected, projected - high), 0)
+        gap = np.maximum(np.maximum(self.low - projected, projected - self.high), 0)
         bound = np.einsum("ij,ij->i", gap, gap)
         by = np.argsort(bound, kind="stable")
-        best, score, verified = np.zeros(0, np.int64), np.zeros(0), 0
-        worst = floor
+        best, score, verified, worst = np.zeros(0, np.int64), np.zeros(0), 0, floor
         waiting, distance = np.zeros(0, np.int64), np.zeros(0)
+        quick, slack = query.astype(np.float32), self.slack * np.sqrt(query @ query)
+        at, step, ring = 0, STEP, VERIFIED
+        from_query = np.maximum(self.size2 - 2 * (self.projected @ projected) + projected @ projected, 0)
 
         def limit():
             return reach * max(0.0, far2 - 2 * worst) if worst > -np.inf else np.inf
 
-        for at in range(0, len(by), STEP):
-            if bound[by[at]] >= limit():
-                break
-            taken = np.concatenate([order[starts[leaf] : starts[leaf + 1]] for leaf in by[at : at + STEP]])
-            own = self.projected[taken] - projected
-            waiting, distance = np.concatenate([waiting, taken]), np.concatenate([distance, np.einsum("ij,ij->i", own, own)])
+        while at < len(by) and bound[by[at]] < limit():
+            leaves = np.sort(by[at : at + step])
+            at, step = at + step, 2 * step
+            begin, size = self.starts[leaves], self.starts[leaves + 1] - self.starts[leaves]
+            taken = np.arange(size.sum()) + np.repeat(begin - (np.cumsum(size) - size), size)
+            waiting, distance = np.concatenate([waiting, taken]), np.concatenate([distance, from_query[taken]])
             # No point that is still in the tree is nearer than the next leaf.
-            ahead = bound[by[at + STEP]] if at + STEP < len(by) else np.inf
-            while len(waiting):
-                near = distance < limit()
-                waiting, distance = waiting[near], distance[near]
-                ready = np.flatnonzero(distance <= ahead)
+            ahead = bound[by[at]] if at < len(by) else np.inf
+            while True:
+                ready = np.flatnonzero(distance < min(limit(), np.nextafter(ahead, np.inf)))
                 if not len(ready):
                     break
-                ready = ready[np.argsort(distance[ready], kind="stable")[:VERIFIED]]
+                if len(ready) > ring:
+                    ready = ready[np.argpartition(distance[ready], ring)[:ring]]
                 rows = waiting[ready]
-                left = np.ones(len(waiting), bool)
-                left[ready] = False
-                waiting, distance = waiting[left], distance[left]
-                rows = rows[self.rows[rows] != own_row]
+                distance[ready] = np.inf  # done with
+                ring *= 2
                 verified += len(rows)
+                rows = rows[np.take(self.quick, rows, axis=0, out=self.room[: len(rows)], mode="clip") @ quick >= worst - slack]
+                rows = rows[self.rows[rows] != own_row]
                 # Row by row, so that equal vectors get equal scores wherever they stand.
                 found = np.einsum("ij,j->i", self.x[rows], query)
                 good = found >= worst
@@ -127,6 +128,8 @@ class Shard:
                 best, score = best[top], score[top]
                 if len(best) == k:
                     worst = max(worst, score[-1])
+            keep = distance < limit()
+            waiting, distance = waiting[keep], distance[keep]
         return best, score, verified
 
 
@@ -202,7 +205,7 @@ def nearest(vectors: DataFrame, is_query: Column, k: int = 20, projections: int
                     x = np.frombuffer(raw[6], np.float64).reshape(-1, dim)
                     lift = np.sqrt(np.maximum(radius2 - np.einsum("ij,ij->i", x, x), 0))
                     points = x @ axes[:dim] + lift[:, None] * axes[dim]
-                    shard, seen = Shard(np.frombuffer(raw[4], np.int64), np.frombuffer(raw[5], np.int64), x, points, build_tree(points)), part
+                    shard, seen = Shard(np.frombuffer(raw[4], np.int64), np.frombuffer(raw[5], np.int64), x, points), part
                 floors = np.frombuffer(raw[3], np.float64) if raw[3] else np.full(len(q), -np.inf)
                 projected, size = q @ axes[:dim], np.einsum("ij,ij->i", q, q)
                 found = [shard.search(q[i], q_rows[i], projected[i], radius2 + size[i], k, reach, floors[i]) for i in range(len(q))]

@@ -85,14 +85,14 @@ def test_the_search_stops_before_the_whole_shard():
     axes = np.random.default_rng([3, dim]).standard_normal((dim + 1, m))
     points = x @ axes[:dim] + np.sqrt(np.maximum(radius2 - (x * x).sum(axis=1), 0))[:, None] * axes[dim]
     ids = np.arange(len(x))
-    shard = neighbours.Shard(ids, ids, x, points, build_tree(points))
+    shard = neighbours.Shard(ids, ids, x, points)
     hits = verified = 0
     queries = range(0, len(x), 400)
     for i in queries:
         found, score, n = shard.search(x[i], i, x[i] @ axes[:dim], radius2 + x[i] @ x[i], k, chi_square_quantile(0.95, m))
         true = np.einsum("ij,j->i", x, x[i])
         true[i] = -np.inf
-        hits += len(set(found.tolist()) & set(np.argsort(-true, kind="stable")[:k].tolist()))
+        hits += len(set(shard.ids[found].tolist()) & set(np.argsort(-true, kind="stable")[:k].tolist()))
         verified += n
         # A score that others reach already cuts the search short and leaves what is better.
         better, _, fewer = shard.search(x[i], i, x[i] @ axes[:dim], radius2 + x[i] @ x[i], k, chi_square_quantile(0.95, m), score[4])
