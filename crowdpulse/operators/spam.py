@@ -17,7 +17,7 @@ from crowdpulse.schema import (
     VOCABULARY_BUCKETS,
     VOCABULARY_CAP,
 )
-from crowdpulse.session import cut
+from crowdpulse.session import written
 
 VOCABULARY = Histogram(VOCABULARY_BUCKETS, 0.0, 1.0, VOCABULARY_CAP)
 BURST = Histogram(BURST_BUCKETS, 0.0, float(BURST_MAX), float(BURST_CAP))
@@ -40,7 +40,7 @@ def vocabulary_thresholds(events: DataFrame, histogram: Histogram = VOCABULARY,
     """Every text with its ratio and the threshold that holds right after it."""
     full = [*order, "ratio"]
     # Ranges are drawn from a sample of the rows, so texts are measured and written before.
-    sliced = slice_in_order(cut(text_ratios(events, order, ratio)), full, slices)
+    sliced = slice_in_order(written(text_ratios(events, order, ratio)), full, slices)
     return running_threshold(sliced, full, [(F.col("ratio"), F.lit(1))], histogram)
 
 
@@ -124,7 +124,7 @@ def burst_thresholds(events: DataFrame, window: int = BURST_WINDOW, max_count: i
         events = events.filter(F.col("kind").isin(*kinds))
     sliced = slice_in_order(events.select(*_with_person(order)), order, slices)
     # Read for the histograms and for the running sums: written once instead of being counted twice.
-    counted = cut(burst_counts(sliced, order, window).withColumn("entry", burst_entry(F.col("n"), max_count)))
+    counted = written(burst_counts(sliced, order, window).withColumn("entry", burst_entry(F.col("n"), max_count)))
     return running_threshold(counted, [*order, "n"], burst_deltas(max_count), histogram)
 
 

@@ -16,7 +16,7 @@ from crowdpulse.operators import graph, recommend, spam, threshold, trees
 from crowdpulse.operators.timegrid import periodic_snapshot, sliding_sum, time_bounds
 from crowdpulse.plans import api, stream_queries
 from crowdpulse.schema import RECOMMEND_CLIENTS, RECOMMEND_EVERY, RECOMMEND_WINDOW
-from crowdpulse.session import checkpoint_dir, cut, written
+from crowdpulse.session import checkpoint_dir, written
 from crowdpulse.sources import read_event_files, read_events_with_arrival, read_static_tables
 from crowdpulse.sources import sample_tables as sample
 from crowdpulse.sources.wire import parse_events
@@ -134,7 +134,7 @@ def _dynamic(spark, sf_dir):
     events = _events(spark, sf_dir)
     origin, until = time_bounds(events)
     return recommend.dynamic_scores(
-        cut(trees.recommendation_updates(trees.post_trees(events))),
+        written(trees.recommendation_updates(trees.post_trees(events))),
         _static(spark, sf_dir)["forum_has_member"], RECOMMEND_CLIENTS,
         RECOMMEND_EVERY, RECOMMEND_WINDOW, origin, until,
     )
@@ -217,7 +217,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
             knows(s, d), _static(s, d)["person_workAt_organisation"],
             _static(s, d)["person_studyAt_organisation"], clients),
         "interaction_affinity": lambda s, d: recommend.interaction_points(_updates(s, d), clients),
-        "tag_affinity": lambda s, d: recommend.tag_points(cut(_updates(s, d)), clients),
+        "tag_affinity": lambda s, d: recommend.tag_points(written(_updates(s, d)), clients),
         "forum_affinity": lambda s, d: recommend.forum_points(
             _updates(s, d), _static(s, d)["forum_has_member"], clients),
         "activity_scores": _activity,

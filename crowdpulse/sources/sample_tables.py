@@ -40,7 +40,8 @@ def _kinds(events: DataFrame) -> DataFrame:
 def sample_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``events`` in the event layout, with ``event_id`` and ``doc_id``, without texts."""
     events = _kinds(table(spark, sf_dir, "events"))
-    texts = max(1, table(spark, sf_dir, "documents").count())
+    # A subquery of one number, which is not worked out where no text is asked for.
+    texts = table(spark, sf_dir, "documents").agg(F.greatest(F.count("*"), F.lit(1))).scalar()
     # At most BLOCK rows per group: event ids are unique.
     ahead = events.groupBy((F.col("_block") + 1).alias("_block")).agg(
         F.min(F.when(F.col("kind") == "post", F.col("event_id"))).alias("first_post"),
