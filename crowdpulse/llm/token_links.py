@@ -16,6 +16,7 @@ from __future__ import annotations
 
 import hashlib
 from dataclasses import dataclass
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -26,7 +27,7 @@ from crowdpulse.llm.common import once_per_worker, written
 from crowdpulse.llm.packing import Tokens
 
 #: Bytes of text in a block, and of matrix entries that a product expands at a time.
-BLOCK, STRIP = 4 << 20, 1 << 22
+BLOCK, STRIP = 1 << 20, 1 << 20
 KINDS = ("end", "overlap", "group")
 
 
@@ -127,7 +128,10 @@ def links(ends_a: np.ndarray, ends_b: np.ndarray, kind: str = "end") -> Csr:
 
 def cuts(ends_a: np.ndarray, ends_b: np.ndarray) -> np.ndarray:
     """The offsets where tokens of both end, in order."""
-    return np.intersect1d(ends_a, ends_b)
+    marked = np.zeros((ends_a[-1] if len(ends_a) else 0) + 1, bool)
+    marked[ends_a] = True
+    both = ends_b[marked[ends_b]]
+    return both[np.append(both[1:] != both[:-1], True)] if len(both) else both
 
 
 class TwoTokenizers:
@@ -195,7 +199,7 @@ def align(tokens: TwoTokenizers, texts: list[bytes | None], kind: str = "end") -
     """Groups as text (``a1,a2|b1;a3|b2,b3``) and links of ``kind`` as pairs of ids, for each text of a block."""
     ids = tokens.ids(texts)
     n_a, n_b = (np.array([len(x) for x in side], np.int64) for side in ids)
-    a, b = (np.fromiter((i for x in side for i in x), np.int64, n.sum()) for side, n in zip(ids, (n_a, n_b)))
+    a, b = (np.fromiter(chain.from_iterable(side), np.int64, n.sum()) for side, n in zip(ids, (n_a, n_b)))
     ends_a, ends_b = np.cumsum(tokens.sizes[0][a]), np.cumsum(tokens.sizes[1][b])
     text_a = np.repeat(np.arange(len(texts)), n_a)
     common = cuts(ends_a, ends_b)
