@@ -110,7 +110,8 @@ def test_inputs_are_read_once(spark):
     q = queries()
     for name in ("active_posts", "post_roots", "engagement_totals", "friend_recommendations"):
         assert "events.parquet" not in plan(q[name](spark, SMALL)), name
-    assert plan(q["friend_recommendations"](spark, SMALL)).count("FileScan") <= 4
+    # Tables written on the way are files as well: what counts is how often a source is read.
+    assert plan(q["friend_recommendations"](spark, SMALL)).count(SMALL) <= 4
     assert plan(q["static_scores"](spark, SMALL)).count("orders.parquet") <= 2
 
 
