@@ -1,5 +1,4 @@
 import hashlib
-import random
 from collections import Counter
 
 import numpy as np
