@@ -2,7 +2,9 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from crowdpulse.llm.html_text import blocks, main_text, suffix_keys, token_stream, without_repeats
+from crowdpulse.llm.html_text import (
+    blocks, main_text, repeats, suffix_array, suffix_keys, token_stream, without_notices, without_repeats,
+)
 
 SCHEMA = "page_id long, url string, html string"
 
@@ -136,3 +138,89 @@ def test_many_end_tags_without_a_start_take_linear_time():
 def test_bytes_that_are_no_text(spark):
     df = spark.range(1).select(F.col("id").alias("page_id"), F.lit("http://a/").alias("url"), F.expr("cast(concat(cast('<article>x' as binary), x'ff', cast('</article>' as binary)) as string)").alias("html"))
     assert [r["text"] for r in main_text(df).collect()] == ["x\ufffd"]
+
+
+def test_suffixes_are_in_order_with_common_prefixes():
+    rng = np.random.default_rng(2)
+    for kinds, n in ((1, 40), (2, 300), (3, 300), (60, 400), (4, 1), (9, 2)):
+        once = rng.integers(0, kinds, n)
+        for tokens in (once, np.concatenate([once, once, [kinds], once])):
+            order, common = suffix_array(tokens)
+            suffixes = sorted((tokens[i:].tolist(), i) for i in range(len(tokens)))
+            assert order.tolist() == [i for _, i in suffixes]
+            for (a, _), (b, _), c in zip(suffixes, suffixes[1:], common[1:]):
+                assert a[:c] == b[:c] and a[c : c + 1] != b[c : c + 1]
+            assert common[0] == 0
+
+
+def windows(page, run=8):
+    words = " ".join(page).split()
+    return [tuple(words[i : i + run]) for i in range(len(words) - run + 1)]
+
+
+def test_repeated_substrings_equal_brute_force():
+    rng = np.random.default_rng(3)
+    pages = [[" ".join(f"w{x}" for x in rng.integers(0, 2, rng.integers(1, 30))) for _ in range(rng.integers(1, 4))] for _ in range(30)]
+    groups = np.repeat(np.arange(3), 10)
+    least = np.array([2, 1, 3.5])
+    expected = []
+    for i, page in enumerate(pages):
+        own = [set(windows(pages[j])) for j in range(30) if groups[j] == groups[i]]
+        expected += [(i, at) for at, w in enumerate(windows(page)) if sum(w in o for o in own) >= least[groups[i]]]
+    page, place, key = repeats(pages, groups, least)
+    assert list(zip(page.tolist(), place.tolist())) == expected and 100 < len(expected) < sum(len(windows(p)) for p in pages)
+    # Equal substrings have equal keys, also in another array.
+    texts = {}
+    for p, at, k in zip(page.tolist(), place.tolist(), key.tolist()):
+        assert texts.setdefault(k, windows(pages[p])[at]) == windows(pages[p])[at]
+    assert len(set(texts.values())) == len(texts)
+    assert suffix_keys(token_stream(pages[page[0]])).view(np.int64)[place[0]] == key[0]
+
+
+def test_articles_go_through_the_suffix_array(crowd):
+    """A notice that no markup tells goes from every article of a host, passages of some articles stay."""
+    notice = "This offer ends soon so write to our desk today and tell your friends"
+    passage = " ".join(f"shared{i}" for i in range(60))
+    rows, expected = [], {}
+    for host, n in (("a.example", 24), ("b.example", 19)):
+        for i, (url, _, own) in enumerate(site(host, n, "")):
+            quoted = [passage] if i < 8 else []
+            rows.append((len(rows), url, "<article>" + "".join(f"<p>{b}</p>" for b in [own, notice, *quoted]) + "</article>"))
+            expected[len(rows) - 1] = " ".join([own, *([notice] if n < 20 else []), *quoted])
+    assert {r["page_id"]: r["text"] for r in main_text(crowd(rows, SCHEMA)).collect()} == expected
+    out = {r["page_id"]: r["text"] for r in main_text(crowd(rows, SCHEMA), article_pages=25).collect()}
+    assert all(notice in t for t in out.values())
+
+
+def test_articles_that_are_near_copies_stay(crowd):
+    body = " ".join(f"same{i}" for i in range(60))
+    rows = [(i, f"https://a.example/{i}", f"<article><p>On day {i}</p><p>{body}</p></article>") for i in range(30)]
+    assert {r["text"] for r in main_text(crowd(rows, SCHEMA)).collect()} == {f"On day {i} {body}" for i in range(30)}
+    assert without_notices(["a " * 8, "b"], np.array([0])) == ["a " * 8, "b"]
+    assert without_notices(["x " * 9 + "x", "a " * 7 + "a"], np.array([10])) == ["x " * 9 + "x"]
+    assert without_notices(["x " * 9 + "x", "a " * 8 + "a"], np.array([10])) == ["x " * 9 + "x", "a " * 8 + "a"]  # not whole
+
+
+@pytest.mark.parametrize("share", [0.3, 0.0])
+def test_parts_of_a_large_host_find_what_the_host_repeats(crowd, share):
+    rng = np.random.default_rng(4)
+    some = [" ".join(f"s{k}x{i}" for i in range(12)) for k in range(6)]
+    rows, pages = [], {}
+    for i in range(60):
+        page = [" ".join(f"own{i}x{k}" for k in range(20))] + [b for k, b in enumerate(some) if rng.random() < (0.1, 0.2, 0.28, 0.32, 0.4, 0.9)[k]]
+        for copy in range(1 + 3 * (i % 7 == 0)):
+            rows.append((100 * copy + i, f"https://a.example/{i}", "".join(f"<p>{b}</p>" for b in page)))
+            pages[100 * copy + i] = page
+    distinct = list({tuple(p) for p in pages.values()})
+    held = {}
+    for p in distinct:
+        for w in set(windows(p)):
+            held[w] = held.get(w, 0) + 1
+    expected = {}
+    for i, p in pages.items():
+        at = [k for k, w in enumerate(windows(p)) if held[w] >= 2 and held[w] >= share * len(distinct)]
+        expected[i] = " ".join(without_repeats(p, np.array(at, np.int64)))
+    for group in (300, 1 << 18):
+        out = {r["page_id"]: r["text"] for r in main_text(crowd(rows, SCHEMA), min_share=share, group=group, group_pages=6).collect()}
+        assert out == expected
+    assert any(b in expected[i] for i in pages for b in some) == (share > 0)
