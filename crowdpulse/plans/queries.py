@@ -73,13 +73,18 @@ def _record_rows(parsed, *more):
 
 def _event_files(spark, sf_dir):
     folder = f"{checkpoint_dir(spark)}/event-files-{uuid.uuid4().hex}"
-    return _record_rows(read_event_files(spark, *sample.write_event_files(spark, sf_dir, folder)))
+    # What a part says is written before its files go.
+    return reduce(DataFrame.unionByName, [
+        written(_record_rows(read_event_files(spark, *paths))) for paths in sample.event_files(spark, sf_dir, folder)
+    ])
 
 
 def _event_files_with_arrival(spark, sf_dir):
     folder = f"{checkpoint_dir(spark)}/event-files-{uuid.uuid4().hex}"
-    paths = sample.write_event_files(spark, sf_dir, folder, arrival=True)
-    return _record_rows(read_events_with_arrival(spark, *paths), "arrival_s")
+    return reduce(DataFrame.unionByName, [
+        written(_record_rows(read_events_with_arrival(spark, *paths), "arrival_s"))
+        for paths in sample.event_files(spark, sf_dir, folder, arrival=True)
+    ])
 
 
 def _bad_bytes(spark, sf_dir):

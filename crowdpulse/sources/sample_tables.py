@@ -15,14 +15,22 @@ per-row arithmetic over the whole tables:
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from crowdpulse.session import dropped, folder_made, setting, written
+
 BLOCK = 16
 ACCOUNTS = 10
 
 SAMPLE_ORDER = ("ts_s", "event_id")
 
+#: Events whose files may lie on disk at once, where there are fewer documents.
+PART_EVENTS = 100_000
+EVENT_FILES = ("posts", "comments", "likes")
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
@@ -79,14 +87,30 @@ def sample_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def sample_events_with_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """``sample_events`` with ``content``; an event without a document has an empty text.
+    """``sample_events`` with ``content``; an event without a document has an empty text."""
+    return _with_texts(sample_events(spark, sf_dir), sample_texts(spark, sf_dir))
+
+
+def _with_texts(events: DataFrame, texts: DataFrame) -> DataFrame:
+    """Texts are the bulk of the data, so they are never sent to every task."""
+    return events.join(texts.hint("merge"), "doc_id", "left").withColumn("content", F.coalesce("content", F.lit("")))
 
-    Texts are the bulk of the data, so they are never sent to every task.
+
+def sample_parts(spark: SparkSession, sf_dir: str) -> Iterator[DataFrame]:
+    """``sample_events_with_texts`` in parts, by a hash of ``doc_id``.
+
+    Documents are shared, so the texts of all events may be many times the tables they come from. A part has
+    about as many events as there are documents, or ``PART_EVENTS``: the size of its texts is near that of the table.
     """
-    return (
-        sample_events(spark, sf_dir).join(sample_texts(spark, sf_dir).hint("merge"), "doc_id", "left")
-        .withColumn("content", F.coalesce("content", F.lit("")))
-    )
+    n = table(spark, sf_dir, "events").count()
+    parts = -(-n // max(PART_EVENTS, table(spark, sf_dir, "documents").count()))
+    if parts < 2:
+        yield sample_events_with_texts(spark, sf_dir)
+        return
+    part = F.pmod(F.xxhash64("doc_id"), F.lit(parts)).cast("int")
+    events = written(sample_events(spark, sf_dir).withColumn("_part", part), by=("_part",))
+    for i in range(parts):
+        yield _with_texts(events.filter(F.col("_part") == i).drop("_part"), sample_texts(spark, sf_dir).filter(part == i))
 
 
 def sample_static(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
@@ -123,10 +147,14 @@ def sample_wire(spark: SparkSession, sf_dir: str, keep=(), texts: bool = True, o
     """The sample events as text records in ``value``, texts quoted (or left empty), with spaces for line breaks if ``one_line``."""
     if texts:
         e = sample_events_with_texts(spark, sf_dir)
-        if one_line:
-            e = e.withColumn("content", F.translate("content", "\n\r", "  "))
     else:
         e = sample_events(spark, sf_dir).withColumn("content", F.lit(""))
+    return _wire(e, keep, one_line)
+
+
+def _wire(e: DataFrame, keep=(), one_line: bool = False) -> DataFrame:
+    if one_line:
+        e = e.withColumn("content", F.translate("content", "\n\r", "  "))
     at = F.date_format(F.timestamp_seconds("ts_s"), "yyyy-MM-dd'T'HH:mm:ss'Z'")
     text = F.concat(F.lit('"'), F.replace("content", F.lit('"'), F.lit('""')), F.lit('"'))
     none = F.lit("")
@@ -148,20 +176,30 @@ def sample_wire(spark: SparkSession, sf_dir: str, keep=(), texts: bool = True, o
     )
 
 
-def write_event_files(spark: SparkSession, sf_dir: str, folder: str, arrival: bool = False) -> list[str]:
+def event_files(spark: SparkSession, sf_dir: str, folder: str, arrival: bool = False) -> Iterator[list[str]]:
     """The sample as the three kinds of event files, each with a header line; with ``arrival`` a first field
-    says when a record arrived, up to ten minutes after its event. Returns the folders of posts, comments and likes."""
-    wire = sample_wire(spark, sf_dir, keep=("event_id", "kind", "ts_s"), one_line=True)
-    if arrival:
-        at = F.date_format(F.timestamp_seconds(F.col("ts_s") + F.col("event_id") % 600), "yyyy-MM-dd'T'HH:mm:ss'Z'")
-        wire = wire.withColumn("value", F.concat(at, F.lit("|"), "value"))
-    paths = []
-    for name, kinds in (("posts", ("post",)), ("comments", ("comment", "reply")), ("likes", ("like",))):
-        paths.append(f"{folder}/{name}")
-        lines = wire.filter(F.col("kind").isin(*kinds)).select("value")
-        # A separator and quotes that no line holds: lines are written as they are, under a header in each file.
-        lines.write.option("header", True).option("sep", "\x00").option("quote", "\x01").option("emptyValue", "").csv(paths[-1])
-    return paths
+    says when a record arrived, up to ten minutes after its event. Gives the folders of posts, comments and likes,
+    for one of the ``sample_parts`` after the other; the files of a part go when the next part is asked for."""
+    for i, events in enumerate(sample_parts(spark, sf_dir)):
+        wire = _wire(events, keep=("event_id", "kind", "ts_s"), one_line=True)
+        if arrival:
+            at = F.date_format(F.timestamp_seconds(F.col("ts_s") + F.col("event_id") % 600), "yyyy-MM-dd'T'HH:mm:ss'Z'")
+            wire = wire.withColumn("value", F.concat(at, F.lit("|"), "value"))
+        kind = F.col("kind")
+        file = F.when(kind == "post", "posts").when(kind == "like", "likes").otherwise("comments")
+        path = f"{folder}/{i}"
+        # All kinds at once, as each would join the texts anew, and without a sort of the lines by kind.
+        with setting(spark, "spark.sql.maxConcurrentOutputFileWriters", len(EVENT_FILES)):
+            # A separator and quotes that no line holds: lines are written as they are, under a header in each file.
+            wire.select("value", file.alias("file")).write.partitionBy("file").option("header", True).option("sep", "\x00").option(
+                "quote", "\x01").option("emptyValue", "").csv(path)
+        folders = [f"{path}/file={name}" for name in EVENT_FILES]
+        for name in folders:  # a part may have no such record
+            folder_made(spark, name)
+        try:
+            yield folders
+        finally:
+            dropped(spark, path)
 
 
 def write_static_tables(spark: SparkSession, sf_dir: str, folder: str) -> None:

@@ -1,0 +1,51 @@
+from pathlib import Path
+
+import pytest
+from pyspark.sql import functions as F
+
+from crowdpulse.plans.queries import queries
+from crowdpulse.session import checkpoint_dir
+from crowdpulse.sources import sample_tables as sample
+
+
+def small_tables(spark, folder):
+    """400 events on 25 long documents, one of them there twice; an event without an id."""
+    i = F.col("id")
+    kinds = F.element_at(F.array(*[F.lit(x) for x in ("purchase", "click", "error", "view", "signup")]), (i * 7 % 11 % 5 + 1).cast("int"))
+    spark.range(400).select(
+        F.when(i != 77, i).alias("event_id"), F.timestamp_seconds(F.lit(1_700_000_000) + i * 61).alias("ts"), (i % 9).alias("user_id"),
+        kinds.alias("event_type"), i.cast("double").alias("value"), F.format_string('{"k": %d}', i % 50).alias("props"),
+    ).write.parquet(f"{folder}/events.parquet")
+    spark.range(26).select(
+        (i % 25).alias("doc_id"), F.concat_ws("\n", F.lit('said "so" | '), F.repeat(F.concat(F.lit("word "), i.cast("string")), 300)).alias("text"),
+    ).write.parquet(f"{folder}/documents.parquet")
+    return str(folder)
+
+
+def bytes_of(root, pattern="event-files-*"):
+    return sum(p.stat().st_size for top in Path(root).glob(pattern) for p in top.rglob("part-*"))
+
+
+@pytest.mark.parametrize("name", ["event_files_with_arrival"])
+def test_files_of_one_part_at_a_time(spark, tmp_path, monkeypatch, name):
+    """Texts of all events are many times the documents; what lies on disk at once is a part of them, and then nothing."""
+    root, d = checkpoint_dir(spark).removeprefix("file:"), small_tables(spark, tmp_path / "tables")
+    before = bytes_of(root)
+    whole = sorted(map(tuple, queries()[name](spark, d).collect()), key=repr)
+    assert len(whole) > 400 and bytes_of(root) == before
+    assert {r[0] for r in whole} == {"post", "comment", "reply", "like", "malformed"}
+
+    most = []
+    read = {"event_files": "read_event_files", "event_files_with_arrival": "read_events_with_arrival"}[name]
+    import crowdpulse.plans.queries as module
+
+    def watched(session, *paths, f=getattr(module, read)):
+        most.append(bytes_of(root) - before)
+        return f(session, *paths)
+
+    monkeypatch.setattr(module, read, watched)
+    queries()[name](spark, d)
+    monkeypatch.setattr(sample, "PART_EVENTS", 20)
+    parts = sorted(map(tuple, queries()[name](spark, d).collect()), key=repr)
+    assert parts == whole and bytes_of(root) == before
+    assert len(most) == 1 + 16 and max(most[1:]) < most[0] / 3
