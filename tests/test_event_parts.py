@@ -26,7 +26,7 @@ def bytes_of(root, pattern="event-files-*"):
     return sum(p.stat().st_size for top in Path(root).glob(pattern) for p in top.rglob("part-*"))
 
 
-@pytest.mark.parametrize("name", ["event_files_with_arrival"])
+@pytest.mark.parametrize("name", ["event_files", "event_files_with_arrival"])
 def test_files_of_one_part_at_a_time(spark, tmp_path, monkeypatch, name):
     """Texts of all events are many times the documents; what lies on disk at once is a part of them, and then nothing."""
     root, d = checkpoint_dir(spark).removeprefix("file:"), small_tables(spark, tmp_path / "tables")
